@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from stationlake.values import Frequency
 
 Columns = dict[str, str]
@@ -73,3 +76,9 @@ STATUS_LOG: Columns = {
 def ddl(columns: Columns) -> str:
     """The schema text that Spark's readers take."""
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())
+
+
+def empty(spark: SparkSession, columns: Columns) -> DataFrame:
+    """A table without rows, known as such to the optimizer."""
+    nulls = (F.lit(None).cast(kind).alias(name) for name, kind in columns.items())
+    return spark.range(1).select(*nulls).filter(F.lit(False))

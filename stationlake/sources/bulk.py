@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +22,22 @@ def station_of_path(path: Column) -> Column:
 
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
-    """``station, path`` of every file in a landing folder, without opening any."""
-    return (
+    """``station, path`` of every file in a landing folder, without opening any.
+
+    A folder that is not there has no files.
+    """
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv*")
-        .load(landing)
-        .select(station_of_path(F.col("path")).alias("station"), "path")
     )
+    try:
+        files = reader.load(landing)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return schemas.empty(spark, {"station": "string", "path": "string"})
+    return files.select(station_of_path(F.col("path")).alias("station"), "path")
 
 
 def scan_raw(
@@ -39,9 +48,9 @@ def scan_raw(
 ) -> DataFrame:
     """The files as they are, with a leading ``station``.
 
-    A row with too few, too many or non-numeric fields fails the read. The parser looks at
-    every column for that, so column pruning is off; ``mode="PERMISSIVE"`` or
-    ``"DROPMALFORMED"`` lets such rows through or drops them.
+    A row with too few or too many fields fails the read; for that the parser has to see every
+    field, so column pruning is off. Text in place of a number fails when its column is read.
+    ``mode="PERMISSIVE"`` or ``"DROPMALFORMED"`` lets such rows through or drops them.
     """
     return (
         spark.read.schema(schemas.ddl(schemas.FILE_COLUMNS[frequency]))

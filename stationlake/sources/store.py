@@ -93,7 +93,7 @@ class Store:
             return self._nothing(columns)
 
     def _nothing(self, columns: schemas.Columns) -> DataFrame:
-        return self.spark.createDataFrame([], schemas.ddl(columns))
+        return schemas.empty(self.spark, columns)
 
     # -- reading
 
@@ -219,10 +219,20 @@ class Store:
         return [row.path for row in files.select("path").collect()]
 
     def ingest(
-        self, landing: str, frequency: Frequency, written_on: dt.date, mode: str = "FAILFAST"
+        self,
+        landing: str,
+        frequency: Frequency,
+        written_on: dt.date,
+        only: DataFrame | None = None,
+        mode: str = "FAILFAST",
     ) -> None:
-        """Add the landed files of stations that are not stored yet; other files stay closed."""
+        """Add the landed files of stations that are not stored yet; other files stay closed.
+
+        ``only`` restricts this to the stations it lists.
+        """
         files = bulk.landed_files(self.spark, landing)
+        if only is not None:
+            files = files.join(only.select("station"), "station", "left_semi")
         missing = files.join(self.available(frequency), "station", "left_anti")
         paths = self._paths(missing)
         if paths:

@@ -39,6 +39,12 @@ class NoDataForNearbyStations(StationLakeError):
         self.stations_tried = stations_tried
 
 
+class NoDataForStation(StationLakeError):
+    def __init__(self, station: str, frequency: Frequency):
+        super().__init__(f"no {frequency} data of station {station}")
+        self.station, self.frequency = station, frequency
+
+
 class ExpectedSingleRow(StationLakeError):
     def __init__(self, actual: int):
         super().__init__(f"expected a single row, found {actual}")
