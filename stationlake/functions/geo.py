@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_KM = 6371.0
-MAX_ROWS = 1800  # cells are at least 0.1 degree high
+MAX_ROWS = 18_000  # cells are at least 0.01 degree high
 _PAD = 1e-9  # degrees; keeps stations whose circle just touches a cell border
 
 
@@ -28,6 +28,39 @@ def distance_km(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> C
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
 
+def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """The point on a globe of radius 1."""
+    lat, lon = F.radians(lat), F.radians(lon)
+    return F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)
+
+
+def chord_square(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
+    """Square of the straight line between two unit vectors; it grows with the distance.
+
+    Comparing and ordering by it takes no trigonometry per pair.
+    """
+    x, y, z = (p - q for p, q in zip(a, b))
+    return x * x + y * y + z * z
+
+
+def chord_square_of(km: float) -> float:
+    """Square of the chord of a distance."""
+    half_angle = max(0.0, km) / EARTH_RADIUS_KM / 2
+    return 4.0 if half_angle >= math.pi / 2 else (2 * math.sin(half_angle)) ** 2
+
+
+def distance_of_chord(square: Column) -> Column:
+    """Great-circle distance in kilometres of a squared chord."""
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))
+
+
+def within(square: Column, km: float) -> Column:
+    """Is the distance of a squared chord at most ``km``? Only borderline pairs need an arcsine."""
+    limit = chord_square_of(km)
+    clear, near = limit * (1 - 1e-9), limit * (1 + 1e-9) + 1e-24
+    return (square <= near) & ((square < clear) | (distance_of_chord(square) <= F.lit(float(km))))
+
+
 def usable(lat: Column, lon: Column) -> Column:
     """A point on the globe: no null, no NaN, no infinite longitude."""
     return lat.between(-90.0, 90.0) & (F.abs(lon) < F.lit(float("inf")))

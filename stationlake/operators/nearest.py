@@ -13,10 +13,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationlake.functions.geo import Grid, distance_km
+from stationlake.functions.geo import (
+    Grid,
+    chord_square,
+    distance_of_chord,
+    unit_vector,
+    within,
+)
 from stationlake.functions.inventory import covers
 from stationlake.operators.joins import salted_join
 from stationlake.sizing import BROADCAST_ROWS, broadcast_if_small
@@ -26,6 +32,13 @@ DEFAULT_RADIUS_KM = 50.0
 DEFAULT_STATION_LIMIT = 5
 
 
+# A ring with more than this many stations per wanted one in some cell is worth a smaller ring.
+CROWDED = 24
+MAX_RINGS = 6
+SITE = ("site_x", "site_y", "site_z")
+POINT = ("point_x", "point_y", "point_z")
+
+
 def _sites(stations: DataFrame, frequency: Frequency | None) -> DataFrame:
     """The narrow columns of the catalogue that the search needs."""
     columns = [
@@ -41,6 +54,37 @@ def _sites(stations: DataFrame, frequency: Frequency | None) -> DataFrame:
     return stations.select(*columns)
 
 
+def _first_of_each_place(sites: DataFrame, k: int) -> DataFrame:
+    """Of stations with the same place and inventory only the ``k`` lowest ids can be found."""
+    same = [name for name in sites.columns if name != "station"]
+    order = Window.partitionBy(*same).orderBy("station")
+    return sites.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
+
+
+def _rings(sites: DataFrame, k: int, max_km: float) -> tuple[list[float], int]:
+    """Radii to search in turn, and the number of broadcast rows they need together.
+
+    A request that finds ``k`` stations within a small ring needs no larger one. Where stations are
+    crowded this saves nearly all pairs; elsewhere the whole radius is searched at once.
+    """
+    rings, copies = [], 0
+    for step in range(MAX_RINGS):
+        radius = max_km / 3**step
+        per_cell = Grid.for_radius(radius).touched_cells(sites, "site_lat", "site_lon")
+        crowd = per_cell.groupBy("cell").count().agg(F.max("count"), F.sum("count")).first()
+        rings.insert(0, radius)
+        copies += crowd[1] or 0
+        if (crowd[0] or 0) <= CROWDED * k:
+            break
+    return rings, copies
+
+
+def _partitions(spark: SparkSession, count: int) -> int:
+    """Tasks for ``count`` requests: enough to keep a cluster busy, none of them large."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, count // 1000), count // 500_000)
+
+
 def ranked_candidates(
     requests: DataFrame,
     stations: DataFrame,
@@ -51,21 +95,26 @@ def ranked_candidates(
     carry: Sequence[str] = (),
     how: str = "inner",
     available: DataFrame | None = None,
+    count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Up to ``k`` stations per request with ``distance_km`` and ``rank``.
 
     With ``how="left"`` a request without any station gets one row without station. With
-    ``available`` the column ``has_data`` says whether a station is listed there.
+    ``available`` the column ``has_data`` says whether a station is listed there. ``count`` is the
+    number of requests, or an upper bound of it; without it, they are counted.
     """
+    count = requests.count() if count is None else count
     sites = _sites(stations, frequency)
+    if k < 1:
+        sites, k = sites.filter(F.lit(False)), 1
     needs: dict[str, Column] = {}
     suitable = F.lit(True)
     if frequency is not None:
         required = required or RequiredData.any()
         start, end = F.col("inventory_start"), F.col("inventory_end")
         parts = {"start": required.start, "end": required.end, "year": required.year}
-        needs = {f"need_{k}": v for k, v in parts.items() if isinstance(v, Column)}
+        needs = {f"need_{name}": v for name, v in parts.items() if isinstance(v, Column)}
         if needs:
             per_request = {
                 name: F.col(f"need_{name}") if f"need_{name}" in needs else value
@@ -77,39 +126,80 @@ def ranked_candidates(
             sites = sites.filter(covers(frequency, required, start, end)).drop(
                 "inventory_start", "inventory_end"
             )
-    if k < 1:
-        sites = sites.limit(0)
+    sites = _first_of_each_place(sites, k)
+    rings, copies = _rings(sites, k, max_km)
+    fits = copies <= broadcast_rows
+
+    vector = unit_vector(F.col("site_lat"), F.col("site_lon"))
+    sites = sites.withColumns(dict(zip(SITE, vector)))
+    flags = []
     if available is not None:
         listed = available.select("station").distinct().withColumn("has_data", F.lit(True))
-        sites = sites.join(listed, "station", "left")
-
-    grid = Grid.for_radius(max_km)
-    copies = grid.touched_cells(sites, "site_lat", "site_lon")
-    points = requests.select("request_id", "lat", "lon", *carry, *(
-        value.alias(name) for name, value in needs.items()
-    )).withColumn("cell", grid.cell(F.col("lat"), F.col("lon")))
-    distance = distance_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
-    # The latitude alone rules out many stations of a cell before any trigonometry.
-    close = F.abs(F.col("lat") - F.col("site_lat")) <= grid.reach_degrees
-    near = close & suitable & (distance <= F.lit(float(max_km)))
-    if copies.count() <= broadcast_rows:
-        copies = F.broadcast(copies.withColumnRenamed("cell", "site_cell"))
-        pairs = points.repartition("request_id").join(
-            copies, (F.col("cell") == F.col("site_cell")) & near, how
+        sites, flags = sites.join(listed, "station", "left"), ["has_data"]
+    lat, lon = F.col("lat"), F.col("lon")
+    points = requests.select(
+        "request_id", "lat", "lon", *carry, *(value.alias(name) for name, value in needs.items())
+    ).withColumns(dict(zip(POINT, unit_vector(lat, lon))))
+    if fits:
+        points = points.repartition(_partitions(requests.sparkSession, count), "request_id")
+    of_request = points.columns
+    square = chord_square(tuple(map(F.col, POINT)), tuple(map(F.col, SITE)))
+    order = Window.partitionBy("request_id").orderBy(F.col("square").asc_nulls_last(), "station")
+
+    def search(state: DataFrame, radius: float, unsatisfied: Column) -> DataFrame:
+        """The ``k`` nearest per request; requests that are satisfied keep the rows they have."""
+        grid = Grid.for_radius(radius)
+        near = grid.touched_cells(sites, "site_lat", "site_lon").drop("site_lat", "site_lon")
+        state = state.withColumn("cell", F.when(unsatisfied, grid.cell(lat, lon)))
+        pair = within(square, radius) & suitable
+        if fits:
+            near = F.broadcast(near.withColumnRenamed("cell", "site_cell"))
+            pairs = state.join(near, (F.col("cell") == F.col("site_cell")) & pair, "left")
+        else:
+            pairs = salted_join(state, near, ["cell"], count, "left", pair)
+        found = {"station": F.col("station"), "square": square}
+        found |= {flag: F.col(flag) for flag in flags}
+        kept = {name for name in found if f"kept_{name}" in state.columns}
+        return (
+            pairs.select(
+                *of_request,
+                *(
+                    (F.coalesce(value, f"kept_{name}") if name in kept else value).alias(name)
+                    for name, value in found.items()
+                ),
+            )
+            .withColumn("rank", F.row_number().over(order))
+            .filter(F.col("rank") <= k)
         )
-    else:
-        pairs = salted_join(points, copies, ["cell"], requests.count(), how, near)
 
-    order = Window.partitionBy("request_id").orderBy(
-        F.col("distance_km").asc_nulls_last(), "station"
-    )
-    flags = ["has_data"] if available is not None else []
-    return (
-        pairs.select(
-            "request_id", "lat", "lon", *carry, "station", distance.alias("distance_km"), *flags
+    ranked = search(points, rings[0] if fits else max_km, F.lit(True))
+    for radius in rings[1:] if fits else ():
+        hits = F.count("station").over(Window.partitionBy("request_id"))
+        more = F.col("hits") < k
+        state = (
+            ranked.withColumn("hits", hits)
+            .filter(~more | (F.col("rank") == 1))
+            .select(
+                *of_request,
+                more.alias("more"),
+                *(
+                    F.when(~more, F.col(name)).alias(f"kept_{name}")
+                    for name in ("station", "square", *flags)
+                ),
+            )
         )
-        .withColumn("rank", F.row_number().over(order).cast("bigint"))
-        .filter(F.col("rank") <= max(k, 1))
+        ranked = search(state, radius, F.col("more"))
+    if how == "inner":
+        ranked = ranked.filter(F.col("station").isNotNull())
+    return ranked.select(
+        "request_id",
+        "lat",
+        "lon",
+        *carry,
+        "station",
+        distance_of_chord(F.col("square")).alias("distance_km"),
+        *flags,
+        F.col("rank").cast("bigint").alias("rank"),
     )
 
 
@@ -121,6 +211,7 @@ def nearest_stations(
     frequency: Frequency | None = None,
     required: RequiredData | None = None,
     carry: Sequence[str] = (),
+    count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``request_id, lat, lon, station, distance_km, rank`` of the ``k`` nearest stations.
@@ -129,7 +220,15 @@ def nearest_stations(
     radius have no rows.
     """
     return ranked_candidates(
-        requests, stations, k, max_km, frequency, required, carry, broadcast_rows=broadcast_rows
+        requests,
+        stations,
+        k,
+        max_km,
+        frequency,
+        required,
+        carry,
+        count=count,
+        broadcast_rows=broadcast_rows,
     )
 
 
@@ -162,6 +261,7 @@ def serving_stations(
     max_km: float = DEFAULT_RADIUS_KM,
     station_limit: int = 1,
     carry: Sequence[str] = (),
+    count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """For every request the nearest station that really has data, and the outcome.
@@ -180,6 +280,7 @@ def serving_stations(
         carry,
         how="left",
         available=available,
+        count=count,
         broadcast_rows=broadcast_rows,
     )
     of_request = Window.partitionBy("request_id")

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationlake import Frequency, RequiredData, find_stations, nearest_stations, serving_stations
-from stationlake.functions.geo import Grid
 from stationlake import schemas
+from stationlake.functions.geo import Grid
+from stationlake.operators import nearest
 
 RADIUS = 6371.0
 
@@ -109,6 +110,54 @@ def test_a_place_that_most_ask_for(spark):
     assert_same(result(found), expected)
 
 
+def crowded_places(seed, n):
+    """Most stations in a few dense places, many of them on the very same spot."""
+    rng = random.Random(seed)
+    for i in range(n):
+        kind = i % 5
+        if kind == 0:
+            yield 52.0, 13.0
+        elif kind in (1, 2):
+            yield 52 + rng.gauss(0, 0.05), 13 + rng.gauss(0, 0.05)
+        elif kind == 3:
+            yield 52 + rng.gauss(0, 0.4), 13 + rng.gauss(0, 0.4)
+        else:
+            yield 89.9 + rng.uniform(0, 0.1), rng.uniform(-180, 180)
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_crowded_places_take_smaller_rings(spark, k):
+    places = {f"{i:05d}": spot for i, spot in enumerate(crowded_places(6, 600))}
+    catalogue = stations(spark, places)
+    rings, _ = nearest._rings(nearest._sites(catalogue, None), k, 60.0)
+    assert len(rings) > 2 and rings[-1] == 60.0 and rings == sorted(rings)
+    points = list(crowded_places(7, 200)) + list(spots(8, 100)) + [(52.3, 13.3)] * 20
+    found = nearest_stations(requests(spark, points), catalogue, k, 60.0)
+    assert_same(result(found), brute(places, points, k, 60.0))
+
+
+def test_crowded_places_with_requirements_per_request(spark):
+    places = {f"{i:05d}": spot for i, spot in enumerate(crowded_places(9, 400))}
+    day = dt.date(2000, 1, 1)
+    daily = {
+        name: (day, day + dt.timedelta(days=int(name) * 37 % 2000)) for name in places
+    }
+    points = list(crowded_places(10, 120))
+    wanted = requests(spark, points).withColumn(
+        "day", F.date_add(F.lit(day), (F.col("request_id") * 53 % 2100).cast("int"))
+    )
+    required = RequiredData.specific_date(F.col("day"))
+    found = result(
+        nearest_stations(wanted, stations(spark, places, daily), 2, 60.0, Frequency.DAILY, required)
+    )
+    expected = {}
+    for i, point in enumerate(points):
+        asked = day + dt.timedelta(days=i * 53 % 2100)
+        open_then = {n: at for n, at in places.items() if daily[n][1] >= asked}
+        expected.update({i: near for near in brute(open_then, [point], 2, 60.0).values()})
+    assert_same(found, expected)
+
+
 def test_every_station_has_few_copies(spark):
     places = {f"{i:05d}": spot for i, spot in enumerate(spots(5, 400))}
     places |= {"north": (90, 0), "south": (-90, 0), "almost": (89.9999, 17)}
