@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlake.functions.geo import (
+    MAX_COPIES,
     Grid,
     chord_square,
     distance_of_chord,
@@ -32,8 +33,10 @@ DEFAULT_RADIUS_KM = 50.0
 DEFAULT_STATION_LIMIT = 5
 
 
-# A ring with more than this many stations per wanted one in some cell is worth a smaller ring.
-CROWDED = 24
+# Smaller rings pay when a cell holds more than this many stations per wanted one, and when the
+# pairs that a single ring would look at are many.
+CROWDED = 6
+MANY_PAIRS = 10_000_000
 MAX_RINGS = 6
 SITE = ("site_x", "site_y", "site_z")
 POINT = ("point_x", "point_y", "point_z")
@@ -61,22 +64,17 @@ def _first_of_each_place(sites: DataFrame, k: int) -> DataFrame:
     return sites.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
 
 
-def _rings(sites: DataFrame, k: int, max_km: float) -> tuple[list[float], int]:
-    """Radii to search in turn, and the number of broadcast rows they need together.
+def _rings(most: int, k: int, max_km: float, count: int) -> list[float]:
+    """Radii to search in turn, when ``most`` stations share a cell of the whole radius.
 
     A request that finds ``k`` stations within a small ring needs no larger one. Where stations are
     crowded this saves nearly all pairs; elsewhere the whole radius is searched at once.
     """
-    rings, copies = [], 0
-    for step in range(MAX_RINGS):
-        radius = max_km / 3**step
-        per_cell = Grid.for_radius(radius).touched_cells(sites, "site_lat", "site_lon")
-        crowd = per_cell.groupBy("cell").count().agg(F.max("count"), F.sum("count")).first()
-        rings.insert(0, radius)
-        copies += crowd[1] or 0
-        if (crowd[0] or 0) <= CROWDED * k:
-            break
-    return rings, copies
+    rings = [max_km]
+    while most > CROWDED * k and most * count > MANY_PAIRS and len(rings) < MAX_RINGS:
+        rings.insert(0, rings[0] / 3)
+        most //= 9
+    return rings
 
 
 def _partitions(spark: SparkSession, count: int) -> int:
@@ -126,9 +124,15 @@ def ranked_candidates(
             sites = sites.filter(covers(frequency, required, start, end)).drop(
                 "inventory_start", "inventory_end"
             )
-    sites = _first_of_each_place(sites, k)
-    rings, copies = _rings(sites, k, max_km)
-    fits = copies <= broadcast_rows
+    cell = Grid.for_radius(max_km).cell(F.col("site_lat"), F.col("site_lon"))
+    crowd = sites.groupBy(cell.alias("cell")).count().agg(F.sum("count"), F.max("count")).first()
+    rings = _rings(crowd[1] or 0, k, max_km, count)
+    fits = (crowd[0] or 0) * MAX_COPIES * len(rings) <= broadcast_rows
+    if len(rings) > 1:
+        sites = _first_of_each_place(sites, k)
+    if not fits:
+        # A shuffled catalogue is searched at once; its hot cells are spread instead.
+        rings = [max_km]
 
     vector = unit_vector(F.col("site_lat"), F.col("site_lon"))
     sites = sites.withColumns(dict(zip(SITE, vector)))
@@ -172,8 +176,8 @@ def ranked_candidates(
             .filter(F.col("rank") <= k)
         )
 
-    ranked = search(points, rings[0] if fits else max_km, F.lit(True))
-    for radius in rings[1:] if fits else ():
+    ranked = search(points, rings[0], F.lit(True))
+    for radius in rings[1:]:
         hits = F.count("station").over(Window.partitionBy("request_id"))
         more = F.col("hits") < k
         state = (

@@ -126,7 +126,13 @@ class Store:
 
     def available(self, frequency: Frequency) -> DataFrame:
         """Stations that have rows of a frequency, from the status table alone."""
-        return self.status().filter(F.col("frequency") == frequency.value).select("station")
+        log = self._read(f"{self.root}/status", schemas.STATUS_LOG)
+        latest = (
+            log.filter(F.col("frequency") == frequency.value)
+            .groupBy("station")
+            .agg(F.max_by("written_on", "version").alias("written_on"))
+        )
+        return latest.filter(F.col("written_on").isNotNull()).select("station")
 
     def stations(self) -> DataFrame:
         """The catalogue."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationlake import Frequency, RequiredData, find_stations, nearest_stations, serving_stations
 from stationlake import schemas
-from stationlake.functions.geo import Grid
+from stationlake.functions.geo import MAX_COPIES, Grid
 from stationlake.operators import nearest
 
 RADIUS = 6371.0
@@ -125,18 +125,27 @@ def crowded_places(seed, n):
             yield 89.9 + rng.uniform(0, 0.1), rng.uniform(-180, 180)
 
 
+def test_rings():
+    assert nearest._rings(1000, 1, 90.0, 1_000_000) == [90 / 27, 10.0, 30.0, 90.0]
+    assert nearest._rings(1000, 200, 90.0, 1_000_000) == [90.0]
+    assert nearest._rings(1000, 1, 90.0, 100) == [90.0]
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"])
 @pytest.mark.parametrize("k", [1, 3])
-def test_crowded_places_take_smaller_rings(spark, k):
+def test_crowded_places_take_smaller_rings(spark, monkeypatch, k, broadcast_rows):
+    monkeypatch.setattr(nearest, "MANY_PAIRS", 0)
     places = {f"{i:05d}": spot for i, spot in enumerate(crowded_places(6, 600))}
     catalogue = stations(spark, places)
-    rings, _ = nearest._rings(nearest._sites(catalogue, None), k, 60.0)
-    assert len(rings) > 2 and rings[-1] == 60.0 and rings == sorted(rings)
     points = list(crowded_places(7, 200)) + list(spots(8, 100)) + [(52.3, 13.3)] * 20
-    found = nearest_stations(requests(spark, points), catalogue, k, 60.0)
+    found = nearest_stations(
+        requests(spark, points), catalogue, k, 60.0, broadcast_rows=broadcast_rows
+    )
     assert_same(result(found), brute(places, points, k, 60.0))
 
 
-def test_crowded_places_with_requirements_per_request(spark):
+def test_crowded_places_with_requirements_per_request(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "MANY_PAIRS", 0)
     places = {f"{i:05d}": spot for i, spot in enumerate(crowded_places(9, 400))}
     day = dt.date(2000, 1, 1)
     daily = {
@@ -168,7 +177,7 @@ def test_every_station_has_few_copies(spark):
             F.count("*").alias("n"), F.countDistinct("cell").alias("distinct")
         )
         for row in per_station.collect():
-            assert row.n == row.distinct <= 24
+            assert row.n == row.distinct <= MAX_COPIES
 
 
 def test_edges(spark):
