@@ -41,7 +41,9 @@ def _served(requests: DataFrame, bucket: Bucket | None) -> tuple[DataFrame, list
     requests = requests.filter(F.col("station").isNotNull())
     if bucket is None:
         return requests, ["station"]
-    return requests.withColumn("bucket", bucket(F.col("station"))), ["bucket", "station"]
+    # The comparison is always true; it makes Spark see that requests may narrow the buckets.
+    requests = requests.withColumn("bucket", bucket(F.col("station"))).filter("bucket >= 0")
+    return requests, ["bucket", "station"]
 
 
 def weather_at(

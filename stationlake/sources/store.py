@@ -141,7 +141,13 @@ class Store:
     # -- writing
 
     def _in_buckets(self, stations: DataFrame) -> DataFrame:
-        return stations.select("station", self.bucket_of(F.col("station")).alias("bucket"))
+        """Stations with their bucket.
+
+        The comparison is always true; it makes Spark see that a list of stations may narrow the
+        buckets, so that a join with it prunes folders.
+        """
+        bucket = self.bucket_of(F.col("station")).alias("bucket")
+        return stations.select("station", bucket).filter("bucket >= 0")
 
     def _write(self, rows: DataFrame, frequency: Frequency, mode: str) -> None:
         """Write typed rows into their buckets.
