@@ -15,7 +15,10 @@ def scan_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_catalogue_files(stations: DataFrame, path: str, block: str) -> None:
-    """Write stations as gzipped JSON arrays, one array per value of column ``block``."""
+    """Write stations as gzipped JSON arrays, one array per value of column ``block``.
+
+    An array is one value of one task, so a block should hold some thousand stations at most.
+    """
     record = F.struct(*schemas.CATALOGUE)
     (
         stations.groupBy(block)

@@ -217,6 +217,7 @@ class Store:
     def _append(
         self, rows: DataFrame, stations: DataFrame, frequency: Frequency, written_on: dt.date
     ) -> None:
+        stations = self._stage(stations, "stations")
         # Rows are sorted by station, so the one column read here is a few runs per file.
         if self.scan_stations(frequency, stations).isEmpty():
             self._write(rows, frequency, "append")
