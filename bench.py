@@ -56,7 +56,7 @@ def cases(lake, requests, count):
     on_hour = RequiredData.specific_date(F.col("at").cast("date"))
 
     def over(weather, frame):
-        served = weather.serving(requests, station_limit=3)
+        served = weather.serving(requests, station_limit=3, count=count)
         rows = frame.df.withColumn("bucket", bucket(F.col("station")))
         return located.weather_of(served, rows, count, bucket)
 
@@ -68,10 +68,10 @@ def cases(lake, requests, count):
     return {
         "catalogue": lambda: compute(lake.store.stations()),
         "from_station.hourly": lambda: compute(hourly.station(ONE_STATION).df),
-        "from_location.hourly": lambda: compute(hourly.serving(requests)),
-        "from_location.daily": lambda: compute(daily.serving(requests)),
-        "from_location.monthly": lambda: compute(monthly.serving(requests)),
-        "from_location.climate": lambda: compute(climate.serving(requests)),
+        "from_location.hourly": lambda: compute(hourly.serving(requests, count=count)),
+        "from_location.daily": lambda: compute(daily.serving(requests, count=count)),
+        "from_location.monthly": lambda: compute(monthly.serving(requests, count=count)),
+        "from_location.climate": lambda: compute(climate.serving(requests, count=count)),
         "from_location.hourly+day": lambda: compute(
             over(hourly, hourly.all().get_for_period(dt.date(2024, 1, 15)))
         ),

@@ -62,9 +62,9 @@ def within(square: Column, km: float) -> Column:
     return (square <= near) & ((square < clear) | (distance_of_chord(square) <= F.lit(float(km))))
 
 
-def usable(lat: Column, lon: Column) -> Column:
+def _usable(lat: str, lon: str) -> str:
     """A point on the globe: no null, no NaN, no infinite longitude."""
-    return lat.between(-90.0, 90.0) & (F.abs(lon) < F.lit(float("inf")))
+    return f"{lat} BETWEEN -90.0D AND 90.0D AND abs({lon}) < double('Infinity')"
 
 
 @dataclass(frozen=True)
@@ -80,59 +80,50 @@ class Grid:
         rows = MAX_ROWS if reach == 0 else int(min(MAX_ROWS, max(1, 180 // reach)))
         return cls(radius_km, rows)
 
-    @property
-    def reach_degrees(self) -> float:
-        """The radius in degrees of latitude, a hair wider than exact."""
-        return min(180.0, math.degrees(max(self.radius_km, 0.0) / EARTH_RADIUS_KM)) + _PAD
+    def _row(self, lat: str) -> str:
+        row = f"floor(({lat} + 90.0D) * {self.rows / 180.0!r}D)"
+        return f"cast(greatest(0, least({self.rows - 1}, {row})) AS bigint)"
 
-    def _row(self, lat: Column) -> Column:
-        row = F.floor((lat + 90.0) * (self.rows / 180.0))
-        return F.greatest(F.lit(0), F.least(F.lit(self.rows - 1), row)).cast("bigint")
-
-    def _columns(self, row: Column) -> Column:
+    def _columns(self, row: str) -> str:
         """Number of columns of a row: twice the rows at the equator, one at the poles."""
-        middle = F.radians((row + 0.5) * (180.0 / self.rows) - 90.0)
-        return F.greatest(F.lit(1), F.floor(F.cos(middle) * (2 * self.rows))).cast("bigint")
+        middle = f"({row} + 0.5D) * {180.0 / self.rows!r}D - 90.0D"
+        return f"cast(greatest(1, floor(cos(radians({middle})) * {2 * self.rows})) AS bigint)"
 
-    def _column(self, lon: Column, columns: Column) -> Column:
+    def _column(self, lon: str, columns: str) -> str:
         """Column of a longitude, counted on without wrapping at the antimeridian."""
-        return F.floor((lon + 180.0) * columns / 360.0).cast("bigint")
+        return f"floor(({lon} + 180.0D) * {columns} / 360.0D)"
 
-    def _cell(self, row: Column, column: Column, columns: Column) -> Column:
-        return row * (2 * self.rows + 1) + F.pmod(column, columns)
+    def _cell(self, row: str, column: str, columns: str) -> str:
+        return f"{row} * {2 * self.rows + 1} + pmod({column}, {columns})"
 
-    def cell(self, lat: Column, lon: Column) -> Column:
+    def cell(self, lat: str, lon: str) -> Column:
         """The one cell of a point; null when the point is not usable."""
         row = self._row(lat)
         columns = self._columns(row)
-        return F.when(usable(lat, lon), self._cell(row, self._column(lon, columns), columns))
+        cell = self._cell(row, self._column(lon, columns), columns)
+        return F.expr(f"CASE WHEN {_usable(lat, lon)} THEN {cell} END")
 
     def touched_cells(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
         """One copy of each row per cell that its radius can reach, in column ``cell``."""
-        lat_c, lon_c = F.col(lat), F.col(lon)
-        reach = self.reach_degrees
-        row, columns = F.col("_row"), F.col("_columns")
-        over_pole = F.abs(lat_c) + reach >= 90.0
-        spread = F.degrees(
-            F.asin(
-                F.least(F.lit(1.0), F.lit(math.sin(math.radians(min(reach, 90.0))))
-                        / F.cos(F.radians(lat_c)))
-            )
-        ) + _PAD
-        west = self._column(lon_c - F.col("_spread"), columns)
-        east = self._column(lon_c + F.col("_spread"), columns)
-        everywhere = F.sequence(F.lit(0).cast("bigint"), columns - 1)
-        span = F.when(
-            F.col("_spread").isNull() | (east - west >= columns), everywhere
-        ).otherwise(F.sequence(west, east))
+        reach = min(180.0, math.degrees(max(self.radius_km, 0.0) / EARTH_RADIUS_KM)) + _PAD
+        # Half the width of the circle in degrees of longitude; null when it holds a pole.
+        sine = math.sin(math.radians(min(reach, 90.0)))
+        spread = f"degrees(asin(least(1.0D, {sine!r}D / cos(radians({lat}))))) + {_PAD!r}D"
+        rows = f"sequence({self._row(f'({lat} - {reach!r}D)')}, {self._row(f'({lat} + {reach!r}D)')})"
+        west = self._column(f"({lon} - _spread)", "_columns")
+        east = self._column(f"({lon} + _spread)", "_columns")
+        columns = (
+            f"CASE WHEN _spread IS NULL OR {east} - {west} >= _columns "
+            f"THEN sequence(0L, _columns - 1) ELSE sequence({west}, {east}) END"
+        )
         return (
-            df.filter(usable(lat_c, lon_c))
-            .withColumn("_spread", F.when(~over_pole, spread))
-            .withColumn(
-                "_row", F.explode(F.sequence(self._row(lat_c - reach), self._row(lat_c + reach)))
+            df.filter(_usable(lat, lon))
+            .selectExpr(
+                "*",
+                f"CASE WHEN abs({lat}) + {reach!r}D < 90.0D THEN {spread} END AS _spread",
+                f"explode({rows}) AS _row",
             )
-            .withColumn("_columns", self._columns(row))
-            .withColumn("_column", F.explode(span))
-            .withColumn("cell", self._cell(row, F.col("_column"), columns))
-            .drop("_spread", "_row", "_columns", "_column")
+            .selectExpr("*", f"{self._columns('_row')} AS _columns")
+            .selectExpr("*", f"explode({columns}) AS _column")
+            .selectExpr(*df.columns, f"{self._cell('_row', '_column', '_columns')} AS cell")
         )

@@ -156,7 +156,7 @@ class Weather:
     ) -> WeatherFrame:
         """Rows of the nearest station whose inventory fits and that has data."""
         served = self.serving(
-            self.lake.point(place), required, max_distance_km, station_limit
+            self.lake.point(place), required, max_distance_km, station_limit, count=1
         ).first()
         if served.status == "no_station":
             raise NoStationWithinRadius(max_distance_km, *place)
@@ -173,6 +173,7 @@ class Weather:
         max_distance_km: float = nearest.DEFAULT_RADIUS_KM,
         station_limit: int = 1,
         carry: Sequence[str] = (),
+        count: int | None = None,
     ) -> DataFrame:
         """Station, distance and outcome for every request; see ``nearest.serving_stations``."""
         available = self._available()
@@ -188,6 +189,7 @@ class Weather:
             max_distance_km,
             station_limit,
             carry,
+            count,
         )
 
     def at(
@@ -206,13 +208,14 @@ class Weather:
         key = located.time_key(self.frequency, F.col(at)) if isinstance(at, str) else at
         requests = requests.withColumns({f"at_{name}": value for name, value in key.items()})
         carry = [f"at_{name}" for name in key]
-        served = self.serving(requests, required, max_distance_km, station_limit, carry)
+        count = requests.count()
+        served = self.serving(requests, required, max_distance_km, station_limit, carry, count)
         return located.weather_at(
             served,
             self.store.scan(self.frequency),
             self.frequency,
             {name: F.col(f"at_{name}") for name in key},
-            requests.count(),
+            count,
             self.store.bucket_of,
         )
 

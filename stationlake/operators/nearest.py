@@ -36,7 +36,7 @@ DEFAULT_STATION_LIMIT = 5
 # Smaller rings pay when a cell holds more than this many stations per wanted one, and when the
 # pairs that a single ring would look at are many.
 CROWDED = 6
-MANY_PAIRS = 10_000_000
+MANY_PAIRS = 50_000_000
 MAX_RINGS = 6
 SITE = ("site_x", "site_y", "site_z")
 POINT = ("point_x", "point_y", "point_z")
@@ -124,10 +124,13 @@ def ranked_candidates(
             sites = sites.filter(covers(frequency, required, start, end)).drop(
                 "inventory_start", "inventory_end"
             )
-    cell = Grid.for_radius(max_km).cell(F.col("site_lat"), F.col("site_lon"))
-    crowd = sites.groupBy(cell.alias("cell")).count().agg(F.sum("count"), F.max("count")).first()
-    rings = _rings(crowd[1] or 0, k, max_km, count)
-    fits = (crowd[0] or 0) * MAX_COPIES * len(rings) <= broadcast_rows
+    site_count = sites.count()
+    rings = [max_km]
+    if site_count * count > MANY_PAIRS:
+        cell = Grid.for_radius(max_km).cell("site_lat", "site_lon")
+        per_cell = sites.groupBy(cell.alias("cell")).count()
+        rings = _rings(per_cell.agg(F.max("count")).first()[0] or 0, k, max_km, count)
+    fits = site_count * MAX_COPIES * len(rings) <= broadcast_rows
     if len(rings) > 1:
         sites = _first_of_each_place(sites, k)
     if not fits:
@@ -140,10 +143,9 @@ def ranked_candidates(
     if available is not None:
         listed = available.select("station").distinct().withColumn("has_data", F.lit(True))
         sites, flags = sites.join(listed, "station", "left"), ["has_data"]
-    lat, lon = F.col("lat"), F.col("lon")
     points = requests.select(
         "request_id", "lat", "lon", *carry, *(value.alias(name) for name, value in needs.items())
-    ).withColumns(dict(zip(POINT, unit_vector(lat, lon))))
+    ).withColumns(dict(zip(POINT, unit_vector(F.col("lat"), F.col("lon")))))
     if fits:
         points = points.repartition(_partitions(requests.sparkSession, count), "request_id")
     of_request = points.columns
@@ -154,7 +156,7 @@ def ranked_candidates(
         """The ``k`` nearest per request; requests that are satisfied keep the rows they have."""
         grid = Grid.for_radius(radius)
         near = grid.touched_cells(sites, "site_lat", "site_lon").drop("site_lat", "site_lon")
-        state = state.withColumn("cell", F.when(unsatisfied, grid.cell(lat, lon)))
+        state = state.withColumn("cell", F.when(unsatisfied, grid.cell("lat", "lon")))
         pair = within(square, radius) & suitable
         if fits:
             near = F.broadcast(near.withColumnRenamed("cell", "site_cell"))

@@ -126,8 +126,8 @@ def crowded_places(seed, n):
 
 
 def test_rings():
-    assert nearest._rings(1000, 1, 90.0, 1_000_000) == [90 / 27, 10.0, 30.0, 90.0]
-    assert nearest._rings(1000, 200, 90.0, 1_000_000) == [90.0]
+    assert nearest._rings(1000, 1, 90.0, 10**9) == [90 / 27, 10.0, 30.0, 90.0]
+    assert nearest._rings(1000, 200, 90.0, 10**9) == [90.0]
     assert nearest._rings(1000, 1, 90.0, 100) == [90.0]
 
 
