@@ -231,8 +231,11 @@ class Weather:
 
         Requests whose text is no period have no rows.
         """
+        count = requests.count()
         if "station" not in requests.columns:
-            requests = self.serving(requests, required, max_distance_km, station_limit, [period])
+            requests = self.serving(
+                requests, required, max_distance_km, station_limit, [period], count
+            )
         requests = requests.drop("status")
         if self.frequency is Frequency.DAILY:
             resolved = resolve_date_periods(requests, period)
@@ -253,6 +256,7 @@ class Weather:
             start,
             end,
             self.store.bucket_of,
+            12 * count,  # a period is a year at most
         )
 
     # -- what is stored

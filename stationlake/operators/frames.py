@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stationlake import values as V
 from stationlake.functions.conditions import condition_name
 from stationlake.operators.records import json_records, records
+from stationlake.sizing import broadcast_if_small
 from stationlake.values import ExpectedSingleRow, Frequency, Month, Year
 
 
@@ -40,7 +41,8 @@ class WeatherFrame:
 
     def stations(self, stations: DataFrame) -> Self:
         """Rows of the stations listed in column ``station`` of another table."""
-        return type(self)(self.df.join(stations.select("station"), "station", "left_semi"))
+        wanted = broadcast_if_small(stations.select("station").distinct())
+        return type(self)(self.df.join(wanted, "station", "left_semi"))
 
     def records(self) -> DataFrame:
         """All rows as records, still distributed."""

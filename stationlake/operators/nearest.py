@@ -26,7 +26,7 @@ from stationlake.functions.geo import (
 )
 from stationlake.functions.inventory import covers
 from stationlake.operators.joins import salted_join
-from stationlake.sizing import BROADCAST_ROWS, broadcast_if_small
+from stationlake.sizing import BROADCAST_ROWS
 from stationlake.values import Frequency, RequiredData
 
 DEFAULT_RADIUS_KM = 50.0
@@ -245,17 +245,23 @@ def find_stations(
     required: RequiredData | None = None,
     max_km: float = DEFAULT_RADIUS_KM,
     k: int = DEFAULT_STATION_LIMIT,
+    count: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """As :func:`nearest_stations`, with the whole catalogue entry in struct ``station``."""
-    found = nearest_stations(requests, stations, k, max_km, frequency, required)
+    count = requests.count() if count is None else count
+    found = nearest_stations(
+        requests, stations, k, max_km, frequency, required, count=count
+    ).withColumnRenamed("station", "station_id")
     entries = stations.select(
         F.col("id").alias("station_id"), F.struct(*stations.columns).alias("station")
     )
-    return (
-        found.withColumnRenamed("station", "station_id")
-        .join(broadcast_if_small(entries, BROADCAST_ROWS // 10), "station_id")
-        .select("request_id", "lat", "lon", "rank", "distance_km", "station")
-    )
+    # A whole entry takes about ten times the memory of the narrow rows the limit is made for.
+    if stations.count() <= broadcast_rows // 10:
+        joined = found.join(F.broadcast(entries), "station_id")
+    else:
+        joined = salted_join(found, entries, ["station_id"], count * max(k, 1))
+    return joined.select("request_id", "lat", "lon", "rank", "distance_km", "station")
 
 
 def serving_stations(

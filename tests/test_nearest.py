@@ -257,9 +257,12 @@ def test_requirements_per_request(spark):
         assert {i: near[0][0] for i, near in found.items()} == {1: "old", 2: "new"}
 
 
-def test_find_stations(spark):
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"])
+def test_find_stations(spark, broadcast_rows):
     places = {f"s{i}": (50 + i / 100, 8) for i in range(9)}
-    found = find_stations(requests(spark, [(50.0, 8.0)]), stations(spark, places))
+    found = find_stations(
+        requests(spark, [(50.0, 8.0)]), stations(spark, places), broadcast_rows=broadcast_rows
+    )
     rows = found.orderBy("rank").collect()
     assert [row.station.id for row in rows] == ["s0", "s1", "s2", "s3", "s4"]
     assert rows[0].station.name == {"en": "Station s0"}
