@@ -77,6 +77,25 @@ def _rings(most: int, k: int, max_km: float, count: int) -> list[float]:
     return rings
 
 
+def _fitting(
+    sites: DataFrame, site_count: int, rings: list[float], broadcast_rows: int
+) -> tuple[list[float], bool]:
+    """The rings whose copies of the sites can be broadcast, and whether any can.
+
+    Copies are counted when the upper bound is too large. The smallest rings are given up first;
+    a catalogue that does not even fit for the whole radius is shuffled and searched at once.
+    """
+    if site_count * MAX_COPIES * len(rings) <= broadcast_rows:
+        return rings, True
+    total, fitting = 0, []
+    for radius in reversed(rings):
+        total += Grid.for_radius(radius).touched_cells(sites, "site_lat", "site_lon").count()
+        if total > broadcast_rows:
+            break
+        fitting.insert(0, radius)
+    return fitting or rings[-1:], bool(fitting)
+
+
 def _partitions(spark: SparkSession, count: int) -> int:
     """Tasks for ``count`` requests: enough to keep a cluster busy, none of them large."""
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -130,12 +149,9 @@ def ranked_candidates(
         cell = Grid.for_radius(max_km).cell("site_lat", "site_lon")
         per_cell = sites.groupBy(cell.alias("cell")).count()
         rings = _rings(per_cell.agg(F.max("count")).first()[0] or 0, k, max_km, count)
-    fits = site_count * MAX_COPIES * len(rings) <= broadcast_rows
     if len(rings) > 1:
         sites = _first_of_each_place(sites, k)
-    if not fits:
-        # A shuffled catalogue is searched at once; its hot cells are spread instead.
-        rings = [max_km]
+    rings, fits = _fitting(sites, site_count, rings, broadcast_rows)
 
     vector = unit_vector(F.col("site_lat"), F.col("site_lon"))
     sites = sites.withColumns(dict(zip(SITE, vector)))

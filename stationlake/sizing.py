@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a narrow table (ids, coordinates, a few dates: about 100 bytes in memory) that one
-# executor can hold as a broadcast, about 100 MB.
-BROADCAST_ROWS = 1_000_000
+# executor can hold as a broadcast, about 200 MB.
+BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

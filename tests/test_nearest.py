@@ -131,7 +131,9 @@ def test_rings():
     assert nearest._rings(1000, 1, 90.0, 100) == [90.0]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"])
+@pytest.mark.parametrize(
+    "broadcast_rows", [1_000_000, 12_000, 0], ids=["broadcast", "fewer rings", "salted"]
+)
 @pytest.mark.parametrize("k", [1, 3])
 def test_crowded_places_take_smaller_rings(spark, monkeypatch, k, broadcast_rows):
     monkeypatch.setattr(nearest, "MANY_PAIRS", 0)
