@@ -29,7 +29,7 @@ from stationlake.llm.shared import staged
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
 #: Words whose ids a task keeps at hand.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 
 class WordIds:
@@ -45,35 +45,66 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        closing = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.closes[closing] = True
+
+    def encode(self, parts: list[bytes]) -> None:
+        """Add the ids of new parts. Parts of letters only are each one word, so they are encoded in one go and
+        told apart by the ids that close a word; should that not add up, one by one."""
+        texts = [p.decode("utf-8", "replace") for p in parts]
+        whole = [i for i, t in enumerate(texts) if t.isalpha()]
+        ids = np.array(
+            self.tokenizer.encode_batch_fast(["\n".join([texts[i] for i in whole])], add_special_tokens=False)[0].ids,
+            dtype="<u4",
+        )
+        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+        single = set(range(len(texts)))
+        if len(ends) == len(whole):
+            raw, begin = ids.tobytes(), 0
+            for i, end in zip(whole, ends.tolist(), strict=True):
+                self.known[parts[i]] = raw[begin:end]
+                begin = end
+            single.difference_update(whole)
+        rest = sorted(single)
+        found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        for i, one in zip(rest, found, strict=True):
+            self.known[parts[i]] = np.array(one.ids, dtype="<u4").tobytes()
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        parts: dict[bytes, tuple[bytes, ...]] = {}
+        stems: dict[bytes, tuple[bytes, bytes]] = {}
+        fresh = set()
         for word in words:
             # Lower case is part of the tokenizer; for ASCII it can be applied first.
             low = word.lower() if word.isascii() else word
-            stem, last = low[:-1], low[-1:]
-            parts[word] = (stem, last) if last in (b",", b".") and stem[-1:].isalpha() else (low,)
-        fresh = list({p for pieces in parts.values() for p in pieces} - self.known.keys())
-        for part, found in zip(
-            fresh,
-            self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in fresh], add_special_tokens=False),
-            strict=True,
-        ):
-            self.known[part] = np.array(found.ids, dtype="<u4").tobytes()
-        for word, pieces in parts.items():
-            self.known[word] = b"".join([self.known[p] for p in pieces])
+            if low[-1:] in (b",", b".") and low[-2:-1].isalpha():
+                stem, last = low[:-1], low[-1:]
+            else:
+                stem, last = low, b""
+            if last or low != word:
+                stems[word] = (stem, last)
+            for part in (stem, last):
+                if part not in self.known:
+                    fresh.add(part)
+        fresh.discard(b"")
+        if fresh:
+            self.encode(list(fresh))
+        for word, (stem, last) in stems.items():
+            self.known[word] = self.known[stem] + (self.known[last] if last else b"")
 
     def __call__(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         words = text.split()
-        unknown = set(words).difference(self.known)
+        unknown = {w for w in words if w not in self.known}
         if unknown:
             self.learn(unknown)
-            if not self.known.keys() >= unknown or any(w not in self.known for w in words):
-                self.learn(set(words))
-        return b"".join(map(self.known.__getitem__, words))
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:  # the words at hand were dropped to make room
+            self.learn(set(words))
+            return b"".join(map(self.known.__getitem__, words))
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, length: int, end_id: int) -> DataFrame:
