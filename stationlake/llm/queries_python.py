@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm.language import fit, identify
+from stationlake.llm.near_duplicates import near_duplicates
 from stationlake.llm.packing import pack_documents
 from stationlake.llm.registry import query, table
 from stationlake.llm.sharding import shard_table
@@ -103,3 +104,8 @@ FROM words LEFT JOIN joined USING (doc_id)
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"), size=20)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=90)
