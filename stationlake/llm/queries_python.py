@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm.language import fit, identify
+from stationlake.llm.lm import score_texts
 from stationlake.llm.near_duplicates import near_duplicates
 from stationlake.llm.packing import pack_documents
 from stationlake.llm.registry import query, table
@@ -109,3 +110,9 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+@query()
+def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trains = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    return score_texts(table(spark, sf_dir, "documents"), trains)
