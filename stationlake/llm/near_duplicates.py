@@ -34,7 +34,7 @@ from stationlake.llm.rtree import RTree, join, least_shared
 from stationlake.llm.shared import staged
 
 #: Groups of the points, and of the frequencies that order the elements.
-GROUPS = 32
+GROUPS = 128
 FREQUENCY_GROUPS = 1 << 15
 #: Sets of a slab that one tree holds.
 BLOCK_SETS = 4096
@@ -63,6 +63,17 @@ def set_name(elements: np.ndarray) -> int:
     return int(np.frombuffer(xxhash.xxh3_64_digest(elements.tobytes()), ">i8")[0])
 
 
+def _point_bytes(counts: np.ndarray) -> bytes:
+    """A point in one byte per group where that is enough, else in four."""
+    return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
+
+
+def _points_of(rows: list[bytes]) -> np.ndarray:
+    if all(len(r) == GROUPS for r in rows):
+        return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), GROUPS)
+    return np.stack([np.frombuffer(r, np.uint8 if len(r) == GROUPS else "<u4").astype(np.uint32) for r in rows])
+
+
 def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
     """How many elements of all sets fall into each frequency group; whole sets of all rows are counted."""
 
@@ -101,9 +112,7 @@ def _points(docs: DataFrame, size: int, percent: int, frequency: np.ndarray) ->
                 n = len(found)
                 sizes.append(n)
                 names.append(set_name(found))
-                counts.append(
-                    np.bincount((found >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS).astype("<u4").tobytes()
-                )
+                counts.append(_point_bytes(np.bincount((found >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)))
                 rank = often[(found % np.uint64(FREQUENCY_GROUPS)).astype(np.int64)]
                 least = -(-percent * n // 100)  # what any partner has to share
                 first = n - least + 1 if n else 0
@@ -197,7 +206,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
         node, n, component = rows["node"], rows["n"], rows["component"]
         if (component == component[0]).all():
             return None
-        counts = np.frombuffer(b"".join(rows["counts"]), "<u4").reshape(len(node), GROUPS)
+        counts = _points_of(rows["counts"])
         low = np.flatnonzero(rows["block"] == rows["low"][0])
         tree = RTree(n[low], counts[low])
         if rows["low"][0] == rows["high"][0]:
