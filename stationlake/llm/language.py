@@ -56,7 +56,7 @@ class ContextTrees:
             counted.append(by_size)
         self.grams, self.costs, self.contexts, self.escapes = [], [], [], []
         lower = np.full((1, count), 8.0)  # all bytes alike
-        for level in range(order + 1):
+        for level in range(order + 1 if self.langs else 0):
             grams = np.unique(np.concatenate([c[level][0] for c in counted]))
             contexts = np.unique(grams >> np.uint32(8)) if level else np.zeros(1, np.uint32)
             escapes = np.zeros((len(contexts), count))

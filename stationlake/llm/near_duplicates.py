@@ -208,13 +208,14 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
             return None
         counts = _points_of(rows["counts"])
         low = np.flatnonzero(rows["block"] == rows["low"][0])
+        high = np.flatnonzero(rows["block"] != rows["low"][0])
+        within = rows["low"][0] == rows["high"][0]
+        if len(low) == 0 or not (within or len(high)):
+            return None
         tree = RTree(n[low], counts[low])
-        if rows["low"][0] == rows["high"][0]:
+        if within:
             pairs = ((low[i], low[j]) for i, j in join(tree, tree, percent))
         else:
-            high = np.flatnonzero(rows["block"] != rows["low"][0])
-            if len(low) == 0 or len(high) == 0:
-                return None
             pairs = ((low[i], high[j]) for i, j in join(tree, RTree(n[high], counts[high]), percent))
         best = np.full(len(node), len(node), dtype=np.int64)  # points come sorted by node
         found = []
