@@ -59,9 +59,13 @@ def utc_instant(text: Column) -> Column:
     iso = F.regexp_replace(text, r" ?(z|Z|UTC)$", "+00:00")
     iso = F.regexp_replace(iso, r" ?([+-]\d{2}):?(\d{2})$", "$1:$2")
     iso = F.regexp_replace(iso, r"^(.{10})[t ]", "$1T")
-    micros = F.unix_micros(iso.try_cast("timestamp_ltz"))
+    return instant_as_utc(iso.try_cast("timestamp_ltz"))
+
+
+def instant_as_utc(at: Column) -> Column:
+    """A ``timestamp`` as a UTC date-time without zone, whatever the session's zone is."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", micros, epoch)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(at), epoch)
 
 
 def datetime_bounds(

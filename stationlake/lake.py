@@ -5,17 +5,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlake.functions.periods import (
+    instant_as_utc,
     resolve_date_periods,
     resolve_datetime_periods,
     resolve_month_periods,
 )
 from stationlake.operators import located, nearest
 from stationlake.operators.frames import FRAMES, WeatherFrame
-from stationlake.sources import bulk
 from stationlake.sources.store import DEFAULT_BUCKETS, Store
 from stationlake.values import (
     Frequency,
@@ -122,6 +125,12 @@ class WeatherLake:
         self.rebuild_station_list(source)
 
 
+def _instant(requests: DataFrame, at: str) -> Column:
+    """The column, as a UTC date-time without zone if it holds instants of the session's zone type."""
+    zoned = isinstance(requests.schema[at].dataType, T.TimestampType)
+    return instant_as_utc(F.col(at)) if zoned else F.col(at)
+
+
 class Weather:
     """Weather of one frequency: by station, by place, or for a table of requests."""
 
@@ -154,15 +163,32 @@ class Weather:
         max_distance_km: float = nearest.DEFAULT_RADIUS_KM,
         station_limit: int = 1,
     ) -> WeatherFrame:
-        """Rows of the nearest station whose inventory fits and that has data."""
-        served = self.serving(
-            self.lake.point(place), required, max_distance_km, station_limit, count=1
-        ).first()
-        if served.status == "no_station":
+        """Rows of the nearest station whose inventory fits and that has data.
+
+        With a landing folder a candidate's file is read when it is missing or stale; a candidate that
+        has no data or whose file can't be read gives way to the next one, and the error raised
+        when none is left has the last reason as its cause.
+        """
+        point = self.lake.point(place)
+        if self.lake.landing is None:
+            served = self.serving(point, required, max_distance_km, station_limit, count=1).first()
+            if served.status == "no_station":
+                raise NoStationWithinRadius(max_distance_km, *place)
+            if served.status == "no_data":
+                raise NoDataForNearbyStations(max_distance_km, *place, served.stations_tried)
+            return self.station(served.station, required)
+        candidates = nearest.nearest_stations(
+            point, self.store.stations(), station_limit, max_distance_km, self.frequency, required, count=1
+        ).orderBy("rank").collect()  # station_limit rows at most
+        if not candidates:
             raise NoStationWithinRadius(max_distance_km, *place)
-        if served.status == "no_data":
-            raise NoDataForNearbyStations(max_distance_km, *place, served.stations_tried)
-        return self.station(served.station, required)
+        last_error: Exception | None = None
+        for candidate in candidates:
+            try:
+                return self.station(candidate.station, required)
+            except (NoDataForStation, PySparkException, Py4JError) as error:
+                last_error = error
+        raise NoDataForNearbyStations(max_distance_km, *place, len(candidates)) from last_error
 
     # -- tables of requests
 
@@ -175,15 +201,14 @@ class Weather:
         carry: Sequence[str] = (),
         count: int | None = None,
     ) -> DataFrame:
-        """Station, distance and outcome for every request; see ``nearest.serving_stations``."""
-        available = self._available()
-        if self.lake.landing is not None:
-            landed = bulk.landed_files(self.lake.spark, self.lake.landing_of(self.frequency))
-            available = available.union(landed.select("station"))
+        """Station, distance and outcome for every request; see ``nearest.serving_stations``.
+
+        A station has data when rows of it are stored; files that have only landed are not asked.
+        """
         return nearest.serving_stations(
             requests,
             self.store.stations(),
-            available,
+            self._available(),
             self.frequency,
             required,
             max_distance_km,
@@ -202,10 +227,11 @@ class Weather:
     ) -> DataFrame:
         """The row at each request's place and time.
 
-        ``at`` names the column with the instant or day; for normals it gives the Columns
+        ``at`` names the column with the instant or day (an instant counts in UTC, whatever the session's
+        zone); for normals it gives the Columns
         ``start_year``, ``end_year`` and ``month``.
         """
-        key = located.time_key(self.frequency, F.col(at)) if isinstance(at, str) else at
+        key = located.time_key(self.frequency, _instant(requests, at)) if isinstance(at, str) else at
         requests = requests.withColumns({f"at_{name}": value for name, value in key.items()})
         carry = [f"at_{name}" for name in key]
         count = requests.count()

@@ -81,7 +81,7 @@ def _month_number(day: Column) -> Column:
 def _bins(frequency: Frequency, start: dict[str, Column], end: dict[str, Column]) -> Column:
     """Calendar bins that a range touches: months of days and hours, years of months."""
     if frequency is Frequency.MONTHLY:
-        first, last = start["year"].cast("int"), end["year"].cast("int")
+        first, last = start["year"].cast("bigint"), end["year"].cast("bigint")
     else:
         name = TIME_COLUMNS[frequency][0]
         first, last = _month_number(start[name]), _month_number(end[name])
@@ -128,7 +128,7 @@ def weather_between(
         within = months_between(*(
             F.col(name) for name in ("from_year", "from_month", "to_year", "to_month")
         ))
-        rows = weather.withColumn("bin", F.col("year").cast("int"))
+        rows = weather.withColumn("bin", F.col("year").cast("bigint"))
     else:
         (name,) = TIME_COLUMNS[frequency]
         within = (F.col(name) >= F.col(f"from_{name}")) & (F.col(name) <= F.col(f"to_{name}"))

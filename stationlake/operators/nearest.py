@@ -267,7 +267,7 @@ def find_stations(
     """As :func:`nearest_stations`, with the whole catalogue entry in struct ``station``."""
     count = requests.count() if count is None else count
     found = nearest_stations(
-        requests, stations, k, max_km, frequency, required, count=count
+        requests, stations, k, max_km, frequency, required, count=count, broadcast_rows=broadcast_rows
     ).withColumnRenamed("station", "station_id")
     entries = stations.select(
         F.col("id").alias("station_id"), F.struct(*stations.columns).alias("station")

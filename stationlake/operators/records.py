@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlake.functions.conditions import condition_name
 from stationlake.values import Frequency
@@ -95,9 +96,23 @@ def records(df: DataFrame, frequency: Frequency, keep: Sequence[str] = ("station
     return df.filter(is_valid(frequency)).select(*kept, *_fields(frequency))
 
 
+def _json_value(df: DataFrame, field: Column, name: str) -> Column:
+    """JSON has no NaN and no infinity: they become null. Instants are UTC and say so."""
+    kind = df.select(field).schema[0].dataType
+    if isinstance(kind, T.DoubleType):
+        finite = ~F.isnan(field) & (F.abs(field) != F.lit(float("inf")))
+        return F.when(finite, field).alias(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.concat(F.translate(field.cast("string"), " ", "T"), F.lit("Z")).alias(name)
+    return field
+
+
 def json_records(df: DataFrame, frequency: Frequency) -> DataFrame:
     """``station`` and the record as JSON text; nulls are kept."""
-    text = F.to_json(F.struct(*_fields(frequency)), {"ignoreNullFields": "false"})
+    names = [field for field, _, _ in FIELDS[frequency]]
+    names += ["condition"] if frequency is Frequency.HOURLY else []
+    fields = [_json_value(df, f, n) for f, n in zip(_fields(frequency), names, strict=True)]
+    text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     kept = [name for name in ("station",) if name in df.columns]
     return df.filter(is_valid(frequency)).select(*kept, text.alias("record"))
 

@@ -125,6 +125,19 @@ _register_filter(
     lambda frame: frame.get_for_period(dt.date(2024, 1, 15)),
     "CAST(datetime AS date) = DATE '2024-01-15'",
 )
+# The hourly view covers January 2024 only: another month and another year have to give nothing.
+_register_filter(
+    "hourly_period_other_month",
+    HourlyFrame,
+    lambda frame: frame.get_for_period(Month(year=2024, month=2)),
+    "datetime >= TIMESTAMP '2024-02-01 00:00:00' AND datetime < TIMESTAMP '2024-03-01 00:00:00'",
+)
+_register_filter(
+    "hourly_period_other_year",
+    HourlyFrame,
+    lambda frame: frame.get_for_period(Year(2023)),
+    "extract(year FROM datetime) = 2023",
+)
 _register_filter(
     "hourly_period_month",
     HourlyFrame,
@@ -252,3 +265,75 @@ def daily_records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("daily_records_json", daily_records_json)
+
+
+# -- records as JSON, read back
+
+#: Written out by hand: keys in order, and each value as it has to come back.
+JSON_SQL = {
+    "hourly": """
+SELECT station,
+  'datetime,temperature,dew_point,relative_humidity,precipitation,snow,wind_direction,wind_speed,'
+  || 'peak_wind_gust,pressure,sunshine_minutes,condition' AS keys,
+  strftime(datetime, '%Y-%m-%dT%H:%M:%SZ') AS time,
+  CASE WHEN isfinite(temp) THEN temp END AS temperature,
+  CASE WHEN isfinite(pres) THEN pres END AS pressure, TRY_CAST(rhum AS integer) AS whole
+FROM hourly WHERE datetime IS NOT NULL
+""",
+    "daily": """
+SELECT station,
+  'date,average_temperature,minimum_temperature,maximum_temperature,precipitation,snow,wind_direction,'
+  || 'wind_speed,peak_wind_gust,pressure,sunshine_minutes' AS keys,
+  strftime(date, '%Y-%m-%d') AS time,
+  CASE WHEN isfinite(tavg) THEN tavg END AS temperature,
+  CASE WHEN isfinite(pres) THEN pres END AS pressure, TRY_CAST(snow AS integer) AS whole
+FROM daily WHERE date IS NOT NULL
+""",
+    "monthly": """
+SELECT station,
+  'year,month,average_temperature,minimum_temperature,maximum_temperature,precipitation,wind_speed,'
+  || 'pressure,sunshine_minutes' AS keys,
+  CAST(year AS varchar) AS time,
+  CASE WHEN isfinite(tavg) THEN tavg END AS temperature,
+  CASE WHEN isfinite(pres) THEN pres END AS pressure, TRY_CAST(month AS integer) AS whole
+FROM monthly WHERE month BETWEEN 1 AND 12
+""",
+    "climate": """
+SELECT station,
+  'start_year,end_year,month,minimum_temperature,maximum_temperature,precipitation,wind_speed,pressure,'
+  || 'sunshine_minutes' AS keys,
+  CAST(start_year AS varchar) AS time,
+  CASE WHEN isfinite(tmin) THEN tmin END AS temperature,
+  CASE WHEN isfinite(pres) THEN pres END AS pressure, TRY_CAST(month AS integer) AS whole
+FROM climate WHERE month BETWEEN 1 AND 12
+""",
+}
+#: Names of the fields that are read back as time, temperature and a whole number.
+JSON_FIELDS = {
+    HourlyFrame: ("datetime", "temperature", "relative_humidity"),
+    DailyFrame: ("date", "average_temperature", "snow"),
+    MonthlyFrame: ("year", "average_temperature", "month"),
+    ClimateFrame: ("start_year", "minimum_temperature", "month"),
+}
+
+
+def _json_read_back(kind: type[WeatherFrame]):
+    time, temperature, whole = JSON_FIELDS[kind]
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        text = F.col("record")
+        return _frame(kind, spark, sf_dir).json_records().select(
+            "station",
+            F.concat_ws(",", F.json_object_keys(text)).alias("keys"),
+            F.get_json_object(text, f"$.{time}").alias("time"),
+            F.get_json_object(text, f"$.{temperature}").cast("double").alias("temperature"),
+            F.get_json_object(text, "$.pressure").cast("double").alias("pressure"),
+            F.get_json_object(text, f"$.{whole}").cast("int").alias("whole"),
+        )
+
+    return query
+
+
+for _kind in JSON_FIELDS:
+    _view = VIEW_OF[_kind.frequency]
+    register(f"{_view}_records_json_read_back", _json_read_back(_kind), JSON_SQL[_view], (_view,))

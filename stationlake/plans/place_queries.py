@@ -165,6 +165,12 @@ _register_nearest(
     Frequency.DAILY,
     lambda: RequiredData.full_year(1997),
 )
+_register_nearest(
+    "nearest_stations_daily_full_year_2001",
+    "s.daily_start <= DATE '2001-01-01' AND s.daily_end >= DATE '2001-12-31'",
+    Frequency.DAILY,
+    lambda: RequiredData.full_year(2001),
+)
 _register_nearest(
     "nearest_stations_hourly_specific_date",
     "s.hourly_start <= CAST(r.at AS date) AND s.hourly_end >= CAST(r.at AS date)",
@@ -197,6 +203,12 @@ _register_nearest(
 _register_nearest(
     "nearest_stations_climate_any", any_sql("normals"), Frequency.CLIMATE
 )
+_register_nearest(
+    "nearest_stations_climate_full_year_2021",
+    "s.normals_start <= 2021 AND s.normals_end >= 2021",
+    Frequency.CLIMATE,
+    lambda: RequiredData.full_year(2021),
+)
 _register_nearest(
     "nearest_stations_climate_full_year",
     "s.normals_start <= 1995 AND s.normals_end >= 1995",

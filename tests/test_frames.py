@@ -19,6 +19,8 @@ from stationlake import (
     schemas,
     single_records,
 )
+from stationlake.operators import located
+from stationlake.operators.records import json_records
 
 D, T = dt.date, dt.datetime
 
@@ -204,3 +206,24 @@ def test_single_records_of_a_table(spark):
     (row,) = accepted.collect()
     assert (row.request_id, row.station, row.average_temperature) == (1, "a", 3.5)
     assert {row.request_id: row.actual for row in rejected.collect()} == {2: 3, 3: 0, 4: 0}
+
+
+def test_json_of_values_that_json_lacks(spark):
+    rows = spark.sql(
+        "SELECT 'a' AS station, timestamp_ntz'2024-03-31 02:30:00' AS datetime, double('NaN') AS temp, "
+        "double('Infinity') AS dwpt, double('-Infinity') AS prcp, 1.5D AS wspd, null AS wpgt, 1013.0D AS pres, "
+        "5L AS rhum, null AS snow, null AS wdir, null AS tsun, 7L AS coco"
+    )
+    record = json.loads(json_records(rows, Frequency.HOURLY).first().record)
+    assert record["datetime"] == "2024-03-31T02:30:00Z"
+    assert [record[k] for k in ("temperature", "dew_point", "precipitation", "wind_speed")] == [None, None, None, 1.5]
+
+
+def test_years_beyond_int_do_not_fail_a_period_join(spark):
+    weather = spark.createDataFrame(
+        [("a", 3_000_000_000, 1, 1.0), ("a", 2020, 5, 2.0)], "station string, year long, month long, tavg double"
+    )
+    wanted = spark.createDataFrame([(1, "a")], "request_id long, station string")
+    bound = {"year": F.lit(2020).cast("bigint"), "month": F.lit(5).cast("bigint")}
+    found = located.weather_between(wanted, weather, Frequency.MONTHLY, bound, bound).collect()
+    assert [(r.year, r.tavg) for r in found] == [(2020, 2.0)]

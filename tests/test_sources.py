@@ -348,6 +348,38 @@ def test_location_falls_back_to_a_station_with_data(lake):
     assert november.maximum_temperature == 7.5
 
 
+def test_location_passes_over_a_file_that_cannot_be_read(lake, tmp_path):
+    land(tmp_path / "landing", DAILY, "07147", "2024-01-05,1.0\n")  # nearest, fields missing
+    record = lake.daily().location(HERE, station_limit=3).get_at("2024-01-05").single_record()
+    assert (record.station, record.average_temperature) == ("10384", 4.0)
+    with pytest.raises(NoDataForNearbyStations) as error:
+        lake.daily().location(HERE)
+    assert error.value.__cause__ is not None
+
+
+def test_tables_of_requests_use_stored_rows_only(spark, lake, tmp_path):
+    lake.ingest(DAILY)
+    land(tmp_path / "landing", DAILY, "07147", days("2023-12-01", 60, 9.0))  # nearer, not ingested
+    wanted = spark.createDataFrame([(1, 48.0, 8.0, D(2024, 1, 5))], "request_id long, lat double, lon double, day date")
+    assert [r.station for r in lake.daily().at(wanted, "day", station_limit=3).collect()] == ["10384"]
+    lake.ingest(DAILY)
+    assert [r.station for r in lake.daily().at(wanted, "day", station_limit=3).collect()] == ["07147"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_instants_do_not_follow_the_session_zone(spark, lake, zone, kind):
+    lake.ingest(HOURLY)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        text = "timestamp_ntz'2024-01-10 13:40:00'" if kind == "timestamp_ntz" else "timestamp'2024-01-10 13:40:00Z'"
+        wanted = spark.range(1).selectExpr("1L AS request_id", "48.0D AS lat", "8.0D AS lon", f"{text} AS at_time")
+        assert [r.temp for r in lake.hourly().at(wanted, "at_time").collect()] == [3.5]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_find_stations(lake):
     found = lake.find_stations(HERE, DAILY, RequiredData.any(), station_limit=2)
     assert [row.station.id for row in found.orderBy("rank").collect()] == ["07147", "10384"]
