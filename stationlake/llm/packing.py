@@ -30,6 +30,8 @@ from stationlake.llm.shared import staged
 BLOCK_PIECES = 50_000
 #: Words whose ids a task keeps at hand.
 CACHE_WORDS = 600_000
+#: Rows whose ids are held as arrays at a time.
+ROWS_AT_ONCE = 1_000
 
 
 class WordIds:
@@ -114,7 +116,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, leng
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = WordIds(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             owners, pieces, starts, sizes, sums, values = [], [], [], [], [], []
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for row, content in enumerate(texts):
