@@ -193,7 +193,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 )
 
     _opened(folder)[0].create_dir(_opened(folder)[1], recursive=True)
-    rows = archives.select("path").repartition(F.col("path"))
+    # A fixed number of parts: small rows that stand for large files must not be put together.
+    rows = archives.select("path").repartition(max(1, archives.count()), "path")
     return staged(rows.mapInArrow(rewrite, "path string, index_path string, records long"), "normalised")
 
 
@@ -259,7 +260,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
         "refers_to long, payload binary"
     )
-    return archives.select("path", "index_path").repartition("path").mapInArrow(read, kinds)
+    parts = max(1, archives.count())
+    return archives.select("path", "index_path").repartition(parts, "path").mapInArrow(read, kinds)
 
 
 def with_revisits(
