@@ -96,15 +96,19 @@ class WordIds:
         for word, (stem, last) in stems.items():
             self.known[word] = self.known[stem] + (self.known[last] if last else b"")
 
+    def prepare(self, texts: list[bytes]) -> None:
+        """Learn the new words of many texts at once."""
+        unknown: set[bytes] = set()
+        for text in texts:
+            unknown.update(text.split())
+        self.learn({w for w in unknown if w not in self.known})
+
     def __call__(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         words = text.split()
-        unknown = {w for w in words if w not in self.known}
-        if unknown:
-            self.learn(unknown)
         try:
             return b"".join(map(self.known.__getitem__, words))
-        except KeyError:  # the words at hand were dropped to make room
+        except KeyError:  # new words, or words that were dropped to make room
             self.learn(set(words))
             return b"".join(map(self.known.__getitem__, words))
 
@@ -118,9 +122,10 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, leng
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             owners, pieces, starts, sizes, sums, values = [], [], [], [], [], []
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            ids_of.prepare(texts)
             for row, content in enumerate(texts):
-                ids = ids_of(content or b"") + end
+                ids = ids_of(content) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     owners.append(row)
