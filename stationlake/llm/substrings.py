@@ -7,8 +7,8 @@ of a document are merged into maximal intervals.
 Which occurrence of a hash is the first is found by a shuffle on the hash, in packed form. A task gathers a few million
 windows, keeps the first of each hash (of the others it knows already that they are repeated) and sends those, dealt
 over buckets by hash, as arrays: 8 bytes of hash, and place and document as small differences. A bucket sorts what it has
-got by hash, document and place, and answers, per document, with the places that are not first. The answers meet the
-documents by id and text, and the words go.
+got by hash, document and place, and answers with the places that are not first, packed and dealt over parts of the
+documents. A part puts the places of a document together, and they meet the document by id and text.
 
 Scale: a window that a third of all documents share reaches its bucket once per task, not once per document. Buckets
 hold about BUCKET_WINDOWS windows, their number follows the input. Nothing is collected or broadcast. Two different windows
@@ -92,7 +92,7 @@ def _repeats(ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> tuple[n
 
 
 def _questions(size: int, buckets: int):
-    """Rows (doc_key, mark, text) to packed rows; bucket -1: places that are known to be repeated."""
+    """Rows (doc_key, mark, text) to packed rows; buckets below 0: places that are known to be repeated."""
 
     def send(chunk: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple]:
         chunk.sort(key=lambda x: x[0])
@@ -110,7 +110,7 @@ def _questions(size: int, buckets: int):
         again = np.zeros(len(h), dtype=bool)
         again[order] = (ids[doc[order]] != ids[doc[head]]) | (start[order] != start[head])
         if again.any():
-            yield _pack(-1, doc[again], ids, marks, start[again], None)
+            yield _pack(-1 - int(ids[0] % buckets), doc[again], ids, marks, start[again], None)
         # Equal rows at the first place all ask, so that each gets its answer.
         ask = np.flatnonzero(~again)
         bucket = ((hashes[ask] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
@@ -142,25 +142,35 @@ def _questions(size: int, buckets: int):
     return run
 
 
-def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed rows sorted by bucket to (doc_key, mark, places that are repeated)."""
+def _ordered(ids: np.ndarray, marks: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places in the order of (id, mark, start), each once, and where a new document begins."""
+    order = np.lexsort((starts, marks, ids))
+    ids, marks, starts = ids[order], marks[order], starts[order]
+    new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))
+    once = new | np.concatenate(([True], starts[1:] != starts[:-1]))
+    return ids[once], marks[once], starts[once], new[once]
+
+
+def _part(ids: np.ndarray, marks: np.ndarray, parts: int) -> np.ndarray:
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= marks.astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return ((mixed >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+
+
+def _answers(parts: int):
+    """Packed rows sorted by bucket to packed places that are repeated; their bucket is a part of the documents."""
 
     def told(ids: np.ndarray, marks: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((starts, marks, ids))
-        ids, marks, starts = ids[order], marks[order], starts[order].astype("<u4")
-        new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))
-        cuts = np.append(np.flatnonzero(new), len(ids))
-        raw = starts.tobytes()
-        for begin in range(0, len(cuts) - 1, 5000):
-            part = cuts[begin : begin + 5001]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[part[:-1]], pa.int64()),
-                    pa.array(marks[part[:-1]], pa.int32()),
-                    pa.array([raw[4 * a : 4 * b] for a, b in zip(part[:-1], part[1:], strict=True)], pa.binary()),
-                ],
-                schema=ANSWER,
-            )
+        ids, marks, starts, new = _ordered(ids, marks, starts)
+        there = np.flatnonzero(new)
+        doc = np.cumsum(new) - 1
+        part = _part(ids[there], marks[there], parts)[doc]
+        dealt = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(part[dealt]) != 0)))
+        for begin, end in zip(cuts, np.append(cuts[1:], len(dealt)), strict=True):
+            some = dealt[begin:end]
+            row = _pack(int(part[some[0]]), doc[some], ids[there], marks[there], starts[some], None)
+            yield _batch([row], PACKED)
 
     def closed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         ids, marks, starts, hashes = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -169,24 +179,57 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(found):
             yield from told(ids[found], marks[found], starts[found])
 
-    held, bucket = [], None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bucket = [], None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] < 0:
+                    yield from told(*_unpack(row)[:3])
+                    continue
+                if row["bucket"] != bucket and held:
+                    yield from closed(held)
+                    held = []
+                bucket = row["bucket"]
+                held.append(_unpack(row))
+        if held:
+            yield from closed(held)
+
+    return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed places sorted by part to one row (doc_key, mark, places) for each document."""
+
+    def closed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, marks, starts, new = _ordered(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        cuts = np.append(np.flatnonzero(new), len(ids))
+        raw = starts.astype("<u4").tobytes()
+        for begin in range(0, len(cuts) - 1, 5000):
+            some = cuts[begin : begin + 5001]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[some[:-1]], pa.int64()),
+                    pa.array(marks[some[:-1]], pa.int32()),
+                    pa.array([raw[4 * a : 4 * b] for a, b in zip(some[:-1], some[1:], strict=True)], pa.binary()),
+                ],
+                schema=ANSWER,
+            )
+
+    held, part = [], None
     for batch in batches:
         for row in batch.to_pylist():
-            if row["bucket"] < 0:
-                yield from told(*_unpack(row)[:3])
-                continue
-            if row["bucket"] != bucket and held:
+            if row["bucket"] != part and held:
                 yield from closed(held)
                 held = []
-            bucket = row["bucket"]
-            held.append(_unpack(row))
+            part = row["bucket"]
+            held.append(_unpack(row)[:3])
     if held:
         yield from closed(held)
 
 
 def repeated_windows(docs: DataFrame, size: int, buckets: int | None = None) -> DataFrame:
     """(doc_key, mark, starts) from rows (doc_key, mark, text): the places of repeated windows, as
-    arrays of little-endian 32-bit numbers; several rows per document."""
+    an array of little-endian 32-bit numbers; one row per document that has any."""
     if buckets is None:
         octets = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(1, -(-octets // (6 * BUCKET_WINDOWS)))
@@ -194,7 +237,10 @@ def repeated_windows(docs: DataFrame, size: int, buckets: int | None = None) ->
         docs.mapInArrow(_questions(size, buckets), PACKED_SQL)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_answers, "doc_key long, mark int, starts binary")
+        .mapInArrow(_answers(buckets), PACKED_SQL)
+        .repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_gathered, "doc_key long, mark int, starts binary")
     )
 
 
@@ -215,21 +261,17 @@ def remove_repeats(
         F.hash(body).alias("mark"),  # tells rows of one key apart
         body.alias("text"),
     )
-    found = (
-        repeated_windows(rows.select("doc_key", "mark", "text"), size, buckets)
-        .groupBy("doc_key", "mark")
-        .agg(F.collect_list("starts").alias("starts"))
-    )
+    found = repeated_windows(rows.select("doc_key", "mark", "text"), size, buckets)
 
     @F.arrow_udf("n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>")
     def cut(texts: pa.Array, places: pa.Array) -> pa.Array:
         totals, removed, kept, spans = [], [], [], []
-        for value, parts in zip(texts.cast(pa.binary()).to_pylist(), places.to_pylist(), strict=True):
+        for value, place in zip(texts.cast(pa.binary()).to_pylist(), places.to_pylist(), strict=True):
             words = value.split()
             gone: list[dict] = []
-            if parts:
+            if place:
                 change = np.zeros(len(words) + 1, dtype=np.int64)
-                starts = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in parts]))
+                starts = np.frombuffer(place, "<u4")
                 change[starts] += 1
                 change[starts + size] -= 1
                 covered = np.cumsum(change)[:-1] > 0
