@@ -90,9 +90,13 @@ class WeatherLake:
         )
 
     def ingest(self, frequency: Frequency, landing: str | None = None) -> None:
-        """Store the landed files of stations that are not stored yet."""
+        """Store the landed files of stations that are not stored yet, but for malformed ones."""
         self.store.ingest(landing or self.landing_of(frequency), frequency, self.today)
 
+    def rejects(self) -> DataFrame:
+        """Stations whose files were malformed, with path and line."""
+        return self.store.rejects()
+
     def refresh(self, frequency: Frequency, needs: DataFrame, landing: str | None = None) -> None:
         """Read stale stations again; ``needs`` holds ``station, frequency, end_date``."""
         folder = landing or self.landing_of(frequency)
@@ -299,6 +303,6 @@ class Weather:
         )
         landing = self.lake.landing_of(self.frequency)
         if self._available().filter(F.col("station") == station).isEmpty():
-            self.store.ingest(landing, self.frequency, self.lake.today, only=wanted)
+            self.store.ingest(landing, self.frequency, self.lake.today, only=wanted, strict=True)
         else:
-            self.store.refresh(landing, self.frequency, wanted, self.lake.today)
+            self.store.refresh(landing, self.frequency, wanted, self.lake.today, strict=True)

@@ -71,6 +71,14 @@ STATUS_LOG: Columns = {
     "written_on": "date",
     "version": "bigint",
 }
+REJECTS: Columns = {
+    "station": "string",
+    "frequency": "string",
+    "path": "string",
+    "line": "string",
+    "lines": "bigint",
+    "seen_on": "date",
+}
 
 
 def ddl(columns: Columns) -> str:

@@ -14,6 +14,9 @@ from stationlake.values import Frequency
 _IN_FOLDER = r"/station=([^/]+)/[^/]+$"
 _IN_FILE_NAME = r"/([^/]+?)\.csv(\.gz)?$"
 
+# Holds a line with too few or too many fields, or with text in place of a number.
+REJECTED = "_rejected"
+
 
 def station_of_path(path: Column) -> Column:
     """Station id of a file ``{station}.csv.gz`` or ``station={station}/part-*.csv.gz``."""
@@ -52,14 +55,25 @@ def scan_raw(
     field, so column pruning is off. Text in place of a number fails when its column is read.
     ``mode="PERMISSIVE"`` or ``"DROPMALFORMED"`` lets such rows through or drops them.
     """
+    return _read(spark, schemas.FILE_COLUMNS[frequency], paths, mode)
+
+
+def _read(
+    spark: SparkSession, columns: schemas.Columns, paths: str | Sequence[str], mode: str
+) -> DataFrame:
     return (
-        spark.read.schema(schemas.ddl(schemas.FILE_COLUMNS[frequency]))
+        spark.read.schema(schemas.ddl(columns))
         .option("header", "false")
         .option("mode", mode)
+        .option("columnNameOfCorruptRecord", REJECTED)
         .option("columnPruning", "false")
         .option("recursiveFileLookup", "true")
         .csv(paths)
-        .select(station_of_path(F.col("_metadata.file_path")).alias("station"), "*")
+        .select(
+            station_of_path(F.col("_metadata.file_path")).alias("station"),
+            *columns,
+            *([F.col("_metadata.file_path").alias("path")] if REJECTED in columns else []),
+        )
     )
 
 
@@ -89,6 +103,14 @@ def scan(
     return typed(scan_raw(spark, frequency, paths, mode), frequency)
 
 
+def scan_checked(
+    spark: SparkSession, frequency: Frequency, paths: str | Sequence[str]
+) -> DataFrame:
+    """As :func:`scan`, with the ``path`` and, for a line that does not fit, its text in ``_rejected``."""
+    columns = schemas.FILE_COLUMNS[frequency] | {REJECTED: "string"}
+    return typed(_read(spark, columns, paths, "PERMISSIVE"), frequency)
+
+
 def write_files(rows: DataFrame, frequency: Frequency, landing: str) -> None:
     """Write a typed table back as bulk files below ``station=...`` folders.
 

@@ -231,17 +231,60 @@ class Store:
         """Paths for the reader: one text per file, which Spark's own file listing holds too."""
         return [row.path for row in files.select("path").collect()]
 
+    def _parse(
+        self, paths: list[str], frequency: Frequency, seen_on: dt.date, strict: bool
+    ) -> DataFrame:
+        """Typed rows of landed files, parsed once and staged.
+
+        A station with a line that does not fit gives no rows; it is put down in the rejects. With
+        ``strict`` such a line fails the job instead.
+        """
+        if strict:
+            return self._stage(bulk.scan(self.spark, frequency, paths), "landed")
+        landed = self._stage(bulk.scan_checked(self.spark, frequency, paths), "landed")
+        line = F.col(bulk.REJECTED)
+        rejects = self._stage(
+            landed.filter(line.isNotNull())
+            .groupBy("station")
+            .agg(
+                F.min(F.struct("path", line.alias("line"))).alias("first"),
+                F.count("*").alias("lines"),
+            )
+            .select(
+                "station",
+                F.lit(frequency.value).alias("frequency"),
+                "first.path",
+                "first.line",
+                "lines",
+                F.lit(seen_on).alias("seen_on"),
+            ),
+            "rejects",
+        )
+        rows = landed.drop("path", bulk.REJECTED)
+        if rejects.isEmpty():
+            return rows
+        rejects.write.mode("append").parquet(f"{self.root}/rejects")
+        return rows.join(broadcast_if_small(rejects.select("station")), "station", "left_anti")
+
+    def rejects(self) -> DataFrame:
+        """Stations left out by ``ingest`` or ``refresh``: file, first line that does not fit, how many.
+
+        One row for each run that met the station.
+        """
+        return self._read(f"{self.root}/rejects", schemas.REJECTS)
+
     def ingest(
         self,
         landing: str,
         frequency: Frequency,
         written_on: dt.date,
         only: DataFrame | None = None,
-        mode: str = "FAILFAST",
+        strict: bool = False,
     ) -> None:
         """Add the landed files of stations that are not stored yet; other files stay closed.
 
-        ``only`` restricts this to the stations it lists.
+        ``only`` restricts this to the stations it lists. A station with a malformed line stays out
+        and is listed in :meth:`rejects`, or fails the job when ``strict``.
         """
         files = bulk.landed_files(self.spark, landing)
         if only is not None:
@@ -249,8 +292,8 @@ class Store:
         missing = files.join(self.available(frequency), "station", "left_anti")
         paths = self._paths(missing)
         if paths:
-            rows = bulk.scan(self.spark, frequency, paths, mode)
-            self._append(rows, missing.select("station").distinct(), frequency, written_on)
+            rows = self._parse(paths, frequency, written_on, strict)
+            self._append(rows, rows.select("station").distinct(), frequency, written_on)
 
     def refresh(
         self,
@@ -258,11 +301,11 @@ class Store:
         frequency: Frequency,
         needs: DataFrame,
         today: dt.date,
-        mode: str = "FAILFAST",
+        strict: bool = False,
     ) -> None:
         """Read the files of stale stations again and replace their rows; see stale_stations.
 
-        A station whose landed file is missing or empty keeps its rows and stays stale.
+        A station whose landed file is missing, empty or malformed keeps its rows and stays stale.
         """
         stale = stale_stations(
             needs.filter(F.col("frequency") == frequency.value), self.status(), today
@@ -270,8 +313,8 @@ class Store:
         files = bulk.landed_files(self.spark, landing).join(stale, "station", "left_semi")
         paths = self._paths(files)
         if paths:
-            rows = self._stage(bulk.scan(self.spark, frequency, paths, mode), "refresh")
-            stations = rows.select("station").distinct()
+            rows = self._parse(paths, frequency, today, strict)
+            stations = self._stage(rows.select("station").distinct(), "stations")
             self._replace(rows, stations, frequency)
             self._log(stations, frequency, today)
 

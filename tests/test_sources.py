@@ -188,6 +188,33 @@ def test_ingest_adds_what_is_missing(spark, store, tmp_path):
     assert store.scan_station(DAILY, "07147").count() == 3
 
 
+def test_malformed_stations_are_left_out(spark, store, tmp_path):
+    good = days("2020-01-01", 3, 1.0)
+    land(tmp_path, DAILY, "good", good)
+    land(tmp_path, DAILY, "short", good + "2020-01-09,1.0\n2020-01-10,1.0\n")
+    land(tmp_path, DAILY, "long", good + "2020-01-09" + "," * 14 + "\n")
+    folder = land(tmp_path, DAILY, "text", good + "2020-01-09,x,,,,,,,,,\n")
+    store.ingest(folder, DAILY, D(2020, 2, 1))
+    assert tavg(store) == {"good": (1.0, 3)}
+    assert written(store) == {("good", "daily"): D(2020, 2, 1)}
+    rejects = {row.station: row for row in store.rejects().collect()}
+    assert set(rejects) == {"short", "long", "text"}
+    short = rejects["short"]
+    assert (short.frequency, short.line, short.lines) == ("daily", "2020-01-09,1.0", 2)
+    assert short.path.endswith("/short.csv.gz") and short.seen_on == D(2020, 2, 1)
+    # Once the file is mended the station is stored.
+    land(tmp_path, DAILY, "short", days("2020-01-01", 4, 2.0))
+    store.ingest(folder, DAILY, D(2020, 3, 1))
+    assert tavg(store) == {"good": (1.0, 3), "short": (2.0, 4)}
+    # A stale station whose new file is malformed keeps its rows; strict fails.
+    land(tmp_path, DAILY, "good", days("2020-01-01", 5, 3.0) + "2020-01-09,1.0\n")
+    asked = needs(spark, ("good", D(2020, 2, 2)))
+    store.refresh(folder, DAILY, asked, D(2020, 4, 1))
+    assert tavg(store)["good"] == (1.0, 3)
+    with pytest.raises((PySparkException, Py4JJavaError), match="MALFORMED"):
+        store.refresh(folder, DAILY, asked, D(2020, 4, 1), strict=True)
+
+
 def test_rows_without_status_are_replaced(spark, store, tmp_path):
     folder = land(tmp_path, DAILY, "07147", days("2020-01-01", 3, 1.0))
     # A job that was lost after the rows and before the status.
