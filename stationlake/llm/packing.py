@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from stationlake.llm.shared import staged
 
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
-#: Words whose ids a task keeps at hand.
+#: Words whose ids a Python worker keeps at hand, from one task to the next.
 CACHE_WORDS = 600_000
 #: Rows whose ids are held as arrays at a time.
 ROWS_AT_ONCE = 1_000
@@ -113,12 +114,18 @@ class WordIds:
             return b"".join(map(self.known.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_file: str) -> WordIds:
+    """The one of this process: later tasks of a worker find the words of earlier ones."""
+    return WordIds(tokenizer_file)
+
+
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, length: int, end_id: int) -> DataFrame:
     """(key, piece, start, length, ids_crc32, tokens) of each row; a null text counts as empty."""
     kind = dict(docs.dtypes)[key]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(tokenizer_file)
+        ids_of = word_ids(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             owners, pieces, starts, sizes, sums, values = [], [], [], [], [], []
