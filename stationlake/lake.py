@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -19,6 +19,7 @@ from stationlake.functions.periods import (
 )
 from stationlake.operators import located, nearest
 from stationlake.operators.frames import FRAMES, WeatherFrame
+from stationlake.schemas import TIME_COLUMNS
 from stationlake.sources.store import DEFAULT_BUCKETS, Store
 from stationlake.values import (
     Frequency,
@@ -30,6 +31,17 @@ from stationlake.values import (
 )
 
 
+#: Columns with the first and the last time of a period, for each time column of a frequency.
+BOUNDS = {
+    Frequency.DAILY: ({"date": "start_date"}, {"date": "end_date"}),
+    Frequency.HOURLY: ({"datetime": "start_at"}, {"datetime": "end_at"}),
+    Frequency.MONTHLY: (
+        {"year": "start_year", "month": "start_month"},
+        {"year": "end_year", "month": "end_month"},
+    ),
+}
+
+
 class WeatherLake:
     def __init__(
         self,
@@ -235,20 +247,76 @@ class Weather:
         zone); for normals it gives the Columns
         ``start_year``, ``end_year`` and ``month``.
         """
+        served, count = self._served_at(requests, at, required, max_distance_km, station_limit)
+        return self._rows_at(served, count)
+
+    def at_outcomes(
+        self,
+        requests: DataFrame,
+        at: str | dict[str, Column],
+        required: RequiredData | None = None,
+        max_distance_km: float = nearest.DEFAULT_RADIUS_KM,
+        station_limit: int = 1,
+    ) -> DataFrame:
+        """What becomes of each request of :meth:`at`, one row per request.
+
+        ``status`` is ``ok``, ``bad_time`` (no time is given), ``no_station``, ``no_data`` (see ``serving``) or
+        ``no_row`` (the station has data, but none of that time).
+        """
+        served, count = self._served_at(requests, at, required, max_distance_km, station_limit)
+        missing = [F.col(f"at_{name}").isNull() for name in TIME_COLUMNS[self.frequency]]
+        judged = served.withColumn(
+            "status", F.when(F.greatest(*missing, F.lit(False)), "bad_time").otherwise(F.col("status"))
+        )
+        return self._outcomes(judged, lambda own: self._rows_at(own, count))
+
+    def _served_at(
+        self,
+        requests: DataFrame,
+        at: str | dict[str, Column],
+        required: RequiredData | None,
+        max_distance_km: float,
+        station_limit: int,
+    ) -> tuple[DataFrame, int]:
+        """The requests with the station that serves each and their time in columns ``at_…``; their count."""
         key = located.time_key(self.frequency, _instant(requests, at)) if isinstance(at, str) else at
         requests = requests.withColumns({f"at_{name}": value for name, value in key.items()})
         carry = [f"at_{name}" for name in key]
         count = requests.count()
-        served = self.serving(requests, required, max_distance_km, station_limit, carry, count)
+        return self.serving(requests, required, max_distance_km, station_limit, carry, count), count
+
+    def _rows_at(self, served: DataFrame, count: int) -> DataFrame:
         return located.weather_at(
             served,
             self.store.scan(self.frequency),
             self.frequency,
-            {name: F.col(f"at_{name}") for name in key},
+            {name: F.col(f"at_{name}") for name in TIME_COLUMNS[self.frequency]},
             count,
             self.store.bucket_of,
         )
 
+    def _outcomes(self, judged: DataFrame, rows_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The status of each served request, with ``no_row`` where ``rows_of`` finds nothing for an ``ok`` one.
+
+        The requests are numbered and written once, so that the search runs once and requests that share an
+        id stay apart.
+        """
+        own = self.store.stage(judged.withColumn("row", F.monotonically_increasing_id()), "served")
+        asked = own.filter("status = 'ok'").drop("request_id", "status")
+        found = rows_of(asked.withColumnRenamed("row", "request_id")).select(
+            F.col("request_id").alias("row"), F.lit(True).alias("found")
+        )
+        no_row = (F.col("status") == "ok") & F.col("found").isNull()
+        return own.join(found.distinct(), "row", "left").select(
+            "request_id",
+            "lat",
+            "lon",
+            "station",
+            "distance_km",
+            "stations_tried",
+            F.when(no_row, "no_row").otherwise(F.col("status")).alias("status"),
+        )
+
     def for_periods(
         self,
         requests: DataFrame,
@@ -266,19 +334,42 @@ class Weather:
             requests = self.serving(
                 requests, required, max_distance_km, station_limit, [period], count
             )
-        requests = requests.drop("status")
+        return self._rows_between(self._resolved(requests.drop("status"), period), count)
+
+    def period_outcomes(
+        self,
+        requests: DataFrame,
+        period: str = "period",
+        required: RequiredData | None = None,
+        max_distance_km: float = nearest.DEFAULT_RADIUS_KM,
+        station_limit: int = 1,
+    ) -> DataFrame:
+        """What becomes of each request of :meth:`for_periods` at its place, one row per request.
+
+        ``status`` is ``ok``, ``bad_period``, ``no_station``, ``no_data`` (see ``serving``) or ``no_row`` (the
+        station has data, but none of the period).
+        """
+        count = requests.count()
+        served = self.serving(requests, required, max_distance_km, station_limit, [period], count)
+        judged = self._resolved(served.withColumnRenamed("status", "search"), period)
+        bad = F.col("status") != "ok"
+        judged = judged.withColumn("status", F.when(bad, F.col("status")).otherwise(F.col("search")))
+        return self._outcomes(judged, lambda own: self._rows_between(own, count))
+
+    def _resolved(self, requests: DataFrame, period: str) -> DataFrame:
+        """The requests with the bounds of their period text and its ``status``."""
         if self.frequency is Frequency.DAILY:
-            resolved = resolve_date_periods(requests, period)
-            start, end = {"date": F.col("start_date")}, {"date": F.col("end_date")}
-        elif self.frequency is Frequency.HOURLY:
-            resolved = resolve_datetime_periods(requests, period)
-            start, end = {"datetime": F.col("start_at")}, {"datetime": F.col("end_at")}
-        elif self.frequency is Frequency.MONTHLY:
-            resolved = resolve_month_periods(requests, period)
-            start = {"year": F.col("start_year"), "month": F.col("start_month")}
-            end = {"year": F.col("end_year"), "month": F.col("end_month")}
-        else:
-            raise ValueError("normals have no periods")
+            return resolve_date_periods(requests, period)
+        if self.frequency is Frequency.HOURLY:
+            return resolve_datetime_periods(requests, period)
+        if self.frequency is Frequency.MONTHLY:
+            return resolve_month_periods(requests, period)
+        raise ValueError("normals have no periods")
+
+    def _rows_between(self, resolved: DataFrame, count: int) -> DataFrame:
+        start, end = (
+            {name: F.col(column) for name, column in bound.items()} for bound in BOUNDS[self.frequency]
+        )
         return located.weather_between(
             resolved,
             self.store.scan(self.frequency),

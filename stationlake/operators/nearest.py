@@ -1,6 +1,7 @@
 """Nearest stations for a whole table of points.
 
-A request table has ``request_id`` (unique), ``lat`` and ``lon``. Requests and stations meet in
+A request table has ``request_id``, ``lat`` and ``lon``. Ids should be unique; requests that share one
+are answered each on its own all the same. Requests and stations meet in
 the cells of a :class:`~stationlake.functions.geo.Grid` by an equi-join; the exact distance and
 the inventory decide inside the join. Results are exact: nearest first, ties by station id.
 
@@ -38,6 +39,8 @@ DEFAULT_STATION_LIMIT = 5
 CROWDED = 6
 MANY_PAIRS = 50_000_000
 MAX_RINGS = 6
+#: What tells a request from all others; ``_copy`` numbers those that share an id.
+REQUEST = ("request_id", "_copy")
 SITE = ("site_x", "site_y", "site_z")
 POINT = ("point_x", "point_y", "point_z")
 
@@ -115,7 +118,7 @@ def ranked_candidates(
     count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Up to ``k`` stations per request with ``distance_km`` and ``rank``.
+    """Up to ``k`` stations per request (``REQUEST``) with ``distance_km`` and ``rank``.
 
     With ``how="left"`` a request without any station gets one row without station. With
     ``available`` the column ``has_data`` says whether a station is listed there. ``count`` is the
@@ -161,12 +164,16 @@ def ranked_candidates(
         sites, flags = sites.join(listed, "station", "left"), ["has_data"]
     points = requests.select(
         "request_id", "lat", "lon", *carry, *(value.alias(name) for name, value in needs.items())
-    ).withColumns(dict(zip(POINT, unit_vector(F.col("lat"), F.col("lon")))))
+    )
     if fits:
         points = points.repartition(_partitions(requests.sparkSession, count), "request_id")
+    sharing = Window.partitionBy("request_id").orderBy(*points.columns[1:])
+    points = points.withColumn("_copy", F.row_number().over(sharing)).withColumns(
+        dict(zip(POINT, unit_vector(F.col("lat"), F.col("lon"))))
+    )
     of_request = points.columns
     square = chord_square(tuple(map(F.col, POINT)), tuple(map(F.col, SITE)))
-    order = Window.partitionBy("request_id").orderBy(F.col("square").asc_nulls_last(), "station")
+    order = Window.partitionBy(*REQUEST).orderBy(F.col("square").asc_nulls_last(), "station")
 
     def search(state: DataFrame, radius: float, unsatisfied: Column) -> DataFrame:
         """The ``k`` nearest per request; requests that are satisfied keep the rows they have."""
@@ -196,7 +203,7 @@ def ranked_candidates(
 
     ranked = search(points, rings[0], F.lit(True))
     for radius in rings[1:]:
-        hits = F.count("station").over(Window.partitionBy("request_id"))
+        hits = F.count("station").over(Window.partitionBy(*REQUEST))
         more = F.col("hits") < k
         state = (
             ranked.withColumn("hits", hits)
@@ -214,7 +221,7 @@ def ranked_candidates(
     if how == "inner":
         ranked = ranked.filter(F.col("station").isNotNull())
     return ranked.select(
-        "request_id",
+        *REQUEST,
         "lat",
         "lon",
         *carry,
@@ -251,7 +258,7 @@ def nearest_stations(
         carry,
         count=count,
         broadcast_rows=broadcast_rows,
-    )
+    ).drop("_copy")
 
 
 def find_stations(
@@ -311,7 +318,7 @@ def serving_stations(
         count=count,
         broadcast_rows=broadcast_rows,
     )
-    of_request = Window.partitionBy("request_id")
+    of_request = Window.partitionBy(*REQUEST)
     served = F.min(F.when(F.col("has_data"), F.col("rank"))).over(of_request)
     ok = F.col("served").isNotNull()
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stationlake import schemas
 from stationlake.functions import periods
 from stationlake.functions.geo import distance_km
+from stationlake.lake import WeatherLake
 from stationlake.operators import located
 from stationlake.operators.frames import FRAMES, DailyFrame, HourlyFrame, MonthlyFrame
 from stationlake.operators.nearest import find_stations, nearest_stations, serving_stations
@@ -18,7 +19,8 @@ from stationlake.operators.records import single_records
 from stationlake.plans.filter_queries import record_columns_sql
 from stationlake.plans.fixtures import catalogue, view
 from stationlake.plans.registry import register
-from stationlake.plans.store_queries import VIEW_OF
+from stationlake.plans.store_queries import VIEW_OF, WRITTEN
+from stationlake.scratch import scratch_folder
 from stationlake.values import Frequency, Month, RequiredData, Year
 
 # Columns need a session, so requirements are made when a query runs.
@@ -404,6 +406,56 @@ _register_at(
 )
 
 
+# -- the same through the front door: a store, its catalogue and its status log
+
+
+def _daily_lake(spark: SparkSession, sf_dir: str) -> WeatherLake:
+    lake = WeatherLake(spark, scratch_folder(spark, "lake"), buckets=8)
+    lake.store.save_catalogue(catalogue(spark, sf_dir))
+    lake.store.append(view(spark, sf_dir, "daily"), Frequency.DAILY, WRITTEN)
+    return lake
+
+
+def daily_at_location_via_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = view(spark, sf_dir, "requests")
+    rows = _daily_lake(spark, sf_dir).daily().at(requests, "on_date", specific_day(), station_limit=3)
+    names = list(schemas.table_columns(Frequency.DAILY))[1:]
+    return rounded(rows.select("request_id", "station", "distance_km", *names))
+
+
+def at_location_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with its outcome; the inventory is asked for any data, so a day may have no row."""
+    requests = view(spark, sf_dir, "requests")
+    found = _daily_lake(spark, sf_dir).daily().at_outcomes(requests, "on_date", station_limit=2)
+    return found.select("request_id", "station", "stations_tried", "status")
+
+
+register(
+    "daily_at_location_via_store",
+    daily_at_location_via_store,
+    f"""
+    , {served_sql(COVERS_DAY, 50.0, 3, "daily")}
+    SELECT q.request_id, q.station, round(q.distance_km, 6) AS distance_km,
+      {", ".join(f"w.{column}" for column in list(schemas.table_columns(Frequency.DAILY))[1:])}
+    FROM served q JOIN daily w ON w.station = q.station AND w.date = q.on_date
+    """,
+    ("requests", "stations", "daily"),
+)
+register(
+    "at_location_outcome",
+    at_location_outcome,
+    f"""
+    , {served_sql(any_sql("daily"), 50.0, 2, "daily")}
+    SELECT q.request_id, q.station, q.stations_tried,
+      CASE WHEN q.on_date IS NULL THEN 'bad_time'
+        WHEN q.status = 'ok' AND w.station IS NULL THEN 'no_row' ELSE q.status END AS status
+    FROM served q LEFT JOIN (SELECT DISTINCT station, date FROM daily) w
+      ON w.station = q.station AND w.date = q.on_date
+    """,
+    ("requests", "stations", "daily"),
+)
+
+
 # -- one period, the same for all places
 
 

@@ -183,7 +183,7 @@ class Store:
             .parquet(f"{self.root}/status")
         )
 
-    def _stage(self, rows: DataFrame, name: str) -> DataFrame:
+    def stage(self, rows: DataFrame, name: str) -> DataFrame:
         """Rows written once to the shared folder, so that later steps do not parse them again."""
         folder = scratch_folder(self.spark, name)
         rows.write.parquet(folder)
@@ -217,12 +217,12 @@ class Store:
     def _append(
         self, rows: DataFrame, stations: DataFrame, frequency: Frequency, written_on: dt.date
     ) -> None:
-        stations = self._stage(stations, "stations")
+        stations = self.stage(stations, "stations")
         # Rows are sorted by station, so the one column read here is a few runs per file.
         if self.scan_stations(frequency, stations).isEmpty():
             self._write(rows, frequency, "append")
         else:
-            staged = self._stage(rows, "append")
+            staged = self.stage(rows, "append")
             self._replace(staged, staged.select("station").distinct(), frequency)
         written = self.scan_stations(frequency, stations).select("station").distinct()
         self._log(written, frequency, written_on)
@@ -240,10 +240,10 @@ class Store:
         ``strict`` such a line fails the job instead.
         """
         if strict:
-            return self._stage(bulk.scan(self.spark, frequency, paths), "landed")
-        landed = self._stage(bulk.scan_checked(self.spark, frequency, paths), "landed")
+            return self.stage(bulk.scan(self.spark, frequency, paths), "landed")
+        landed = self.stage(bulk.scan_checked(self.spark, frequency, paths), "landed")
         line = F.col(bulk.REJECTED)
-        rejects = self._stage(
+        rejects = self.stage(
             landed.filter(line.isNotNull())
             .groupBy("station")
             .agg(
@@ -314,7 +314,7 @@ class Store:
         paths = self._paths(files)
         if paths:
             rows = self._parse(paths, frequency, today, strict)
-            stations = self._stage(rows.select("station").distinct(), "stations")
+            stations = self.stage(rows.select("station").distinct(), "stations")
             self._replace(rows, stations, frequency)
             self._log(stations, frequency, today)
 

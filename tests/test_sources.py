@@ -441,6 +441,38 @@ def test_tables_of_requests(spark, lake):
     assert {r.request_id for r in normals.collect()} == {1, 2, 3}
 
 
+def test_outcomes_of_requests(spark, lake):
+    lake.ingest(DAILY)
+    rows = [
+        (1, 48.0, 8.0, D(2024, 1, 5), "2024-01"),
+        (1, 48.2, 8.0, D(2024, 1, 10), "2024-01-10"),  # shares an id
+        (1, 48.2, 8.0, D(2024, 1, 10), "2024-01-10"),  # and comes twice
+        (2, 48.0, 8.0, D(2025, 1, 5), "2025"),
+        (3, 48.0, 8.0, None, "soon"),
+        (4, 0.0, 0.0, D(2024, 1, 5), "2024"),
+        (5, None, 8.0, D(2024, 1, 5), "2024"),
+    ]
+    wanted = spark.createDataFrame(
+        rows, "request_id bigint, lat double, lon double, day date, period string"
+    )
+    for found, bad in (
+        (lake.daily().at_outcomes(wanted, "day", station_limit=3), "bad_time"),
+        (lake.daily().period_outcomes(wanted, station_limit=3), "bad_period"),
+    ):
+        assert sorted((r.request_id, r.station or "", r.status) for r in found.collect()) == [
+            (1, "10384", "ok"),
+            (1, "10637", "ok"),
+            (1, "10637", "ok"),
+            (2, "10384", "no_row"),
+            (3, "10384", bad),
+            (4, "", "no_station"),
+            (5, "", "no_station"),
+        ]
+    near = lake.daily().at_outcomes(wanted.filter("request_id = 4 OR lat = 48.0D"), "day")
+    assert {r.request_id: r.status for r in near.collect()} == {1: "no_data", 2: "no_data", 3: "bad_time", 4: "no_station"}
+    assert lake.daily().at(wanted.filter("request_id = 1"), "day", station_limit=3).count() == 3
+
+
 def test_clearing(lake, tmp_path):
     lake.daily().station("10384")
     lake.daily().station("10637")
