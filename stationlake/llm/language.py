@@ -22,7 +22,7 @@ from stationlake.llm.shared import packed
 
 #: Bytes of context.
 ORDER = 3
-#: Labelled texts of each language that are fitted on, about, and bytes of all of them at most.
+#: Different labelled texts of each language that are fitted on, and bytes of all of them at most.
 SAMPLE_ROWS = 400
 SAMPLE_BYTES = 8 << 20
 
@@ -108,30 +108,35 @@ def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang",
     sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, seed: int = 11,
 ) -> ContextTrees:
-    """Trees from about sample_rows texts of each language, drawn by a hash of the text.
+    """Trees from the first sample_rows different texts of each language in the order of a hash of the text.
 
-    Whole texts are taken, in the order of the hash, until all together have sample_bytes bytes (the first always).
+    Copies of a text count once, before anything is drawn. Whole texts are taken in that order as long as the language's
+    share of sample_bytes holds them (the first always), so every labelled language is learned.
     """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).filter(
         "text IS NOT NULL AND lang IS NOT NULL AND text <> ''"
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    hashed = F.xxhash64(F.lit(seed), "text")
+    different = rows.select("lang", hashed.alias("hashed")).distinct()
+    counts = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
     if not counts:
         return ContextTrees({})
-    draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, sample_rows / n))])
+    # So many that sample_rows of them are there whatever the hashes; the driver keeps the first.
+    ample = sample_rows + 10 * sample_rows**0.5 + 50
+    draw = F.pmod(hashed, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, ample / n))])
     budget = sample_bytes // len(counts)
     drawn = rows.filter(draw < share[F.col("lang")]).select("lang", "text", draw.alias("draw"))
-    # Copies share a hash: each text counts once, so that a group of copies can't outgrow the sample.
     distinct = drawn.groupBy("lang", "text").agg(F.min("draw").alias("draw"))
     samples: dict[str, list[bytes]] = {k: [] for k in counts}
-    size = dict.fromkeys(counts, 0)
-    for row in distinct.orderBy("draw").toLocalIterator():
-        data = row["text"].encode()
-        if size[row["lang"]] + len(data) <= budget or not samples[row["lang"]]:
-            samples[row["lang"]].append(data)
-            size[row["lang"]] += len(data)
-    return ContextTrees({k: v for k, v in samples.items() if v})
+    size, seen = dict.fromkeys(counts, 0), dict.fromkeys(counts, 0)
+    for row in distinct.orderBy("draw", "lang", "text").toLocalIterator():
+        data, lang = row["text"].encode(), row["lang"]
+        seen[lang] += 1
+        if seen[lang] <= sample_rows and (size[lang] + len(data) <= budget or not samples[lang]):
+            samples[lang].append(data)
+            size[lang] += len(data)
+    return ContextTrees(samples)
 
 
 def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:

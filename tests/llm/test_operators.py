@@ -310,6 +310,21 @@ def test_language(spark, nothing):
     assert language.identify(frame, language.fit(nothing)).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_with_many_copies_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = [("".join(rng.choice(list("abcde "), 60)), "aa") for _ in range(300)]
+    rare = ["".join(rng.choice(list("fghij "), 60)) for _ in range(16)]
+    rows += [(t, "bb") for t in rare] + [(rare[0], "bb")] * 3000
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    samples = {}
+    monkeypatch.setattr(language, "ContextTrees", samples.update)
+    language.fit(frame, sample_rows=20)
+    assert Counter(samples["bb"]) == Counter(t.encode() for t in rare)
+    assert len(samples["aa"]) == len(set(samples["aa"])) == 20
+    language.fit(frame, sample_rows=1)
+    assert len(samples["aa"]) == len(samples["bb"]) == 1
+
+
 def test_context_trees_are_a_distribution():
     trees = language.ContextTrees({"x": [b"abracadabra", b"abrakadabra"]}, order=2)
     for before in (b"", b"a", b"ab", b"zz"):
