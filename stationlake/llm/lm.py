@@ -1,25 +1,32 @@
 """Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
 
-Words are counted over all training texts. The most frequent ones have a class of their own, the others share
-one, within which a word has its smoothed share of the counts. The classes of the last two words predict the next class:
-their vectors, weighted place by place, are added up to a query, whose product with each class's vector, plus the
-class's bias, is its score. Training needs no normalisation: in each batch the true next classes are told from noise
-classes drawn by frequency. Scoring normalises: for each different context the products with all classes are made in
-batches, so that token probabilities add up to one over all words and one unknown word.
+Words are counted over all training texts. The most frequent ones have a class of their own, all others share one. Each
+of those, down to words seen once, has a code: its rank by frequency, written as band, step and column. With V such
+words there are about the cube root of V of each, so vectors follow the vocabulary while their tables stay small.
+The last two words predict the next: their vectors, each the sum of that of the class and those of the code,
+weighted place by place, are added up to a query, whose product with each class's vector, plus the class's bias, is its
+score. Inside the shared class the query scores the bands and one unknown word, plus the band's vector the
+steps of the band, plus the step's vector the columns. Training of classes needs no normalisation: in each batch the true
+next classes are told from noise classes drawn by frequency; bands, steps and columns are few, and are trained by
+likelihood from the smoothed counts on. Scoring normalises every level: for each different context the products with all
+classes are made in batches, so that token probabilities add up to one over all words and one unknown word.
 
 Scale. Texts are dealt to chunks of a few million words. A chunk asks once for each of its different words,
 with its own training count; counts are added up per word by a shuffle, and the totals go back to the chunks that
-asked. So no table of all words is broadcast, and a word in every text moves once per chunk. Every task trains on
-all training texts of its part from the same start, and parameters are averaged by words seen, one grouped sum per
-parameter. Broadcast are the parameters and classes, whose size is fixed.
+asked. So no table of all words is broadcast, and a word in every text moves once per chunk; codes go the same
+way. Every chunk trains on all its training texts from the same start, and parameters are averaged by words seen, one
+grouped sum per parameter. Broadcast are the parameters, whose size follows the cube root of the number of words, and one
+count per band and step, the square of that.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +40,10 @@ SIZE = 16
 CONTEXT = 2
 NOISE = 64
 BATCH = 1024
+#: Parameters that the numbers of a word's code add to its vector as a context.
+CODE_CONTEXTS = ("context_band", "context_step", "context_column")
+#: Words that are ranked in one task, about.
+RANKED_WORDS = 500_000
 RATE = 0.1
 #: Words of a chunk, about.
 CHUNK_WORDS = 2_000_000
@@ -78,22 +89,60 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out()
 
 
+class Codes:
+    """Words without a class of their own: rank = row * columns + column, row = band * steps + step."""
+
+    def __init__(self, words: int, columns: int, rows: np.ndarray) -> None:
+        """rows: training counts of the rows, of which there are as many as the words fill."""
+        self.words, self.columns = words, columns
+        self.steps = math.isqrt(max(len(rows) - 1, 0)) + 1
+        self.bands = -(-len(rows) // self.steps)
+        smoothed = np.zeros(self.bands * self.steps)
+        smoothed[: len(rows)] = rows + 0.5 * np.minimum(columns, words - columns * np.arange(len(rows)))
+        steps = smoothed.reshape(self.bands, self.steps)
+        bands = np.append(steps.sum(axis=1), 0.5)  # the last one is the unknown word
+        with np.errstate(divide="ignore"):
+            self.band_logs = np.log(bands / bands.sum()).astype(np.float32)
+            self.step_logs = np.maximum(np.log(steps / bands[:-1, None]), -1e30).astype(np.float32)
+
+
 class Model:
-    """Parameters, and the numbers of the classes: 0 .. K-1 frequent words, K the end, K+1 other words, K+2 the start."""
+    """Parameters, and the numbers of the words: 0 .. K-1 frequent words, K the end, K+1 the unknown word, K+2 the start,
+    then all words with a code. K+1 is also the class of the latter."""
 
-    def __init__(self, frequent: np.ndarray, counts: np.ndarray, seed: int = 3) -> None:
+    def __init__(self, frequent: np.ndarray, counts: np.ndarray, codes: Codes | None = None, seed: int = 3) -> None:
         """frequent: hashes; counts: training counts of the frequent words, the end and all other words."""
+        self.codes = codes = codes or Codes(0, 1, np.empty(0))
         self.frequent = {int(h): i for i, h in enumerate(frequent.view(np.uint64))}
         self.k = len(frequent)
         share = (counts + 0.5) / (counts + 0.5).sum()
         rng = np.random.default_rng(seed)
         rows = self.k + 3
         self.noise = share
+
+        def zeros(*shape: int) -> np.ndarray:
+            return np.zeros(shape, dtype=np.float32)
+
+        def drawn(count: int) -> np.ndarray:
+            return rng.normal(0, 0.1, (count, SIZE)).astype(np.float32)
+
         self.parts = {
-            "context": rng.normal(0, 0.1, (rows, SIZE)).astype(np.float32),
-            "target": np.zeros((self.k + 2, SIZE), dtype=np.float32),
+            "context": drawn(rows),
+            "target": zeros(self.k + 2, SIZE),
             "weight": np.ones((CONTEXT, SIZE), dtype=np.float32),
             "bias": np.log(share).astype(np.float32),
+            # The last row stands for words without a code, and stays 0.
+            "context_band": np.append(drawn(codes.bands), zeros(1, SIZE), 0),
+            "context_step": np.append(drawn(codes.steps), zeros(1, SIZE), 0),
+            "context_column": np.append(drawn(codes.columns), zeros(1, SIZE), 0),
+            "band": zeros(codes.bands + 1, SIZE),
+            "band_bias": zeros(codes.bands + 1),
+            "step_band": zeros(codes.bands, SIZE),
+            "step": zeros(codes.steps, SIZE),
+            "step_bias": zeros(codes.steps),
+            "column_step": zeros(codes.steps, SIZE),
+            "column": zeros(codes.columns, SIZE),
+            "column_bias": zeros(codes.columns),
         }
 
     @property
@@ -106,43 +155,116 @@ class Model:
             self.parts[name] = flat[at : at + part.size].reshape(part.shape).astype(np.float32)
             at += part.size
 
-    def classes(self, hashes: np.ndarray) -> np.ndarray:
-        """Class of each hash; the last one is the end."""
-        get, other = self.frequent.get, self.k + 1
-        ids = np.fromiter((get(h, other) for h in hashes.tolist()), np.int32, len(hashes))
-        ids[-1] = self.k
-        return ids
+    def copy(self) -> Model:
+        own = object.__new__(Model)
+        own.__dict__.update(self.__dict__ | {"parts": {k: v.copy() for k, v in self.parts.items()}})
+        return own
+
+    def numbers(self, hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        """Numbers of the words with these hashes and ranks (-1: no code)."""
+        hashes = hashes.view(np.uint64)
+        out = np.where(ranks >= 0, self.k + 3 + ranks, self.k + 1)
+        for place in np.flatnonzero(ranks < 0):
+            out[place] = self.frequent.get(int(hashes[place]), self.k + 1)
+        out[hashes == np.uint64(END)] = self.k
+        return out
+
+    def split(self, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Class, band, step and column of each number; words without a code have those after the last."""
+        codes, coded = self.codes, ids > self.k + 2
+        row, column = np.divmod(np.where(coded, ids - self.k - 3, 0), codes.columns)
+        band, step = np.divmod(row, codes.steps)
+        return (
+            np.where(coded, self.k + 1, ids),
+            np.where(coded, band, codes.bands),
+            np.where(coded, step, codes.steps),
+            np.where(coded, column, codes.columns),
+        )
 
     def contexts(self, ids: np.ndarray) -> np.ndarray:
-        """The CONTEXT classes before each place, the nearest first; start classes before the text."""
-        padded = np.concatenate((np.full(CONTEXT, self.k + 2, np.int32), ids))
+        """The CONTEXT words before each place, the nearest first; starts before the text."""
+        padded = np.concatenate((np.full(CONTEXT, self.k + 2, ids.dtype), ids))
         return np.stack([padded[CONTEXT - 1 - i : len(padded) - 1 - i] for i in range(CONTEXT)], axis=1)
 
+    def vectors(self, split: tuple[np.ndarray, ...]) -> np.ndarray:
+        p = self.parts
+        return p["context"][split[0]] + sum(p[name][at] for name, at in zip(CODE_CONTEXTS, split[1:], strict=True))
+
     def query(self, contexts: np.ndarray) -> np.ndarray:
+        return sum(self.vectors(self.split(contexts[:, i])) * self.parts["weight"][i] for i in range(CONTEXT))
+
+    def band_scores(self, query: np.ndarray) -> np.ndarray:
         p = self.parts
-        return sum(p["context"][contexts[:, i]] * p["weight"][i] for i in range(CONTEXT))
-
-    def log_totals(self, contexts: np.ndarray) -> np.ndarray:
-        """Log of the sum of exp(score) over all classes, per context."""
-        out = np.empty(len(contexts), dtype=np.float32)
-        for begin in range(0, len(contexts), 2048):
-            scores = self.query(contexts[begin : begin + 2048]) @ self.parts["target"].T + self.parts["bias"]
-            top = scores.max(axis=1, keepdims=True)
-            out[begin : begin + 2048] = np.log(np.exp(scores - top).sum(axis=1)) + top[:, 0]
+        return query @ p["band"].T + p["band_bias"] + self.codes.band_logs
+
+    def step_scores(self, query: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is asked of the steps of the given bands, and their scores."""
+        p = self.parts
+        asked = query + p["step_band"][band]
+        return asked, asked @ p["step"].T + p["step_bias"] + self.codes.step_logs[band]
+
+    def column_scores(self, asked: np.ndarray, band: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the columns of the given steps; asked: what was asked of the steps."""
+        p, codes = self.parts, self.codes
+        asked = asked + p["column_step"][step]
+        scores = asked @ p["column"].T + p["column_bias"]
+        filled = codes.words - (band * codes.steps + step) * codes.columns
+        for place in np.flatnonzero(filled < codes.columns):  # in the last row
+            scores[place, filled[place] :] = -1e30
+        return asked, scores
+
+    def log_totals(self, query: np.ndarray) -> np.ndarray:
+        """Log of the sum of exp(score) over all classes, per query."""
+        table = np.append(self.parts["target"].T, self.parts["bias"][None], 0)
+        query = np.append(query, np.ones((len(query), 1), np.float32), 1)
+        out = np.empty(len(query), dtype=np.float32)
+        piece = max(64, (1 << 18) // table.shape[1])
+        room = np.empty((piece, table.shape[1]), np.float32)
+        for begin in range(0, len(query), piece):
+            part = query[begin : begin + piece]
+            out[begin : begin + piece] = _log_sums(np.matmul(part, table, out=room[: len(part)]))
         return out
 
-    def class_log_probabilities(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        """Natural log of the normalised probability of each class after its context."""
-        code = contexts[:, 0].astype(np.int64) * (self.k + 3) + contexts[:, 1]
+    def log_probabilities(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """Natural log of the normalised probability of each word after its context."""
+        code = contexts[:, 0].astype(np.int64) * (int(contexts.max(initial=0)) + 1) + contexts[:, 1]
         _, first, at = np.unique(code, return_index=True, return_inverse=True)
-        different = contexts[first]
-        query = self.query(different)
-        scores = np.einsum("ij,ij->i", query[at], self.parts["target"][ids]) + self.parts["bias"][ids]
-        return scores - self.log_totals(different)[at]
+        query = self.query(contexts[first])
+        classes, band, step, column = self.split(ids)
+        p = self.parts
+        out = np.einsum("ij,ij->i", query[at], p["target"][classes]) + p["bias"][classes] - self.log_totals(query)[at]
+        others = np.flatnonzero(classes == self.k + 1)
+        for begin in range(0, len(others), 1024):
+            places = others[begin : begin + 1024]
+            asked = query[at[places]]
+            _add_logs(out, places, self.band_scores(asked), band[places])
+            coded = ids[places] > self.k + 2
+            places, asked = places[coded], asked[coded]
+            asked, scores = self.step_scores(asked, band[places])
+            _add_logs(out, places, scores, step[places])
+            _add_logs(out, places, self.column_scores(asked, band[places], step[places])[1], column[places])
+        return out
+
+    class_log_probabilities = log_probabilities
+
+
+def _add_logs(out: np.ndarray, places: np.ndarray, scores: np.ndarray, true: np.ndarray) -> None:
+    """Add the log probability of the true one among the scores of each row, which are used up."""
+    if len(places):
+        own = scores[np.arange(len(places)), true]
+        out[places] += own - _log_sums(scores)
+
+
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    """Log of the sum of exp(score) in each row; leaves exp(score - largest score) in scores."""
+    top = scores.max(axis=1, keepdims=True)
+    scores -= top
+    return np.log(np.exp(scores, out=scores).sum(axis=1)) + top[:, 0]
 
 
 class Trainer:
-    """Noise-contrastive steps with one set of noise classes per batch, and per-parameter step sizes."""
+    """Noise-contrastive steps with one set of noise classes per batch, likelihood steps below the classes, and
+    per-parameter step sizes."""
 
     def __init__(self, model: Model, seed: int) -> None:
         self.model, self.rng = model, np.random.default_rng(seed)
@@ -155,29 +277,59 @@ class Trainer:
         self.model.parts[name] += RATE * gradient / np.sqrt(self.squares[name])
 
     def step(self, ids: np.ndarray, contexts: np.ndarray) -> None:
-        p, n = self.model.parts, len(ids)
+        model, p, n = self.model, self.model.parts, len(ids)
         noise = np.minimum(
             np.searchsorted(self.cumulative, self.rng.random(NOISE) * self.cumulative[-1]), len(self.cumulative) - 1
         )
-        query = self.model.query(contexts)
-        target, others = p["target"][ids], p["target"][noise]
-        true = np.einsum("ij,ij->i", query, target) + p["bias"][ids] - self.log_noise[ids]
+        classes, band, step, column = model.split(ids)
+        split = [model.split(contexts[:, i]) for i in range(CONTEXT)]
+        vectors = [model.vectors(x) for x in split]
+        query = sum(v * p["weight"][i] for i, v in enumerate(vectors))
+        target, others = p["target"][classes], p["target"][noise]
+        true = np.einsum("ij,ij->i", query, target) + p["bias"][classes] - self.log_noise[classes]
         false = query @ others.T + p["bias"][noise] - self.log_noise[noise]
         up = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # slopes of the log likelihood
         down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
+        d = {name: np.zeros_like(x) for name, x in p.items()}
         d_query = (up[:, None] * target + down @ others) / n
-        d_target, d_bias = np.zeros_like(p["target"]), np.zeros_like(p["bias"])
-        _scatter(d_target, ids, up[:, None] * query / n)
-        np.add.at(d_target, noise, down.T @ query / n)
-        d_bias += np.bincount(ids, up, len(d_bias)) / n
-        d_bias += np.bincount(noise, down.sum(axis=0), len(d_bias)) / n
-        d_context, d_weight = np.zeros_like(p["context"]), np.zeros_like(p["weight"])
-        for i in range(CONTEXT):
-            _scatter(d_context, contexts[:, i], d_query * p["weight"][i])
-            d_weight[i] = (d_query * p["context"][contexts[:, i]]).sum(axis=0)
-        for name, gradient in (("target", d_target), ("bias", d_bias), ("context", d_context), ("weight", d_weight)):
-            self._apply(name, gradient.astype(np.float32))
-
+        _scatter(d["target"], classes, up[:, None] * query / n)
+        np.add.at(d["target"], noise, down.T @ query / n)
+        d["bias"] += np.bincount(classes, up, len(d["bias"])) / n
+        d["bias"] += np.bincount(noise, down.sum(axis=0), len(d["bias"])) / n
+        coded = np.flatnonzero(ids > model.k + 2)
+        if len(coded):
+            band, step, column, asked = band[coded], step[coded], column[coded], query[coded]
+            d_query[coded] += self._likelihood(d, "band", asked, model.band_scores(asked), band, n)
+            asked, scores = model.step_scores(asked, band)
+            d_asked = self._likelihood(d, "step", asked, scores, step, n)
+            asked, scores = model.column_scores(asked, band, step)
+            d_column = self._likelihood(d, "column", asked, scores, column, n)
+            _scatter(d["column_step"], step, d_column)
+            d_asked += d_column
+            _scatter(d["step_band"], band, d_asked)
+            d_query[coded] += d_asked
+        for i, (x, *code) in enumerate(split):
+            d_vector = d_query * p["weight"][i]
+            _scatter(d["context"], x, d_vector)
+            own = np.flatnonzero(contexts[:, i] > model.k + 2)
+            if len(own):
+                for name, at in zip(CODE_CONTEXTS, code, strict=True):
+                    _scatter(d[name], at[own], d_vector[own])
+            d["weight"][i] = (d_query * vectors[i]).sum(axis=0)
+        for name, gradient in d.items():
+            self._apply(name, gradient)
+
+    def _likelihood(
+        self, d: dict, name: str, asked: np.ndarray, scores: np.ndarray, true: np.ndarray, n: int
+    ) -> np.ndarray:
+        """Adds the slopes for the true ones among the scores, and returns that for what was asked; all over n."""
+        _log_sums(scores)
+        slope = scores / -scores.sum(axis=1, keepdims=True)
+        slope[np.arange(len(true)), true] += 1
+        slope /= n
+        d[name] += slope.T @ asked
+        d[f"{name}_bias"] += slope.sum(axis=0)
+        return slope @ self.model.parts[name]
 
 def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Add rows to out at the given places."""
@@ -187,36 +339,54 @@ def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     out[places[first]] += np.add.reduceat(rows[order], first, axis=0)
 
 
-def _trained(docs: DataFrame, model: Model) -> np.ndarray:
-    """Parameters averaged over the parts of docs (column text), weighted by words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+class _Places(dict):
+    """The place of a word in its chunk's table."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.by_hash = dict(zip(hashes.view(np.uint64).tolist(), range(len(hashes)), strict=True))
+        self.end = self.by_hash[END]
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = self.by_hash[xxhash.xxh3_64_intdigest(word)]
+        return place
 
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(np.empty(0, np.int64), np.ones(2))
-        own.__dict__.update({k: v for k, v in shared.value.__dict__.items() if k != "parts"})
-        own.parts = {k: v.copy() for k, v in shared.value.parts.items()}
-        trainer, known, seen = Trainer(own, seed=5), WordHashes(), 0
-        ids, contexts, held = [], [], 0
-        for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                one = own.classes(np.append(known.of(_lowered(text)), np.uint64(END)))
+    def of(self, text: bytes | None) -> np.ndarray:
+        words = _lowered(text)
+        return np.append(np.fromiter(map(self.__getitem__, words), np.int32, len(words)), np.int32(self.end))
+
+
+def _trained(dealt: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
+    """Parameters averaged over the chunks of dealt (chunk, text), weighted by words; known: (chunk, word, rank)."""
+    shared = dealt.sparkSession.sparkContext.broadcast(model)
+
+    def train(texts: pa.Table, words: pa.Table) -> pa.Table:
+        own, seen = shared.value.copy(), 0
+        trainer = Trainer(own, seed=5)
+        if len(texts):
+            hashes = words["word"].to_numpy()
+            places, numbers = _Places(hashes), own.numbers(hashes, words["rank"].to_numpy())
+            ids, contexts, held = [], [], 0
+            for text in texts["text"].cast(pa.binary()).to_pylist():
+                one = numbers[places.of(text)]
                 ids.append(one)
                 contexts.append(own.contexts(one))
                 held += len(one)
                 if held >= 16 * BATCH:
                     seen += _epoch(trainer, np.concatenate(ids), np.concatenate(contexts))
                     ids, contexts, held = [], [], 0
-        if held:
-            seen += _epoch(trainer, np.concatenate(ids), np.concatenate(contexts))
-        if seen:
-            flat = own.flat.astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(len(flat), seen))],
-                schema=pa.schema([("at", pa.int32()), ("value", pa.float64()), ("seen", pa.int64())]),
-            )
+            if held:
+                seen += _epoch(trainer, np.concatenate(ids), np.concatenate(contexts))
+        flat = own.flat.astype(np.float64) if seen else np.empty(0)
+        return pa.table(
+            {
+                "at": pa.array(np.arange(len(flat), dtype=np.int32)), "value": pa.array(flat * seen),
+                "seen": pa.array(np.full(len(flat), seen, dtype=np.int64)),
+            }
+        )
 
     summed = (
-        docs.select("text").mapInArrow(train, "at int, value double, seen long")
+        dealt.select("chunk", "text").groupBy("chunk").cogroup(known.select("chunk", "word", "rank").groupBy("chunk"))
+        .applyInArrow(train, "at int, value double, seen long")
         .groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("value")).collect()
     )
     flat = model.flat.astype(np.float64)
@@ -233,6 +403,36 @@ def _epoch(trainer: Trainer, ids: np.ndarray, contexts: np.ndarray) -> int:
     return len(ids)
 
 
+def _coded(counted: DataFrame, once: DataFrame, apart: list[int], words: int) -> tuple[DataFrame, Codes]:
+    """counted with the rank of each word, -1 for words without a code (those apart, and those not counted); and the codes.
+
+    once: each counted word with its total; words: how many of them aren't apart.
+    """
+    if not words:
+        return counted.withColumn("rank", F.lit(-1).cast("long")), Codes(0, 1, np.empty(0))
+    order = F.desc("total"), F.col("word")
+    parts = -(-words // RANKED_WORDS)
+    rare = staged(
+        once.join(F.broadcast(counted.sparkSession.createDataFrame([(w,) for w in apart], "word long")), "word", "left_anti")
+        .repartitionByRange(parts, *order).select("word", "total", F.spark_partition_id().alias("part")),
+        "rare",
+    )
+    sizes = {r["part"]: r["count"] for r in rare.groupBy("part").count().collect()}
+    begins, at = [], 0
+    for part in sorted(sizes):
+        begins += [F.lit(part), F.lit(at).cast("long")]
+        at += sizes[part]
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    ranked = staged(rare.select("word", "total", (F.create_map(*begins)[F.col("part")] + within).alias("rank")), "ranked")
+    columns = math.ceil(words ** (1 / 3))
+    rows = np.zeros(-(-words // columns))
+    for r in ranked.groupBy(F.floor(F.col("rank") / columns).alias("row")).agg(F.sum("total").alias("total")).collect():
+        rows[r["row"]] = r["total"]
+    known = counted.join(ranked.select("word", "rank"), "word", "left")
+    known = known.select("chunk", "word", "total", F.coalesce("rank", F.lit(-1).cast("long")).alias("rank"))
+    return staged(known, "coded"), Codes(words, columns, rows)
+
+
 def score_texts(
     docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "text", chunk_words: int = CHUNK_WORDS,
     frequent: int = FREQUENT,
@@ -259,13 +459,13 @@ def score_texts(
     )
     # The chunks of a word: as many rows as there are chunks at most.
     word = Window.partitionBy("word")
-    known = staged(
+    counted = staged(
         asked.withColumn("total", F.sum("n").over(word))
         .withColumn("leads", F.row_number().over(word.orderBy("chunk")) == 1)
         .select("chunk", "word", "total", "leads"),
         "words",
     )
-    once = known.filter("leads AND total > 0")
+    once = counted.filter("leads AND total > 0")
     end = int(np.uint64(END).view(np.int64))
     sums = once.agg(
         F.sum("total").alias("tokens"), F.count("*").alias("words"),
@@ -273,41 +473,37 @@ def score_texts(
     ).first()
     tokens, words, ends = sums["tokens"] or 0, sums["words"], sums["ends"] or 0
     top = once.filter(F.col("word") != end).orderBy(F.desc("total"), "word").limit(frequent).collect()
-    in_class = sum(r["total"] for r in top)
+    known, codes = _coded(counted, once, [end, *(r["word"] for r in top)], words - len(top) - (ends > 0))
     model = Model(
         np.array([r["word"] for r in top], dtype=np.int64),
-        np.array([*(r["total"] for r in top), ends, tokens - ends - in_class], dtype=np.float64),
+        np.array([*(r["total"] for r in top), ends, tokens - ends - sum(r["total"] for r in top)], dtype=np.float64),
+        codes,
     )
-    model.put(_trained(rows.filter("trains"), model))
-    other_tokens = tokens - ends - in_class
-    other_words = words - len(top) - (ends > 0)
+    model.put(_trained(dealt.filter("trains"), known, model))
     shared = spark.sparkContext.broadcast(model)
 
     def score(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        model, hashes_of = shared.value, WordHashes()
-        order = np.argsort(counts["word"].to_numpy().view(np.uint64))
-        names = counts["word"].to_numpy().view(np.uint64)[order]
-        totals = counts["total"].to_numpy()[order].astype(np.float64)
+        model = shared.value
+        hashes, totals = counts["word"].to_numpy(), counts["total"].to_numpy().astype(np.float64)
+        places_of, numbers = _Places(hashes), model.numbers(hashes, counts["rank"].to_numpy())
         base_of = np.log10((totals + 0.5) / (tokens + 0.5 * (words + 1)))
-        within = np.log((totals + 0.5) / (other_tokens + 0.5 * (other_words + 1)))
         out: list[list] = [[], [], [], []]
         held, lengths = [], []
 
         def flush() -> None:
-            places = np.concatenate([np.searchsorted(names, h) for h in held])
-            ids = [model.classes(h) for h in held]
-            logs = model.class_log_probabilities(np.concatenate(ids), np.concatenate([model.contexts(i) for i in ids]))
-            logs = logs + np.where(np.concatenate(ids) == model.k + 1, within[places], 0.0)
+            places = np.concatenate(held)
+            ids = [numbers[h] for h in held]
+            logs = model.log_probabilities(np.concatenate(ids), np.concatenate([model.contexts(i) for i in ids]))
             starts = np.cumsum([0, *lengths[:-1]])
             out[0].extend(lengths)
             out[1].extend(np.add.reduceat((totals[places] > 0).astype(np.int64), starts))
             out[2].extend(np.add.reduceat(base_of[places], starts))
-            out[3].extend(np.add.reduceat(logs / np.log(10), starts))
+            out[3].extend(np.add.reduceat(logs.astype(np.float64) / np.log(10), starts))
             held.clear()
             lengths.clear()
 
         for text in texts["text"].cast(pa.binary()).to_pylist():
-            held.append(np.append(hashes_of.of(_lowered(text)), np.uint64(END)))
+            held.append(places_of.of(text))
             lengths.append(len(held[-1]))
             if sum(lengths) >= 200_000:
                 flush()
@@ -323,7 +519,7 @@ def score_texts(
 
     scored = (
         dealt.select("chunk", "key", "text", "trains").groupBy("chunk")
-        .cogroup(known.select("chunk", "word", "total").groupBy("chunk"))
+        .cogroup(known.select("chunk", "word", "total", "rank").groupBy("chunk"))
         .applyInArrow(score, "key long, trains boolean, n_tokens long, n_known long, base_score double, score double")
     )
     return scored.select(

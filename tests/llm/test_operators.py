@@ -360,6 +360,36 @@ def test_class_probabilities_add_up():
     assert np.exp(model.class_log_probabilities(ids, contexts)).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_word_probabilities_add_up():
+    rng = np.random.default_rng(13)
+    counts = np.sort(rng.integers(1, 50, 50))[::-1]
+    model = lm.Model(np.arange(3, dtype=np.int64), np.array([90.0, 80, 70, 60, counts.sum()]), lm.Codes(50, 4, np.add.reduceat(counts, range(0, 50, 4))))
+    for name, part in model.parts.items():
+        model.parts[name] = part + rng.normal(size=part.shape).astype(np.float32)
+    ids = np.array([0, 1, 2, 3, 4, *range(6, 56)])  # 4: the unknown word, 5: the start
+    assert model.numbers(np.array([2, 77, 78]), np.array([-1, -1, 49])).tolist() == [2, 4, 55]
+    for context in ([3, 5], [4, 20], [55, 0]):
+        logs = model.log_probabilities(ids, np.tile(np.array([context]), (len(ids), 1)))
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_rare_words_follow_their_context(spark):
+    rng = np.random.default_rng(14)
+    rows = []
+    for i in range(1200):  # words of two kinds in turn; only one word has a class of its own
+        turns = zip(rng.integers(0, 4, 100), rng.integers(0, 60, 100), strict=True)
+        rows.append((i, "the the " * 60 + " ".join(f"a{x} b{y}" for x, y in turns)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = frame.withColumn("text", F.regexp_replace("text", "[ab]\\d+", "c"))
+    mean = []
+    for each in (frame, plain):
+        rows = lm.score_texts(each, F.col("doc_id") % 4 > 0, frequent=1).filter("held_out").collect()
+        mean.append(sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows))
+    # What is left to tell the words apart, without context: half of them are one of 4, half one of 60.
+    alone = 200 / 321 * (0.5 * np.log10(0.5 / 4) + 0.5 * np.log10(0.5 / 60))
+    assert len(rows) == 300 and mean[0] - mean[1] > alone + 0.05
+
+
 def test_training_beats_single_words():
     rng = np.random.default_rng(10)
     ids = np.array([0, 1, 2, 3] * 5000 + [4], dtype=np.int32)
