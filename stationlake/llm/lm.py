@@ -14,8 +14,9 @@ classes are made in batches, so that token probabilities add up to one over all
 Scale. Texts are dealt to chunks of a few million words. A chunk asks once for each of its different words,
 with its own training count; counts are added up per word by a shuffle, and the totals go back to the chunks that
 asked. So no table of all words is broadcast, and a word in every text moves once per chunk; codes go the same
-way. Every chunk trains on all its training texts from the same start, and parameters are averaged by words seen, one
-grouped sum per parameter. Broadcast are the parameters, whose size follows the cube root of the number of words, and one
+way. Training goes in rounds over the chunks, which follow from the rows alone: each chunk of a round trains on all its
+training texts, in the order of their hashes, from the average of the round before, and parameters are averaged by words
+seen, one grouped sum per parameter. Broadcast are the parameters, whose size follows the cube root of the number of words, and one
 count per band and step, the square of that.
 """
 
@@ -47,6 +48,8 @@ RANKED_WORDS = 500_000
 RATE = 0.1
 #: Words of a chunk, about.
 CHUNK_WORDS = 2_000_000
+#: Rounds of training at most; a chunk takes part in one of them.
+ROUNDS = 4
 #: Name of the end of a text; no word holds a line feed.
 END = WordHashes()[b"\n"]
 
@@ -266,7 +269,7 @@ class Trainer:
     """Noise-contrastive steps with one set of noise classes per batch, likelihood steps below the classes, and
     per-parameter step sizes."""
 
-    def __init__(self, model: Model, seed: int) -> None:
+    def __init__(self, model: Model, seed: int | list[int]) -> None:
         self.model, self.rng = model, np.random.default_rng(seed)
         self.squares = {name: np.full_like(p, 1e-2) for name, p in model.parts.items()}
         self.log_noise = (np.log(model.noise) + np.log(NOISE)).astype(np.float32)
@@ -356,17 +359,17 @@ class _Places(dict):
 
 
 def _trained(dealt: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
-    """Parameters averaged over the chunks of dealt (chunk, text), weighted by words; known: (chunk, word, rank)."""
+    """Parameters averaged over the chunks of dealt (chunk, place, text), weighted by words; known: (chunk, word, rank)."""
     shared = dealt.sparkSession.sparkContext.broadcast(model)
 
     def train(texts: pa.Table, words: pa.Table) -> pa.Table:
         own, seen = shared.value.copy(), 0
-        trainer = Trainer(own, seed=5)
         if len(texts):
+            trainer = Trainer(own, seed=[5, words["chunk"][0].as_py()])
             hashes = words["word"].to_numpy()
             places, numbers = _Places(hashes), own.numbers(hashes, words["rank"].to_numpy())
             ids, contexts, held = [], [], 0
-            for text in texts["text"].cast(pa.binary()).to_pylist():
+            for text in texts.sort_by("place")["text"].cast(pa.binary()).to_pylist():
                 one = numbers[places.of(text)]
                 ids.append(one)
                 contexts.append(own.contexts(one))
@@ -385,7 +388,7 @@ def _trained(dealt: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
         )
 
     summed = (
-        dealt.select("chunk", "text").groupBy("chunk").cogroup(known.select("chunk", "word", "rank").groupBy("chunk"))
+        dealt.select("chunk", "place", "text").groupBy("chunk").cogroup(known.select("chunk", "word", "rank").groupBy("chunk"))
         .applyInArrow(train, "at int, value double, seen long")
         .groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("value")).collect()
     )
@@ -452,7 +455,7 @@ def score_texts(
     )
     octets = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-octets // (6 * chunk_words)))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int"))
+    dealt = rows.withColumn("place", F.xxhash64("key", "text")).withColumn("chunk", F.pmod("place", F.lit(chunks)).cast("int"))
     asked = (
         dealt.repartition(chunks, "chunk").sortWithinPartitions("chunk").select("chunk", "text", "trains")
         .mapInArrow(_count_words, "chunk int, word long, n long")
@@ -479,7 +482,10 @@ def score_texts(
         np.array([*(r["total"] for r in top), ends, tokens - ends - sum(r["total"] for r in top)], dtype=np.float64),
         codes,
     )
-    model.put(_trained(dealt.filter("trains"), known, model))
+    rounds = min(ROUNDS, chunks)
+    for i in range(rounds):
+        own = F.pmod("chunk", F.lit(rounds)) == i
+        model.put(_trained(dealt.filter("trains").filter(own), known.filter(own), model))
     shared = spark.sparkContext.broadcast(model)
 
     def score(texts: pa.Table, counts: pa.Table) -> pa.Table:

@@ -390,6 +390,27 @@ def test_rare_words_follow_their_context(spark):
     assert len(rows) == 300 and mean[0] - mean[1] > alone + 0.05
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(15)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.5, 60) % 300)) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for each in (frame.coalesce(1), frame.orderBy(F.desc("text")).coalesce(1), frame.repartition(7)):
+        scored = lm.score_texts(each, F.col("doc_id") % 4 > 0, chunk_words=3000, frequent=20).collect()
+        found.append([r["score"] for r in sorted(scored, key=lambda r: r["doc_id"])])
+    assert found[1] == pytest.approx(found[0], abs=1e-3) and found[2] == pytest.approx(found[0], abs=1e-3)
+
+
+def test_training_goes_in_rounds(spark, monkeypatch):
+    starts = []
+    trained = lm._trained
+    monkeypatch.setattr(lm, "_trained", lambda docs, known, model: (starts.append(model.flat), trained(docs, known, model))[1])
+    rows = [(i, "a b c d e f " * 20) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    lm.score_texts(frame, F.lit(True), chunk_words=300, frequent=3)
+    assert len(starts) == lm.ROUNDS and all((x != y).any() for x, y in zip(starts, starts[1:], strict=False))
+
+
 def test_training_beats_single_words():
     rng = np.random.default_rng(10)
     ids = np.array([0, 1, 2, 3] * 5000 + [4], dtype=np.int32)
