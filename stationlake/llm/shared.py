@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from stationlake.scratch import scratch_folder
 
 #: The white space of the word pattern, as a Java character class.
 SPACE = "[\\x20\\x09-\\x0D]+"
+#: Bytes of text that a Python worker takes at a time.
+SLICE_BYTES = 4_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,3 +57,16 @@ def packed(df: DataFrame, field: str) -> DataFrame:
 
 def unique_name(stem: str) -> str:
     return f"{stem}-{uuid.uuid4().hex}"
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with some bytes in a column; a larger row is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    begin, held = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield batch.slice(begin, row - begin)
+            begin, held = row, 0
+        held += size
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
