@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from stationlake.llm.bpe import decode_ids, encode_texts
 from stationlake.llm.conversations import damaged, repair_conversations
 from stationlake.llm.registry import query, table
+from stationlake.llm.shared import staged
+from stationlake.llm.spelling import spelling_variants, vocabulary
 
 
 def byte_tokenizer_file() -> str:
@@ -109,3 +111,8 @@ LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM w.conv_id
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     repaired = repair_conversations(damaged(table(spark, sf_dir, "conversations")))
     return repaired.drop("n_rows")
+
+
+@query()
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(staged(vocabulary(table(spark, sf_dir, "documents")), "vocabulary"))
