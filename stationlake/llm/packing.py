@@ -14,6 +14,7 @@ to the shared folder; a rerun task reads the same numbers.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -25,99 +26,82 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.shared import staged
+from stationlake.llm.shared import slices, staged
 
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
-#: Words whose ids a Python worker keeps at hand, from one task to the next.
-CACHE_WORDS = 600_000
-#: Rows whose ids are held as arrays at a time.
-ROWS_AT_ONCE = 1_000
+#: Words whose ids a task keeps at hand, and the longest in bytes that is kept.
+CACHE_WORDS, KEPT_BYTES = 250_000, 48
+#: A comma or full stop that ends a run of non-space characters.
+CLOSING = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \t-\r]|\Z)")
 
 
 class WordIds:
     """Ids of a text, put together from the ids of its runs of non-space characters.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its
-    runs. A run that ends in one comma or full stop behind an ASCII letter is two words of its own.
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.closes = tokenizer_of(tokenizer_file)
         self.known: dict[bytes, bytes] = {}
-        closing = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
-        self.closes = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        self.closes[closing] = True
 
-    def encode(self, parts: list[bytes]) -> None:
-        """Add the ids of new parts. Parts of letters only are each one word, so they are encoded in one go and
+    def learn(self, words: list[bytes]) -> None:
+        """Add the ids of new words. Words of letters only are each one to the tokenizer, so they are encoded in one go and
         told apart by the ids that close a word; should that not add up, one by one."""
-        texts = [p.decode("utf-8", "replace") for p in parts]
-        whole = [i for i, t in enumerate(texts) if t.isalpha()]
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        # A letter whose lower case is more than letters would be more than one word.
+        lettered = [t.isalpha() and (t.isascii() or t.lower().isalpha()) for t in texts]
+        whole = [w for w, one in zip(words, lettered, strict=True) if one]
+        together = "\n".join([t for t, one in zip(texts, lettered, strict=True) if one])
         ids = np.array(
-            self.tokenizer.encode_batch_fast(["\n".join([texts[i] for i in whole])], add_special_tokens=False)[0].ids,
-            dtype="<u4",
+            self.tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids, dtype="<u4"
         )
         ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
-        single = set(range(len(texts)))
         if len(ends) == len(whole):
-            raw, begin = ids.tobytes(), 0
-            for i, end in zip(whole, ends.tolist(), strict=True):
-                self.known[parts[i]] = raw[begin:end]
-                begin = end
-            single.difference_update(whole)
-        rest = sorted(single)
-        found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
-        for i, one in zip(rest, found, strict=True):
-            self.known[parts[i]] = np.array(one.ids, dtype="<u4").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        stems: dict[bytes, tuple[bytes, bytes]] = {}
-        fresh = set()
-        for word in words:
-            # Lower case is part of the tokenizer; for ASCII it can be applied first.
-            low = word.lower() if word.isascii() else word
-            if low[-1:] in (b",", b".") and low[-2:-1].isalpha():
-                stem, last = low[:-1], low[-1:]
-            else:
-                stem, last = low, b""
-            if last or low != word:
-                stems[word] = (stem, last)
-            for part in (stem, last):
-                if part not in self.known:
-                    fresh.add(part)
-        fresh.discard(b"")
-        if fresh:
-            self.encode(list(fresh))
-        for word, (stem, last) in stems.items():
-            self.known[word] = self.known[stem] + (self.known[last] if last else b"")
-
-    def prepare(self, texts: list[bytes]) -> None:
-        """Learn the new words of many texts at once."""
-        unknown: set[bytes] = set()
-        for text in texts:
-            unknown.update(text.split())
-        self.learn({w for w in unknown if w not in self.known})
+            raw, cuts = ids.tobytes(), [0, *ends.tolist()]
+            self.known.update(zip(whole, [raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], strict=True))
+            rest = [(w, t) for w, t, one in zip(words, texts, lettered, strict=True) if not one]
+        else:
+            rest = list(zip(words, texts, strict=True))
+        found = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
+        for (word, _), one in zip(rest, found, strict=True):
+            self.known[word] = np.array(one.ids, dtype="<u4").tobytes()
+
+    def of_texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of some texts as little-endian unsigned 32-bit numbers; new words are learned together.
+
+        Lower case is part of the tokenizer; for ASCII it can be applied first. So can the cut before a comma or full
+        stop that ends a run behind an ASCII letter or digit.
+        """
+        lists = [CLOSING.sub(rb" \1", text.lower()).split() for text in texts]
+        words = set().union(*lists)
+        if len(self.known) + len(words) > CACHE_WORDS:
+            self.known = {}
+        new = list(words.difference(self.known))
+        if new:
+            self.learn(new)
+        ids = [b"".join(map(self.known.__getitem__, some)) for some in lists]
+        for word in new:
+            if len(word) > KEPT_BYTES:
+                del self.known[word]
+        return ids
 
     def __call__(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        words = text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:  # new words, or words that were dropped to make room
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+        return self.of_texts([text])[0]
 
 
 @lru_cache(maxsize=1)
-def word_ids(tokenizer_file: str) -> WordIds:
-    """The one of this process: later tasks of a worker find the words of earlier ones."""
-    return WordIds(tokenizer_file)
+def tokenizer_of(tokenizer_file: str):
+    """The tokenizer of this process; its size is the file's. The words learned belong to a task and end with it."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    tokenizer.encode_special_tokens = True
+    closing = [i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]
+    closes = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+    closes[closing] = True
+    return tokenizer, closes
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, length: int, end_id: int) -> DataFrame:
@@ -125,14 +109,13 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, leng
     kind = dict(docs.dtypes)[key]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_ids(tokenizer_file)
+        words = WordIds(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
+        for batch in (part for b in batches for part in slices(b, b.schema.names[1])):
             owners, pieces, starts, sizes, sums, values = [], [], [], [], [], []
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            ids_of.prepare(texts)
-            for row, content in enumerate(texts):
-                ids = ids_of(content) + end
+            for row, ids in enumerate(words.of_texts(texts)):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     owners.append(row)
