@@ -15,8 +15,10 @@ from stationlake.values import (
     NoDataForNearbyStations,
     NoDataForStation,
     NoStationWithinRadius,
+    NoSuchStore,
     RequiredData,
     StationLakeError,
+    UnreadableFile,
     Year,
 )
 
@@ -33,9 +35,11 @@ __all__ = [
     "NoDataForNearbyStations",
     "NoDataForStation",
     "NoStationWithinRadius",
+    "NoSuchStore",
     "RequiredData",
     "StationLakeError",
     "Store",
+    "UnreadableFile",
     "Weather",
     "WeatherLake",
     "Year",

@@ -5,8 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +18,7 @@ from stationlake.functions.periods import (
 from stationlake.operators import located, nearest
 from stationlake.operators.frames import FRAMES, WeatherFrame
 from stationlake.schemas import TIME_COLUMNS
-from stationlake.sources.store import DEFAULT_BUCKETS, Store
+from stationlake.sources.store import Store
 from stationlake.values import (
     Frequency,
     LatLon,
@@ -28,6 +26,7 @@ from stationlake.values import (
     NoDataForStation,
     NoStationWithinRadius,
     RequiredData,
+    UnreadableFile,
 )
 
 
@@ -49,9 +48,9 @@ class WeatherLake:
         root: str,
         landing: str | None = None,
         today: dt.date | None = None,
-        buckets: int = DEFAULT_BUCKETS,
+        buckets: int | None = None,
     ):
-        """Open or lay out the store below ``root``.
+        """Open the store below ``root``; with ``buckets``, lay out a new one if there is none.
 
         With a ``landing`` folder, which has one folder of bulk files per frequency, a station that
         is asked for alone and is not stored yet, or is stale, is read from there first. ``today``
@@ -106,9 +105,14 @@ class WeatherLake:
         self.store.ingest(landing or self.landing_of(frequency), frequency, self.today)
 
     def rejects(self) -> DataFrame:
-        """Stations whose files were malformed, with path and line."""
+        """Stations whose files were malformed or broken, with path, reason and line."""
         return self.store.rejects()
 
+    def compact(self, frequency: Frequency, buckets: int | None = None) -> None:
+        """Rewrite a frequency as one commit, in another number of buckets if given, and remove what it replaces."""
+        self.store.compact(frequency, buckets)
+        self.store.vacuum(frequency)
+
     def refresh(self, frequency: Frequency, needs: DataFrame, landing: str | None = None) -> None:
         """Read stale stations again; ``needs`` holds ``station, frequency, end_date``."""
         folder = landing or self.landing_of(frequency)
@@ -155,7 +159,11 @@ class Weather:
 
     def all(self) -> WeatherFrame:
         """Rows of every station."""
-        return FRAMES[self.frequency](self.store.scan(self.frequency).drop("bucket"))
+        return self._frame(self.store.scan(self.frequency))
+
+    def _frame(self, rows: DataFrame) -> WeatherFrame:
+        """A frame that knows the store's folders."""
+        return FRAMES[self.frequency](rows, self.store.only_stations)
 
     def station(self, station: str, required: RequiredData | None = None) -> WeatherFrame:
         """Rows of one station.
@@ -166,11 +174,11 @@ class Weather:
             self._fetch(station, required or RequiredData.any())
         if self._available().filter(F.col("station") == station).isEmpty():
             raise NoDataForStation(station, self.frequency)
-        return FRAMES[self.frequency](self.store.scan_station(self.frequency, station))
+        return self._frame(self.store.scan_station_layout(self.frequency, station))
 
     def stations(self, stations: DataFrame) -> WeatherFrame:
         """Rows of the stations listed in column ``station``."""
-        return FRAMES[self.frequency](self.store.scan_stations(self.frequency, stations))
+        return self.all().stations(stations)
 
     def location(
         self,
@@ -202,7 +210,7 @@ class Weather:
         for candidate in candidates:
             try:
                 return self.station(candidate.station, required)
-            except (NoDataForStation, PySparkException, Py4JError) as error:
+            except (NoDataForStation, UnreadableFile) as error:
                 last_error = error
         raise NoDataForNearbyStations(max_distance_km, *place, len(candidates)) from last_error
 

@@ -7,11 +7,13 @@ lazy and never changes; each filter gives a new one. The DataFrame itself is ``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import ClassVar, Self
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from stationlake import schemas
 from stationlake import values as V
 from stationlake.functions.conditions import condition_name
 from stationlake.operators.records import json_records, records
@@ -23,26 +25,51 @@ def _instant(moment: dt.datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
 
 
+#: A function of a scan and a table of stations that gives the rows of these stations.
+OnlyStations = Callable[[DataFrame, DataFrame], DataFrame]
+
+
 class WeatherFrame:
     frequency: ClassVar[Frequency]
 
-    def __init__(self, df: DataFrame):
-        self.df = df
+    def __init__(self, rows: DataFrame, only_stations: OnlyStations | None = None):
+        """A frame of a weather table. ``rows`` may have the columns of a store's layout: time filters then
+        name the years' folders too, and, with ``only_stations`` of that store, sets of stations name the buckets.
+        """
+        self.rows = rows
+        self.only_stations = only_stations
+
+    @property
+    def df(self) -> DataFrame:
+        """The rows as a DataFrame, without the columns of a layout."""
+        return self.rows.drop(*schemas.LAYOUT)
+
+    def _with(self, rows: DataFrame) -> Self:
+        return type(self)(rows, self.only_stations)
 
     def filter(self, condition: Column | str) -> Self:
         """Keep rows that meet any condition, given as a Column or as SQL text."""
-        return type(self)(self.df.filter(condition))
+        return self._with(self.rows.filter(condition))
+
+    def _of_years(self, first: int, last: int) -> Self:
+        """Rows of some years' folders; all rows where there are no folders."""
+        if "year_part" not in self.rows.columns:
+            return self
+        part = F.col("year_part")
+        return self.filter(part == first if first == last else (part >= first) & (part <= last))
 
     def limit(self, n: int) -> Self:
-        return type(self)(self.df.limit(n))
+        return self._with(self.rows.limit(n))
 
     def station(self, station: str) -> Self:
         return self.filter(F.col("station") == station)
 
     def stations(self, stations: DataFrame) -> Self:
         """Rows of the stations listed in column ``station`` of another table."""
+        if self.only_stations is not None:
+            return self._with(self.only_stations(self.rows, stations))
         wanted = broadcast_if_small(stations.select("station").distinct())
-        return type(self)(self.df.join(wanted, "station", "left_semi"))
+        return self._with(self.rows.join(wanted, "station", "left_semi"))
 
     def records(self) -> DataFrame:
         """All rows as records, still distributed."""
@@ -75,14 +102,15 @@ class HourlyFrame(WeatherFrame):
 
     def get_at(self, at) -> Self:
         """The hour nearest to an instant, or to the start of a day, month or year."""
-        return self.filter(F.col("datetime") == _instant(V.nearest_hour(V.datetime_range_of(at)[0])))
+        hour = V.nearest_hour(V.datetime_range_of(at)[0])
+        return self._of_years(hour.year, hour.year).filter(F.col("datetime") == _instant(hour))
 
     def get_for_period(self, period) -> Self:
         return self._between(*V.datetime_period_of(period))
 
     def _between(self, start: dt.datetime, end: dt.datetime) -> Self:
         at = F.col("datetime")
-        return self.filter((at >= _instant(start)) & (at <= _instant(end)))
+        return self._of_years(start.year, end.year).filter((at >= _instant(start)) & (at <= _instant(end)))
 
     def with_condition(self) -> DataFrame:
         """The rows with the name of their weather condition in ``condition``."""
@@ -97,14 +125,15 @@ class DailyFrame(WeatherFrame):
 
     def get_at(self, at) -> Self:
         """One day; the first day of a month or year."""
-        return self.filter(F.col("date") == F.lit(V.date_range_of(at)[0]))
+        day = V.date_range_of(at)[0]
+        return self._of_years(day.year, day.year).filter(F.col("date") == F.lit(day))
 
     def get_for_period(self, period: Month | Year) -> Self:
         return self._between(*V.date_period_of(period))
 
     def _between(self, start: dt.date, end: dt.date) -> Self:
         day = F.col("date")
-        return self.filter((day >= F.lit(start)) & (day <= F.lit(end)))
+        return self._of_years(start.year, end.year).filter((day >= F.lit(start)) & (day <= F.lit(end)))
 
     def chart_series(self) -> DataFrame:
         """The columns of a temperature chart."""
@@ -120,13 +149,14 @@ class MonthlyFrame(WeatherFrame):
     def get_at(self, at: Month | Year) -> Self:
         """One month; January of a year."""
         wanted = V.month_range_of(at)[0]
-        return self.filter((F.col("year") == wanted.year) & (F.col("month") == wanted.month))
+        at = (F.col("year") == wanted.year) & (F.col("month") == wanted.month)
+        return self._of_years(wanted.year, wanted.year).filter(at)
 
     def get_for_period(self, period: Year) -> Self:
         return self._between(*V.month_period_of(period))
 
     def _between(self, start: Month, end: Month) -> Self:
-        return self.filter(
+        return self._of_years(start.year, end.year).filter(
             months_between(F.lit(start.year), F.lit(start.month), F.lit(end.year), F.lit(end.month))
         )
 
@@ -146,7 +176,7 @@ class ClimateFrame(WeatherFrame):
 
     def get_at(self, start: Year, end: Year, month: int) -> Self:
         """One month of one normals period; the month number is not checked."""
-        return self.filter(
+        return self._of_years(start.year, start.year).filter(
             (F.col("start_year") == start.year)
             & (F.col("end_year") == end.year)
             & (F.col("month") == month)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stationlake.functions.periods import nearest_hour
 from stationlake.operators.frames import months_between
 from stationlake.operators.joins import join_requests
-from stationlake.schemas import TIME_COLUMNS
+from stationlake.schemas import LAYOUT, TIME_COLUMNS
 from stationlake.sizing import BROADCAST_ROWS
 from stationlake.values import Frequency
 
@@ -33,6 +33,16 @@ def time_key(frequency: Frequency, at: Column) -> dict[str, Column]:
     raise ValueError("normals have no single point in time; give their three columns")
 
 
+def _values(weather: DataFrame) -> list[str]:
+    return [name for name in weather.columns if name != "station" and name not in LAYOUT]
+
+
+def _year_of(frequency: Frequency, at: dict[str, Column]) -> Column:
+    """The year by which a store splits its table, of a row with the given time columns."""
+    name = TIME_COLUMNS[frequency][0]
+    return at[name].cast("int") if frequency in (Frequency.MONTHLY, Frequency.CLIMATE) else F.year(at[name])
+
+
 def _served(requests: DataFrame, bucket: Bucket | None) -> tuple[DataFrame, list[str]]:
     """Requests with a station, and the station keys shared with the weather table.
 
@@ -64,14 +74,16 @@ def weather_at(
     """
     requests, keys = _served(requests, bucket)
     kept = [name for name in ("distance_km",) if name in requests.columns]
+    if "year_part" in weather.columns:  # the folders of the years asked for
+        requests = requests.withColumn("year_part", _year_of(frequency, at)).filter("year_part IS NOT NULL")
+        keys = [*keys, "year_part"]
     narrow = requests.select(
         "request_id", *kept, *keys, *(value.alias(name) for name, value in at.items())
     )
     joined = join_requests(
         narrow, weather, [*keys, *TIME_COLUMNS[frequency]], count, broadcast_rows=broadcast_rows
     )
-    values = [name for name in weather.columns if name not in ("station", "bucket")]
-    return joined.select("request_id", "station", *kept, *values)
+    return joined.select("request_id", "station", *kept, *_values(weather))
 
 
 def _month_number(day: Column) -> Column:
@@ -124,6 +136,9 @@ def weather_between(
     if count is None:
         count = narrow.agg(F.sum(F.size(F.coalesce(bins, F.array())))).first()[0] or 0
     binned = narrow.withColumn("bin", F.explode(bins))
+    if "year_part" in weather.columns:  # the folders of the years asked for
+        of_bin = F.col("bin") if frequency is Frequency.MONTHLY else F.floor((F.col("bin") - 1) / 12)
+        binned, keys = binned.withColumn("year_part", of_bin.cast("int")), [*keys, "year_part"]
     if frequency is Frequency.MONTHLY:
         within = months_between(*(
             F.col(name) for name in ("from_year", "from_month", "to_year", "to_month")
@@ -134,8 +149,7 @@ def weather_between(
         within = (F.col(name) >= F.col(f"from_{name}")) & (F.col(name) <= F.col(f"to_{name}"))
         rows = weather.withColumn("bin", _month_number(F.col(name)))
     joined = join_requests(binned, rows, [*keys, "bin"], count, within, broadcast_rows)
-    values = [name for name in weather.columns if name not in ("station", "bucket")]
-    return joined.select("request_id", "station", *kept, *values)
+    return joined.select("request_id", "station", *kept, *_values(weather))
 
 
 def weather_of(
@@ -159,5 +173,4 @@ def weather_of(
         count,
         broadcast_rows=broadcast_rows,
     )
-    values = [name for name in weather.columns if name not in ("station", "bucket")]
-    return joined.select("request_id", "station", *kept, *values)
+    return joined.select("request_id", "station", *kept, *_values(weather))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.functions.periods import date_bounds
+from stationlake.lake import WeatherLake
 from stationlake.plans.fixtures import catalogue, view
 from stationlake.plans.registry import register
 from stationlake.scratch import scratch_folder
@@ -50,7 +52,7 @@ def _daily_store(spark: SparkSession, sf_dir: str) -> Store:
 
 
 def _all_daily(store: Store) -> DataFrame:
-    return store.scan(Frequency.DAILY).drop("bucket")
+    return store.scan(Frequency.DAILY).drop(*schemas.LAYOUT)
 
 
 # -- bulk files
@@ -311,6 +313,107 @@ register(
 )
 
 
+def store_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early rows, a refresh of what is stale, a dropped station; then one commit in other buckets."""
+    store = _store(spark)
+    store.append(
+        view(spark, sf_dir, "daily").filter(F.col("date") < F.lit(STORED_BEFORE)), Frequency.DAILY, WRITTEN
+    )
+    store.refresh(
+        _landing(spark, sf_dir, Frequency.DAILY), Frequency.DAILY, _daily_needs(spark, sf_dir), TODAY
+    )
+    store.drop_station(Frequency.DAILY, ONE_STATION)
+    store.compact(Frequency.DAILY, buckets=3)
+    store.vacuum(Frequency.DAILY)
+    return Store(spark, store.root).scan(Frequency.DAILY).drop(*schemas.LAYOUT)
+
+
+register(
+    "store_compact",
+    store_compact,
+    f"""
+    , {NEEDED_SQL}
+    SELECT {columns_of(Frequency.DAILY)} FROM daily
+    WHERE station <> '{ONE_STATION}' AND (date < DATE '1998-01-01' OR station IN (
+      SELECT station FROM needed
+      WHERE end_date > DATE '2024-01-19'
+        OR station NOT IN (SELECT station FROM daily WHERE date < DATE '1998-01-01')))
+    """,
+    ("daily", "period_requests", "requests"),
+)
+
+
+#: Stations whose landed file is spoilt before it is ingested, and how.
+SPOILT = {
+    "000000001": "no gzip stream",
+    "000000002": "a gzip stream that ends early",
+    "000000003": "a line does not fit",
+    "000000004": "a line does not fit",
+}
+
+
+def _spoil(spark: SparkSession, landing: str) -> None:
+    """Files in plain text, cut short, with a short row, and with text in place of a number."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = bulk.landed_files(spark, landing).filter(F.col("station").isin(*SPOILT))
+    contents = spark.read.format("binaryFile").load([row.path for row in files.collect()])
+    for row in contents.select(bulk.station_of_path(F.col("path")).alias("station"), "path", "content").collect():
+        lines = gzip.decompress(bytes(row.content))
+        spoilt = {
+            "000000001": lines,
+            "000000002": bytes(row.content)[:-20],
+            "000000003": gzip.compress(lines + b"2001-01-01,1.0\n"),
+            "000000004": gzip.compress(lines + b"2001-01-01,x,,,,,,,,,\n"),
+        }[row.station]
+        path = hadoop.Path(row.path)
+        stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+        stream.write(bytearray(spoilt))
+        stream.close()
+
+
+def ingest_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows stored of every station, and why the others were left out."""
+    landing = _landing(spark, sf_dir, Frequency.DAILY)
+    _spoil(spark, landing)
+    store = _store(spark)
+    store.ingest(landing, Frequency.DAILY, WRITTEN)
+    store.ingest(landing, Frequency.DAILY, TODAY)  # adds nothing, and no second row to the rejects
+    stored = store.scan(Frequency.DAILY).groupBy("station").agg(F.count("*").alias("n_rows"))
+    left_out = store.rejects().select("station", F.lit(0).cast("bigint").alias("n_rows"), "reason")
+    return stored.withColumn("reason", F.lit(None).cast("string")).unionByName(left_out)
+
+
+register(
+    "ingest_with_rejects",
+    ingest_with_rejects,
+    f"""
+    , spoilt(station, reason) AS (VALUES {", ".join(f"('{s}', '{r}')" for s, r in SPOILT.items())})
+    SELECT station, CASE WHEN reason IS NULL THEN count(*) ELSE 0 END AS n_rows, reason
+    FROM daily LEFT JOIN spoilt USING (station) GROUP BY station, reason
+    """,
+    ("daily",),
+)
+
+
+def hourly_range_via_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a range over the end of a year, from the folders of its years."""
+    store = _store(spark)
+    store.append(view(spark, sf_dir, "hourly"), Frequency.HOURLY, WRITTEN)
+    frame = WeatherLake(spark, store.root).hourly().all()
+    return frame.get_range("2023-12-30", dt.datetime(2024, 1, 10, 12, 30)).df
+
+
+register(
+    "hourly_range_via_store",
+    hourly_range_via_store,
+    f"""
+    SELECT {columns_of(Frequency.HOURLY)} FROM hourly
+    WHERE datetime >= TIMESTAMP '2023-12-30 00:00:00' AND datetime <= TIMESTAMP '2024-01-10 12:30:00'
+    """,
+    ("hourly",),
+)
+
+
 def requirement_end_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period texts read as requirements: a day, a range of a month, a full year, or any."""
     period = F.col("period")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.values import Frequency
@@ -65,21 +65,42 @@ CATALOGUE: Columns = {
     "inventory": f"struct<daily:{_DATES}, hourly:{_DATES}, model:{_DATES}, "
     f"monthly:{_YEARS}, normals:{_YEARS}>",
 }
-STATUS_LOG: Columns = {
-    "station": "string",
+STATUS_LOG: Columns = {"station": "string", "written_on": "date", "commit": "string"}
+COMMITS: Columns = {
+    "commit": "string",
     "frequency": "string",
-    "written_on": "date",
+    "kind": "string",
     "version": "bigint",
+    "base": "bigint",
+    "buckets": "int",
+    "replaces": "array<string>",
 }
 REJECTS: Columns = {
     "station": "string",
     "frequency": "string",
     "path": "string",
+    "modified": "timestamp",
+    "reason": "string",
     "line": "string",
     "lines": "bigint",
     "seen_on": "date",
 }
 
+#: Columns by which a stored table is split into folders.
+LAYOUT: Columns = {"bucket": "int", "year_part": "int"}
+
+
+def year_part(frequency: Frequency) -> Column:
+    """The year of a row, by which its table is split; of normals the year they begin with."""
+    if frequency in (Frequency.HOURLY, Frequency.DAILY):
+        return F.year(TIME_COLUMNS[frequency][0])
+    return F.col(TIME_COLUMNS[frequency][0]).try_cast("int")
+
+
+def month_of(frequency: Frequency) -> list[Column]:
+    """What sorts the rows of a year before the station does."""
+    return [F.month(TIME_COLUMNS[frequency][0])] if frequency in (Frequency.HOURLY, Frequency.DAILY) else []
+
 
 def ddl(columns: Columns) -> str:
     """The schema text that Spark's readers take."""

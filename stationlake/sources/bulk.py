@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,10 @@ _IN_FILE_NAME = r"/([^/]+?)\.csv(\.gz)?$"
 
 # Holds a line with too few or too many fields, or with text in place of a number.
 REJECTED = "_rejected"
+#: Fixed value: how a gzip member begins.
+GZIP = b"\x1f\x8b"
+#: Files that a Python worker holds at a time, and bytes of one that are unpacked at a time.
+FAULT_FILES, FAULT_BYTES = 16, 1 << 20
 
 
 def station_of_path(path: Column) -> Column:
@@ -25,7 +32,7 @@ def station_of_path(path: Column) -> Column:
 
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
-    """``station, path`` of every file in a landing folder, without opening any.
+    """``station, path, modified`` of every file in a landing folder, without opening any.
 
     A folder that is not there has no files.
     """
@@ -39,8 +46,60 @@ def landed_files(spark: SparkSession, landing: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return schemas.empty(spark, {"station": "string", "path": "string"})
-    return files.select(station_of_path(F.col("path")).alias("station"), "path")
+        return schemas.empty(spark, {"station": "string", "path": "string", "modified": "timestamp"})
+    return files.select(
+        station_of_path(F.col("path")).alias("station"), "path", F.col("modificationTime").alias("modified")
+    )
+
+
+def fault_of_gzip(content: bytes) -> str | None:
+    """Why a gzip stream of one or more members can't be read to its end; null if it can."""
+    at = 0
+    while at < len(content):
+        if content[at : at + 2] != GZIP:
+            return "no gzip stream"
+        stream = zlib.decompressobj(wbits=31)
+        try:
+            while at < len(content) and not stream.eof:
+                part = content[at : at + FAULT_BYTES]
+                stream.decompress(part)
+                at += len(part) - len(stream.unused_data)
+        except zlib.error:
+            return "a damaged gzip stream"
+        if not stream.eof:
+            return "a gzip stream that ends early"
+    return None
+
+
+@contextmanager
+def few_files_at_a_time(spark: SparkSession) -> Iterator[None]:
+    """Jobs begun inside hand :data:`FAULT_FILES` rows at a time to Python."""
+    most = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(most)
+    spark.conf.set(most, FAULT_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(most, before)
+
+
+def broken_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``station, path, reason`` of gzipped files that can't be read to their end.
+
+    Each file is read as a whole and unpacked piece by piece; write the result :func:`few_files_at_a_time`.
+    """
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                path = batch.column("path")[row].as_py()
+                reason = fault_of_gzip(batch.column("content")[row].as_py()) if path.endswith(".gz") else None
+                if reason is not None:
+                    yield pa.RecordBatch.from_pydict({"path": [path], "reason": [reason]})
+
+    broken = files.mapInArrow(look, "path string, reason string")
+    return broken.select(station_of_path(F.col("path")).alias("station"), "path", "reason")
 
 
 def scan_raw(

@@ -45,6 +45,18 @@ class NoDataForStation(StationLakeError):
         self.station, self.frequency = station, frequency
 
 
+class NoSuchStore(StationLakeError):
+    def __init__(self, root: str):
+        super().__init__(f"there is no store at {root}; give a number of buckets to lay one out")
+        self.root = root
+
+
+class UnreadableFile(StationLakeError):
+    def __init__(self, station: str, path: str, reason: str):
+        super().__init__(f"{path} of station {station} can't be read: {reason}")
+        self.station, self.path, self.reason = station, path, reason
+
+
 class ExpectedSingleRow(StationLakeError):
     def __init__(self, actual: int):
         super().__init__(f"expected a single row, found {actual}")

@@ -1,12 +1,13 @@
 """What Spark makes of the queries: pushed filters, pruned folders, few shuffles."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from stationlake import DailyFrame, Frequency, HourlyFrame, Month, MonthlyFrame, Store, Year
+from stationlake import DailyFrame, Frequency, HourlyFrame, Month, MonthlyFrame, Store, WeatherLake, Year
 from stationlake.operators import located, nearest
 from stationlake.plans.fixtures import catalogue, view
 
@@ -40,9 +41,17 @@ def test_station_prunes_to_one_bucket(store):
         (
             DailyFrame,
             lambda f: f.get_for_period(Year(1996)),
-            ["GreaterThanOrEqual(date,1996-01-01)", "LessThanOrEqual(date,1996-12-31)"],
+            ["GreaterThanOrEqual(date,1996-01-01)", "LessThanOrEqual(date,1996-12-31)", "(year_part#N = 1996)"],
         ),
-        (DailyFrame, lambda f: f.get_at("1996-05-01"), ["EqualTo(date,1996-05-01)"]),
+        (DailyFrame, lambda f: f.get_at("1996-05-01"), ["EqualTo(date,1996-05-01)", "(year_part#N = 1996)"]),
+        (DailyFrame, lambda f: f.get_for_period(Month(1996, 5)), ["(year_part#N = 1996)"]),
+        (
+            DailyFrame,
+            lambda f: f.get_range(Year(1996), Year(1997)),
+            ["(year_part#N >= 1996)", "(year_part#N <= 1997)"],
+        ),
+        (HourlyFrame, lambda f: f.get_at("2024-01-15 12:31:00"), ["(year_part#N = 2024)"]),
+        (MonthlyFrame, lambda f: f.get_at(Month(1996, 5)), ["(year_part#N = 1996)"]),
         (
             HourlyFrame,
             lambda f: f.get_for_period(dt.date(2024, 1, 15)),
@@ -56,9 +65,32 @@ def test_station_prunes_to_one_bucket(store):
     ],
 )
 def test_time_filters_reach_the_scan(store, kind, narrow, pushed):
-    text = plan(narrow(kind(store.scan(kind.frequency))).df)
+    text = re.sub(r"#\d+", "#N", plan(narrow(kind(store.scan(kind.frequency))).df))
+    folders = re.search(r"PartitionFilters: \[.*\]", text).group()
     for condition in pushed:
-        assert condition in text
+        assert condition in (folders if "year_part" in condition else text)
+
+
+def test_station_sets_prune_and_keep_the_layout(spark, store):
+    lake = WeatherLake(spark, store.root)
+    some = spark.createDataFrame([("000000007",), ("000000005",)], "station string")
+    for frame in (lake.daily().stations(some), lake.daily().all().stations(some)):
+        text = plan(frame.get_for_period(Year(1996)).df)
+        assert "dynamicpruningexpression(bucket" in text and "(year_part" in text
+    assert "EqualTo(station,000000007)" in plan(lake.daily().station("000000007").df)
+
+
+def test_merging_costs_nothing_where_no_station_was_written_twice(spark, store, tmp_path):
+    assert "Join" not in plan(store.scan(Frequency.DAILY), "simple")
+    again = Store(spark, str(tmp_path / "again"), buckets=2)
+    daily = view(spark, SF_DIR, "daily")
+    again.append(daily.filter("station < '000000005'"), Frequency.DAILY, dt.date(2024, 1, 1))
+    again.append(daily, Frequency.DAILY, dt.date(2024, 1, 2))
+    assert len(again.live(Frequency.DAILY)) == 2
+    assert "Join" not in plan(again.scan(Frequency.DAILY), "simple")
+    again.drop_station(Frequency.DAILY, "000000007")
+    text = plan(DailyFrame(again.scan(Frequency.DAILY)).get_at("1996-05-01").df)
+    assert "LeftAnti" in text and "PartitionFilters: [isnotnull(year_part" in text
 
 
 def test_only_needed_columns_are_read(store):
@@ -94,7 +126,7 @@ def test_few_requests_leave_the_weather_table_in_place(spark, store):
         store.bucket_of,
     )
     text = plan(found)
-    assert "dynamicpruningexpression(bucket" in text
+    assert "dynamicpruningexpression(bucket" in text and "dynamicpruningexpression(year_part" in text
     assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
     stations = requests.select("station")
     assert "dynamicpruningexpression(bucket" in plan(store.scan_stations(Frequency.DAILY, stations))

@@ -4,6 +4,8 @@ import datetime as dt
 import gzip
 import json
 import tempfile
+import uuid
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -16,8 +18,10 @@ from stationlake import (
     NoDataForNearbyStations,
     NoDataForStation,
     NoStationWithinRadius,
+    NoSuchStore,
     RequiredData,
     Store,
+    UnreadableFile,
     WeatherLake,
     Year,
     schemas,
@@ -25,6 +29,7 @@ from stationlake import (
 )
 from stationlake.scratch import scratch_folder
 from stationlake.sources import bulk
+from stationlake.sources import store as store_module
 from stationlake.sources.catalogue import scan_catalogue, station_name
 
 D, T = dt.date, dt.datetime
@@ -211,19 +216,154 @@ def test_malformed_stations_are_left_out(spark, store, tmp_path):
     asked = needs(spark, ("good", D(2020, 2, 2)))
     store.refresh(folder, DAILY, asked, D(2020, 4, 1))
     assert tavg(store)["good"] == (1.0, 3)
-    with pytest.raises((PySparkException, Py4JJavaError), match="MALFORMED"):
+    with pytest.raises(UnreadableFile, match="a line does not fit"):
         store.refresh(folder, DAILY, asked, D(2020, 4, 1), strict=True)
 
 
-def test_rows_without_status_are_replaced(spark, store, tmp_path):
+def test_broken_files_cost_their_own_station(spark, store, tmp_path, monkeypatch):
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(store_module, "scratch_folder", lambda _, name: f"{scratch}/{name}-{uuid.uuid4().hex}")
+    good = days("2020-01-01", 3, 1.0)
+    land(tmp_path, DAILY, "good", good)
+    land(tmp_path, DAILY, "short", good + "2020-01-09,1.0\n")
+    folder = land(tmp_path, DAILY, "more", good)
+    landed = tmp_path / DAILY.value
+    whole = gzip.compress(days("2020-01-01", 3000).encode())
+    (landed / "plain.csv.gz").write_bytes(good.encode())
+    (landed / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (landed / "damaged.csv.gz").write_bytes(whole[:900] + b"\x00" * 200 + whole[1100:])
+    (landed / "members.csv.gz").write_bytes(gzip.compress(good.encode()) + gzip.compress(days("2021-01-01", 2).encode()))
+    store.ingest(folder, DAILY, D(2020, 2, 1))
+    assert tavg(store) == {"good": (1.0, 3), "more": (1.0, 3), "members": (1.0, 5)}
+    assert {row.station: row.reason for row in store.rejects().collect()} == {
+        "short": "a line does not fit",
+        "plain": "no gzip stream",
+        "cut": "a gzip stream that ends early",
+        "damaged": "a damaged gzip stream",
+    }
+    # A rejected file is not read again as long as it stays as it is.
+    monkeypatch.setattr(bulk, "scan_checked", None)
+    store.ingest(folder, DAILY, D(2020, 3, 1))
+    assert store.rejects().count() == 4
+    monkeypatch.undo()
+    (landed / "plain.csv.gz").write_bytes(gzip.compress(good.encode()))
+    store.ingest(folder, DAILY, D(2020, 3, 1))
+    assert tavg(store)["plain"] == (1.0, 3) and store.rejects().count() == 4
+    assert not scratch.exists() or not list(scratch.iterdir())
+    with pytest.raises(UnreadableFile, match="ends early"):
+        only = spark.createDataFrame([("cut",)], "station string")
+        store.ingest(folder, DAILY, D(2020, 4, 1), only=only, strict=True)
+
+
+def test_rows_of_a_lost_job_do_not_count(spark, store, tmp_path):
     folder = land(tmp_path, DAILY, "07147", days("2020-01-01", 3, 1.0))
-    # A job that was lost after the rows and before the status.
-    store._write(bulk.scan(spark, DAILY, folder), DAILY, "append")
-    assert store.status().isEmpty()
+    # A job that was lost after the rows and the log, before the manifest.
+    rows = store._write_rows(bulk.scan(spark, DAILY, folder), DAILY, "lost")
+    store._write_log(rows.select("station").distinct().withColumn("written_on", F.lit(D(2020, 1, 1))), DAILY, "lost")
+    assert store.status().isEmpty() and store.scan(DAILY).isEmpty()
     store.ingest(folder, DAILY, D(2020, 2, 1))
     assert tavg(store) == {"07147": (1.0, 3)}
 
 
+def test_a_store_has_to_be_laid_out(spark, tmp_path):
+    with pytest.raises(NoSuchStore):
+        Store(spark, str(tmp_path / "mistyped"))
+    assert not (tmp_path / "mistyped").exists()
+    Store(spark, str(tmp_path / "new"), buckets=3)
+    assert Store(spark, str(tmp_path / "new")).buckets == 3
+
+
+def files_of(store, frequency=DAILY):
+    return {str(p): p.stat().st_mtime_ns for p in Path(store.path(frequency)).rglob("*.parquet")}
+
+
+def stations_in(spark, paths):
+    return {row.station for row in spark.read.parquet(*paths).select("station").distinct().collect()}
+
+
+def test_refresh_touches_no_other_station(spark, store, tmp_path):
+    for name in ("a", "b", "c", "d", "e"):
+        folder = land(tmp_path, DAILY, name, days("2019-12-30", 4, 1.0))
+    store.ingest(folder, DAILY, D(2020, 2, 1))
+    before = files_of(store)
+    land(tmp_path, DAILY, "b", days("2019-12-30", 6, 2.0))
+    store.refresh(folder, DAILY, needs(spark, ("b", D(2020, 3, 1))), today=D(2020, 4, 1))
+    after = files_of(store)
+    assert before.items() <= after.items()
+    assert stations_in(spark, set(after) - set(before)) == {"b"}
+    assert tavg(store) == {"a": (1.0, 4), "b": (2.0, 6), "c": (1.0, 4), "d": (1.0, 4), "e": (1.0, 4)}
+    assert store.scan_station(DAILY, "b").count() == 6
+    store.drop_station(DAILY, "c")
+    assert files_of(store) == after and set(tavg(store)) == set("abde")
+    store.ingest(folder, DAILY, D(2020, 5, 1))  # c comes back, after it was dropped
+    assert tavg(store)["c"] == (1.0, 4) and written(store)["c", "daily"] == D(2020, 5, 1)
+
+
+def test_compaction(spark, store, tmp_path):
+    for name in ("a", "b", "c", "d"):
+        folder = land(tmp_path, DAILY, name, days("2019-12-30", 4, 1.0))
+    store.ingest(folder, DAILY, D(2020, 2, 1))
+    land(tmp_path, DAILY, "b", days("2019-12-30", 6, 2.0))
+    store.refresh(folder, DAILY, needs(spark, ("b", D(2020, 3, 1))), today=D(2020, 4, 1))
+    store.drop_station(DAILY, "c")
+    rows, status = tavg(store), written(store)
+    assert len(store.live(DAILY)) == 3
+    store.compact(DAILY, buckets=2)
+    (one,) = store.live(DAILY)
+    assert (one.kind, one.buckets, store.buckets) == ("compact", 2, 2)
+    assert tavg(store) == rows and written(store) == status
+    assert store.scan(DAILY).agg(F.max("bucket")).first()[0] <= 1
+    assert Store(spark, store.root).buckets == 2
+    assert store.scan_station(DAILY, "b").count() == 6
+    assert len(store.vacuum(DAILY)) == 3 and store.vacuum(DAILY) == []
+    folders = {p.name for p in Path(store.path(DAILY)).iterdir() if p.is_dir()}
+    assert folders == {f"commit={one.commit}"}
+    assert tavg(store) == rows and written(store) == status
+    store.compact(DAILY)  # nothing to do
+    assert store.live(DAILY) == [one]
+
+
+def test_writers_at_the_same_time(spark, store, tmp_path):
+    first, second = store, Store(spark, store.root)
+    a = bulk.scan(spark, DAILY, land(tmp_path / "one", DAILY, "a", days("2020-01-01", 2, 1.0)))
+    land(tmp_path / "two", DAILY, "a", days("2020-01-01", 3, 2.0))
+    both = bulk.scan(spark, DAILY, land(tmp_path / "two", DAILY, "b", days("2020-01-01", 3, 2.0)))
+    seen = store.live(DAILY)  # both writers decide before either has published
+    first._commit(a, DAILY, D(2020, 2, 1), "append", seen)
+    second._commit(both, DAILY, D(2020, 3, 1), "append", seen)
+    # The later one has the station as a whole, in rows and status alike.
+    assert tavg(first) == tavg(second) == {"a": (2.0, 3), "b": (2.0, 3)}
+    assert set(written(first).values()) == {D(2020, 3, 1)}
+    # Also if both have taken the same version: then the ids say who is later, to all readers.
+    base = store._base(store.live(DAILY))
+    for commit, station, n in (("x1", "a", 5), ("x2", "a", 6)):
+        rows = bulk.scan(spark, DAILY, land(tmp_path / commit, DAILY, station, days("2020-01-01", n, 3.0)))
+        stored = store._write_rows(rows, DAILY, commit)
+        store._write_log(stored.select("station").distinct().withColumn("written_on", F.lit(D(2020, 4, 1))), DAILY, commit)
+    store._publish("x2", DAILY, "refresh", base, base + 1)
+    store._publish("x1", DAILY, "refresh", base, base + 1)
+    assert tavg(first)["a"] == tavg(second)["a"] == (3.0, 6)
+
+
+def test_a_commit_made_during_a_compaction_stays(spark, store, tmp_path, monkeypatch):
+    for name in ("a", "b"):
+        folder = land(tmp_path, DAILY, name, days("2020-01-01", 3, 1.0))
+    store.ingest(folder, DAILY, D(2020, 2, 1))
+    land(tmp_path, DAILY, "a", days("2020-01-01", 5, 2.0))
+    other = Store(spark, store.root)
+    publish = store._publish
+
+    def late(*arguments):
+        other.refresh(folder, DAILY, needs(spark, ("a", D(2020, 3, 1))), today=D(2020, 4, 1))
+        publish(*arguments)
+
+    monkeypatch.setattr(store, "_publish", late)
+    store.compact(DAILY, buckets=7)
+    assert tavg(store) == tavg(Store(spark, store.root)) == {"a": (2.0, 5), "b": (1.0, 3)}
+    assert Store(spark, store.root).scan_station(DAILY, "a").count() == 5
+    assert written(store)["a", "daily"] == D(2020, 4, 1)
+
+
 def test_refresh_rewrites_stale_stations_only(spark, store, tmp_path):
     names = [f"{i:05d}" for i in range(12)]
     for name in names:
