@@ -5,8 +5,13 @@ are answered each on its own all the same. Requests and stations meet in
 the cells of a :class:`~stationlake.functions.geo.Grid` by an equi-join; the exact distance and
 the inventory decide inside the join. Results are exact: nearest first, ties by station id.
 
+Where stations are crowded, a request need not look at all of them: there are grids of several levels, each for half the radius
+of the last, and for each cell the box around its stations. A request in a cell with ``k`` stations finds ``k``
+of them no farther away than the far corner of their box. This bound is known before any pair is made; it says which
+level's grid the request is to look into, in the one join there is.
+
 The catalogue is the small side. When its copies are counted to fit, they are broadcast: the
-requests are then shuffled once, by their unique id, so a place that many ask for is no hot spot,
+requests are then shuffled once, by all their columns, so a place that many ask for is no hot spot,
 and ranking needs no other shuffle. A larger catalogue is joined by cell, with hot cells spread.
 """
 
@@ -21,6 +26,7 @@ from stationlake.functions.geo import (
     MAX_COPIES,
     Grid,
     chord_square,
+    chord_square_of,
     distance_of_chord,
     unit_vector,
     within,
@@ -34,13 +40,9 @@ DEFAULT_RADIUS_KM = 50.0
 DEFAULT_STATION_LIMIT = 5
 
 
-# Smaller rings pay when a cell holds more than this many stations per wanted one, and when the
-# pairs that a single ring would look at are many.
-CROWDED = 6
-MANY_PAIRS = 50_000_000
-MAX_RINGS = 6
-#: What tells a request from all others; ``_copy`` numbers those that share an id.
-REQUEST = ("request_id", "_copy")
+#: Radii of the levels shrink by STEP; a level is used where cells of the one above hold more than CROWDED
+#: stations per wanted one.
+STEP, LEVELS, CROWDED = 2, 7, 6
 SITE = ("site_x", "site_y", "site_z")
 POINT = ("point_x", "point_y", "point_z")
 
@@ -67,36 +69,130 @@ def _first_of_each_place(sites: DataFrame, k: int) -> DataFrame:
     return sites.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
 
 
-def _rings(most: int, k: int, max_km: float, count: int) -> list[float]:
-    """Radii to search in turn, when ``most`` stations share a cell of the whole radius.
+def _grids(max_km: float) -> list[Grid]:
+    """Grids of all levels; cells stop shrinking at some size."""
+    grids = [Grid.for_radius(max_km)]
+    for _ in range(LEVELS - 1):
+        finer = Grid.for_radius(grids[-1].radius_km / STEP)
+        if finer.rows <= grids[-1].rows:
+            break
+        grids.append(finer)
+    return grids
 
-    A request that finds ``k`` stations within a small ring needs no larger one. Where stations are
-    crowded this saves nearly all pairs; elsewhere the whole radius is searched at once.
-    """
-    rings = [max_km]
-    while most > CROWDED * k and most * count > MANY_PAIRS and len(rings) < MAX_RINGS:
-        rings.insert(0, rings[0] / 3)
-        most //= 9
-    return rings
 
+def _boxes(sites: DataFrame, grids: Sequence[Grid]) -> DataFrame:
+    """``level, cell``, the number ``n`` of its sites, and the box around them."""
+    cells = [
+        F.struct(F.lit(level).alias("level"), grid.cell("site_lat", "site_lon").alias("cell"))
+        for level, grid in enumerate(grids)
+    ]
+    sides = [side(name).alias(f"{short}_{name}") for name in SITE for short, side in (("lo", F.min), ("hi", F.max))]
+    return (
+        sites.select(*SITE, F.explode(F.array(*cells)).alias("at"))
+        .select(*SITE, "at.*")
+        .filter("cell IS NOT NULL")
+        .groupBy("level", "cell")
+        .agg(F.count("*").alias("n"), *sides)
+    )
 
-def _fitting(
-    sites: DataFrame, site_count: int, rings: list[float], broadcast_rows: int
-) -> tuple[list[float], bool]:
-    """The rings whose copies of the sites can be broadcast, and whether any can.
 
-    Copies are counted when the upper bound is too large. The smallest rings are given up first;
-    a catalogue that does not even fit for the whole radius is shuffled and searched at once.
-    """
-    if site_count * MAX_COPIES * len(rings) <= broadcast_rows:
-        return rings, True
-    total, fitting = 0, []
-    for radius in reversed(rings):
-        total += Grid.for_radius(radius).touched_cells(sites, "site_lat", "site_lon").count()
-        if total > broadcast_rows:
-            break
-        fitting.insert(0, radius)
-    return fitting or rings[-1:], bool(fitting)
+def _far_corner() -> Column:
+    """Square of the chord from a point to the farthest corner of a box, not less than to any site in it."""
+    square = F.lit(0.0)
+    for point, site in zip(POINT, SITE):
+        to_lo, to_hi = F.col(point) - F.col(f"lo_{site}"), F.col(point) - F.col(f"hi_{site}")
+        square = square + F.greatest(to_lo * to_lo, to_hi * to_hi)
+    return square * (1 + 1e-9) + 1e-24
+
+
+def _key(cell: Column, level: int | Column) -> Column:
+    """One number for a cell of a level."""
+    return cell * LEVELS + level
+
+
+class Search:
+    """Requests and stations dealt to the cells in which they meet."""
+
+    def __init__(
+        self, sites: DataFrame, k: int, max_km: float, count: int, broadcast_rows: int, by_request: bool
+    ):
+        """``sites`` has ``site_lat, site_lon`` and the columns of ``SITE``. With ``by_request`` each request has
+        needs of its own, so that not every station of a box counts for it: the bound is then a first try.
+        """
+        self.k, self.count, self.by_request = k, count, by_request
+        grids = _grids(max_km)
+        # One row per level.
+        sizes = {
+            row.level: row
+            for row in _boxes(sites, grids).groupBy("level").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+        }
+        used = 1
+        while used < len(grids) and used in sizes and sizes[used - 1].most > CROWDED * k:
+            used += 1
+        self.grids = grids[:used]
+        self.limits = [chord_square_of(grid.radius_km) for grid in self.grids]
+        if used > 1:
+            sites = _first_of_each_place(sites, k)
+        self.sites = sites
+        site_count = sizes[0].n if sizes else 0
+        self.fits = site_count * MAX_COPIES * used <= broadcast_rows or self.near().limit(broadcast_rows + 1).count() <= broadcast_rows
+
+    def near(self) -> DataFrame:
+        """The sites, one copy per cell of each level that its radius can reach."""
+        copies = [
+            grid.touched_cells(self.sites, "site_lat", "site_lon")
+            .withColumn("cell", _key(F.col("cell"), level))
+            .drop("site_lat", "site_lon")
+            for level, grid in enumerate(self.grids)
+        ]
+        near = copies[0]
+        for more in copies[1:]:
+            near = near.unionByName(more)
+        return near
+
+    def bounded(self, points: DataFrame) -> DataFrame:
+        """Points (with ``POINT``) with the ``level`` to look into and ``bound``, the square of the chord not to pass."""
+        whole = F.lit(self.limits[0] * (1 + 1e-9) + 1e-24)
+        if len(self.grids) == 1:
+            return points.withColumns({"bound": whole, "level": F.lit(0)})
+        finer = list(enumerate(self.grids))[1:]
+        own = F.array(*(_key(grid.cell("lat", "lon"), level) for level, grid in finer))
+        boxes = _boxes(self.sites, self.grids).filter((F.col("n") >= self.k) & (F.col("level") > 0))
+        boxes = boxes.withColumn("_cell", _key(F.col("cell"), F.col("level"))).drop("level", "cell", "n")
+        asked = points.withColumn("_cell", F.explode(own))
+        if self.fits:
+            joined = asked.join(F.broadcast(boxes), "_cell", "left")
+        else:
+            joined = salted_join(asked, boxes, ["_cell"], self.count * len(finer), "left")
+        bounded = joined.groupBy(*points.columns).agg(F.least(F.min(_far_corner()), whole).alias("bound"))
+        level = F.lit(0)
+        for at, _ in finer:
+            level = F.when(F.col("bound") < self.limits[at] * (1 - 1e-9), at).otherwise(level)
+        return bounded.withColumn("level", level)
+
+    def cell(self) -> Column:
+        """The cell in which a point of some ``level`` looks."""
+        cell = _key(self.grids[0].cell("lat", "lon"), 0)
+        for level, grid in list(enumerate(self.grids))[1:]:
+            cell = F.when(F.col("level") == level, _key(grid.cell("lat", "lon"), level)).otherwise(cell)
+        return cell
+
+    def reach(self) -> Column:
+        """Square of the chord within which a point of some ``level`` sees all stations it is to see."""
+        if not self.by_request:
+            return F.col("bound")
+        reach = F.lit(self.limits[0] * (1 + 1e-9) + 1e-24)
+        for level, limit in list(enumerate(self.limits))[1:]:
+            reach = F.when(F.col("level") == level, limit).otherwise(reach)
+        return reach
+
+    def pairs(self, points: DataFrame, condition: Column) -> DataFrame:
+        """Points with the stations of their ``cell`` that meet a condition, or with none."""
+        near = self.near()
+        if not self.fits:
+            return salted_join(points, near, ["cell"], self.count, "left", condition)
+        near = F.broadcast(near.withColumnRenamed("cell", "site_cell"))
+        return points.join(near, (F.col("cell") == F.col("site_cell")) & condition, "left")
 
 
 def _partitions(spark: SparkSession, count: int) -> int:
@@ -118,10 +214,11 @@ def ranked_candidates(
     count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Up to ``k`` stations per request (``REQUEST``) with ``distance_km`` and ``rank``.
+    """Up to ``k`` stations per request with ``distance_km`` and ``rank``.
 
-    With ``how="left"`` a request without any station gets one row without station. With
-    ``available`` the column ``has_data`` says whether a station is listed there. ``count`` is the
+    Equal rows of ``requests`` are answered once; ``_times`` says how many there are. What tells a request from others
+    is all its columns: :func:`_of_request`. With ``how="left"`` a request without any station gets one row without
+    station. With ``available`` the column ``has_data`` says whether a station is listed there. ``count`` is the
     number of requests, or an upper bound of it; without it, they are counted.
     """
     count = requests.count() if count is None else count
@@ -146,85 +243,55 @@ def ranked_candidates(
             sites = sites.filter(covers(frequency, required, start, end)).drop(
                 "inventory_start", "inventory_end"
             )
-    site_count = sites.count()
-    rings = [max_km]
-    if site_count * count > MANY_PAIRS:
-        cell = Grid.for_radius(max_km).cell("site_lat", "site_lon")
-        per_cell = sites.groupBy(cell.alias("cell")).count()
-        rings = _rings(per_cell.agg(F.max("count")).first()[0] or 0, k, max_km, count)
-    if len(rings) > 1:
-        sites = _first_of_each_place(sites, k)
-    rings, fits = _fitting(sites, site_count, rings, broadcast_rows)
-
     vector = unit_vector(F.col("site_lat"), F.col("site_lon"))
     sites = sites.withColumns(dict(zip(SITE, vector)))
     flags = []
     if available is not None:
         listed = available.select("station").distinct().withColumn("has_data", F.lit(True))
         sites, flags = sites.join(listed, "station", "left"), ["has_data"]
+    search = Search(sites, k, max_km, count, broadcast_rows, bool(needs))
     points = requests.select(
         "request_id", "lat", "lon", *carry, *(value.alias(name) for name, value in needs.items())
     )
-    if fits:
-        points = points.repartition(_partitions(requests.sparkSession, count), "request_id")
-    sharing = Window.partitionBy("request_id").orderBy(*points.columns[1:])
-    points = points.withColumn("_copy", F.row_number().over(sharing)).withColumns(
+    identity = points.columns
+    if search.fits:
+        points = points.repartition(_partitions(requests.sparkSession, count), *identity)
+    points = points.groupBy(*identity).agg(F.count("*").alias("_times")).withColumns(
         dict(zip(POINT, unit_vector(F.col("lat"), F.col("lon"))))
     )
-    of_request = points.columns
+    state = search.bounded(points)
+    of_request = state.columns
     square = chord_square(tuple(map(F.col, POINT)), tuple(map(F.col, SITE)))
-    order = Window.partitionBy(*REQUEST).orderBy(F.col("square").asc_nulls_last(), "station")
-
-    def search(state: DataFrame, radius: float, unsatisfied: Column) -> DataFrame:
-        """The ``k`` nearest per request; requests that are satisfied keep the rows they have."""
-        grid = Grid.for_radius(radius)
-        near = grid.touched_cells(sites, "site_lat", "site_lon").drop("site_lat", "site_lon")
-        state = state.withColumn("cell", F.when(unsatisfied, grid.cell("lat", "lon")))
-        pair = within(square, radius) & suitable
-        if fits:
-            near = F.broadcast(near.withColumnRenamed("cell", "site_cell"))
-            pairs = state.join(near, (F.col("cell") == F.col("site_cell")) & pair, "left")
-        else:
-            pairs = salted_join(state, near, ["cell"], count, "left", pair)
-        found = {"station": F.col("station"), "square": square}
-        found |= {flag: F.col(flag) for flag in flags}
-        kept = {name for name in found if f"kept_{name}" in state.columns}
-        return (
-            pairs.select(
-                *of_request,
-                *(
-                    (F.coalesce(value, f"kept_{name}") if name in kept else value).alias(name)
-                    for name, value in found.items()
-                ),
-            )
-            .withColumn("rank", F.row_number().over(order))
-            .filter(F.col("rank") <= k)
-        )
-
-    ranked = search(points, rings[0], F.lit(True))
-    for radius in rings[1:]:
-        hits = F.count("station").over(Window.partitionBy(*REQUEST))
-        more = F.col("hits") < k
-        state = (
-            ranked.withColumn("hits", hits)
+    order = Window.partitionBy(*identity).orderBy(F.col("square").asc_nulls_last(), "station")
+    found = {"station": F.col("station"), "square": square} | {flag: F.col(flag) for flag in flags}
+
+    def ranked(pairs: DataFrame, values: dict[str, Column]) -> DataFrame:
+        values = [value.alias(name) for name, value in values.items()]
+        rank = F.row_number().over(order)
+        return pairs.select(*of_request, *values).withColumn("rank", rank).filter(F.col("rank") <= k)
+
+    pair = within(square, max_km) & (square <= search.reach()) & suitable
+    best = ranked(search.pairs(state.withColumn("cell", search.cell()), pair), found)
+    if search.by_request and len(search.grids) > 1:
+        # Needs may rule out stations of the box: who has too few looks into the whole radius.
+        hits = F.count("station").over(Window.partitionBy(*identity))
+        more = (F.col("hits") < k) & (F.col("level") > 0)
+        again = (
+            best.withColumn("hits", hits)
             .filter(~more | (F.col("rank") == 1))
             .select(
-                *of_request,
-                more.alias("more"),
-                *(
-                    F.when(~more, F.col(name)).alias(f"kept_{name}")
-                    for name in ("station", "square", *flags)
-                ),
+                *(F.when(more, 0).otherwise(F.col(name)).alias(name) if name == "level" else name for name in of_request),
+                F.when(more, _key(search.grids[0].cell("lat", "lon"), 0)).alias("cell"),
+                *(F.when(~more, F.col(name)).alias(f"kept_{name}") for name in found),
             )
         )
-        ranked = search(state, radius, F.col("more"))
+        either = {name: F.coalesce(value, f"kept_{name}") for name, value in found.items()}
+        best = ranked(search.pairs(again, pair), either)
     if how == "inner":
-        ranked = ranked.filter(F.col("station").isNotNull())
-    return ranked.select(
-        *REQUEST,
-        "lat",
-        "lon",
-        *carry,
+        best = best.filter(F.col("station").isNotNull())
+    return best.select(
+        *_of_request(carry, needs),
+        "_times",
         "station",
         distance_of_chord(F.col("square")).alias("distance_km"),
         *flags,
@@ -232,6 +299,15 @@ def ranked_candidates(
     )
 
 
+def _of_request(carry: Sequence[str], needs: Sequence[str] = ()) -> list[str]:
+    return ["request_id", "lat", "lon", *carry, *needs]
+
+
+def _each(rows: DataFrame) -> DataFrame:
+    """Rows as often as their request was asked."""
+    return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), "_times"))).drop("_times")
+
+
 def nearest_stations(
     requests: DataFrame,
     stations: DataFrame,
@@ -248,7 +324,7 @@ def nearest_stations(
     Without a frequency the inventory plays no part. Requests without a station within the
     radius have no rows.
     """
-    return ranked_candidates(
+    ranked = ranked_candidates(
         requests,
         stations,
         k,
@@ -258,7 +334,8 @@ def nearest_stations(
         carry,
         count=count,
         broadcast_rows=broadcast_rows,
-    ).drop("_copy")
+    )
+    return _each(ranked).select(*_of_request(carry), "station", "distance_km", "rank")
 
 
 def find_stations(
@@ -318,10 +395,11 @@ def serving_stations(
         count=count,
         broadcast_rows=broadcast_rows,
     )
-    of_request = Window.partitionBy(*REQUEST)
+    needs = [name for name in candidates.columns if name.startswith("need_")]
+    of_request = Window.partitionBy(*_of_request(carry, needs))
     served = F.min(F.when(F.col("has_data"), F.col("rank"))).over(of_request)
     ok = F.col("served").isNotNull()
-    return (
+    rows = (
         candidates.withColumn("served", served)
         .withColumn("stations_tried", F.count("station").over(of_request))
         .filter(F.col("rank") == F.coalesce("served", F.lit(1)))
@@ -330,6 +408,7 @@ def serving_stations(
             "lat",
             "lon",
             *carry,
+            "_times",
             F.when(ok, F.col("station")).alias("station"),
             F.when(ok, F.col("distance_km")).alias("distance_km"),
             "stations_tried",
@@ -339,3 +418,4 @@ def serving_stations(
             .alias("status"),
         )
     )
+    return _each(rows)

@@ -125,18 +125,11 @@ def crowded_places(seed, n):
             yield 89.9 + rng.uniform(0, 0.1), rng.uniform(-180, 180)
 
 
-def test_rings():
-    assert nearest._rings(1000, 1, 90.0, 10**9) == [90 / 27, 10.0, 30.0, 90.0]
-    assert nearest._rings(1000, 200, 90.0, 10**9) == [90.0]
-    assert nearest._rings(1000, 1, 90.0, 100) == [90.0]
-
-
 @pytest.mark.parametrize(
-    "broadcast_rows", [1_000_000, 12_000, 0], ids=["broadcast", "fewer rings", "salted"]
+    "broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"]
 )
 @pytest.mark.parametrize("k", [1, 3])
-def test_crowded_places_take_smaller_rings(spark, monkeypatch, k, broadcast_rows):
-    monkeypatch.setattr(nearest, "MANY_PAIRS", 0)
+def test_crowded_places(spark, k, broadcast_rows):
     places = {f"{i:05d}": spot for i, spot in enumerate(crowded_places(6, 600))}
     catalogue = stations(spark, places)
     points = list(crowded_places(7, 200)) + list(spots(8, 100)) + [(52.3, 13.3)] * 20
@@ -146,8 +139,42 @@ def test_crowded_places_take_smaller_rings(spark, monkeypatch, k, broadcast_rows
     assert_same(result(found), brute(places, points, k, 60.0))
 
 
-def test_crowded_places_with_requirements_per_request(spark, monkeypatch):
-    monkeypatch.setattr(nearest, "MANY_PAIRS", 0)
+@pytest.mark.parametrize("broadcast_rows", [10_000_000, 0], ids=["broadcast", "salted"])
+def test_bounds_save_pairs_in_crowds(spark, broadcast_rows):
+    """Requests in a crowd look at some stations per wanted one, however many there are, in either branch."""
+    rng = random.Random(12)
+
+    def crowd(n):
+        return [(52 + rng.gauss(0, 0.1), 13 + rng.gauss(0, 0.1)) for _ in range(n)]
+
+    points = requests(spark, crowd(300)).withColumns(
+        dict(zip(nearest.POINT, nearest.unit_vector(F.col("lat"), F.col("lon"))))
+    )
+    per_request = []
+    for n in (1000, 4000):
+        sites = nearest._sites(stations(spark, {f"{i:05d}": at for i, at in enumerate(crowd(n))}), None)
+        sites = sites.withColumns(
+            dict(zip(nearest.SITE, nearest.unit_vector(F.col("site_lat"), F.col("site_lon"))))
+        )
+        search = nearest.Search(sites, 2, 50.0, 300, broadcast_rows, False)
+        assert search.fits == bool(broadcast_rows) and len(search.grids) > 2
+        cells = search.bounded(points).withColumn("cell", search.cell())
+        assert cells.count() == 300
+        per_request.append(cells.join(search.near(), "cell").count() / 300)
+    assert max(per_request) < 150  # of 1000 and 4000
+    assert per_request[1] < 2 * per_request[0]
+
+
+def test_no_levels_where_stations_are_sparse(spark):
+    places = {f"{i:05d}": (48 + i / 10, 8.0) for i in range(60)}
+    sites = nearest._sites(stations(spark, places), None).withColumns(
+        dict(zip(nearest.SITE, nearest.unit_vector(F.col("site_lat"), F.col("site_lon"))))
+    )
+    assert len(nearest.Search(sites, 3, 50.0, 10, 1000, False).grids) == 1
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"])
+def test_crowded_places_with_requirements_per_request(spark, broadcast_rows):
     places = {f"{i:05d}": spot for i, spot in enumerate(crowded_places(9, 400))}
     day = dt.date(2000, 1, 1)
     daily = {
@@ -159,7 +186,9 @@ def test_crowded_places_with_requirements_per_request(spark, monkeypatch):
     )
     required = RequiredData.specific_date(F.col("day"))
     found = result(
-        nearest_stations(wanted, stations(spark, places, daily), 2, 60.0, Frequency.DAILY, required)
+        nearest_stations(
+            wanted, stations(spark, places, daily), 2, 60.0, Frequency.DAILY, required, broadcast_rows=broadcast_rows
+        )
     )
     expected = {}
     for i, point in enumerate(points):
@@ -169,6 +198,23 @@ def test_crowded_places_with_requirements_per_request(spark, monkeypatch):
     assert_same(found, expected)
 
 
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"])
+def test_requests_that_share_an_id(spark, broadcast_rows):
+    places = {"a": (50.0, 8.0), "b": (10.0, 10.0)}
+    points = [(50.0, 8.0)] * 3 + [(10.0, 10.0), (0.0, 0.0)]
+    shared = requests(spark, points).withColumn("request_id", F.lit(None).cast("bigint"))
+    catalogue = stations(spark, places)
+    found = nearest_stations(shared, catalogue, 5, 50.0, broadcast_rows=broadcast_rows).collect()
+    assert sorted((row.station, row.rank) for row in found) == [("a", 1)] * 3 + [("b", 1)]
+    available = spark.createDataFrame([("a",)], "station string")
+    served = serving_stations(shared, catalogue, available, Frequency.DAILY, broadcast_rows=broadcast_rows)
+    assert sorted((r.station or "", r.status, r.stations_tried) for r in served.collect()) == [
+        ("", "no_data", 1),
+        ("", "no_station", 0),
+        *[("a", "ok", 1)] * 3,
+    ]
+
+
 def test_every_station_has_few_copies(spark):
     places = {f"{i:05d}": spot for i, spot in enumerate(spots(5, 400))}
     places |= {"north": (90, 0), "south": (-90, 0), "almost": (89.9999, 17)}
