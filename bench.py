@@ -57,8 +57,7 @@ def cases(lake, requests, count):
 
     def over(weather, frame):
         served = weather.serving(requests, station_limit=3, count=count)
-        rows = frame.df.withColumn("bucket", bucket(F.col("station")))
-        return located.weather_of(served, rows, count, bucket)
+        return located.weather_of(served, frame.rows, count, bucket)
 
     normals = {
         "start_year": F.lit(1991).cast("bigint"),

@@ -21,6 +21,7 @@ from stationlake.plans.fixtures import catalogue, view
 from stationlake.plans.registry import register
 from stationlake.plans.store_queries import VIEW_OF, WRITTEN
 from stationlake.scratch import scratch_folder
+from stationlake.sizing import BROADCAST_ROWS
 from stationlake.values import Frequency, Month, RequiredData, Year
 
 # Columns need a session, so requirements are made when a query runs.
@@ -124,6 +125,42 @@ def _register_nearest(
     )
 
 
+def _register_crowded(name: str, broadcast_rows: int) -> None:
+    """All places and stations drawn together into a few kilometres: every cell is crowded."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        drawn = [(50 + (F.col(lat) - 48) / 40, 8 + (F.col(lon) - 5) / 40) for lat, lon in (
+            ("lat", "lon"), ("location.latitude", "location.longitude"))]
+        requests = view(spark, sf_dir, "requests").select(
+            "request_id", drawn[0][0].alias("lat"), drawn[0][1].alias("lon")
+        )
+        place = F.struct(drawn[1][0].alias("latitude"), drawn[1][1].alias("longitude"), F.col("location.elevation"))
+        stations = catalogue(spark, sf_dir).withColumn("location", place)
+        found = nearest_stations(requests, stations, 2, 50.0, broadcast_rows=broadcast_rows)
+        return rounded(found.select("request_id", "station", "distance_km", "rank"))
+
+    register(
+        name,
+        query,
+        f"""
+        , asked AS (
+          SELECT request_id, 50 + (lat - 48) / 40 AS lat, 8 + (lon - 5) / 40 AS lon FROM requests),
+        sites AS (
+          SELECT station, 50 + (latitude - 48) / 40 AS latitude, 8 + (longitude - 5) / 40 AS longitude FROM stations),
+        pairs AS (
+          SELECT r.request_id, s.station, {DISTANCE_SQL} AS km FROM asked r CROSS JOIN sites s),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY km, station) AS rank FROM pairs WHERE km <= 50)
+        SELECT request_id, station, round(km, 6) AS distance_km, rank FROM ranked WHERE rank <= 2
+        """,
+        ("requests", "stations"),
+    )
+
+
+_register_crowded("nearest_stations_crowded", BROADCAST_ROWS)
+_register_crowded("nearest_stations_crowded_shuffled", 0)
+
+
 def specific_day() -> RequiredData:
     return RequiredData.specific_date(F.col("on_date"))
 
@@ -719,6 +756,44 @@ register(
 )
 
 
+def daily_periods_via_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request's own period at its station, from the folders of its years."""
+    return _daily_lake(spark, sf_dir).daily().for_periods(view(spark, sf_dir, "period_requests"))
+
+
+def period_location_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with the outcome of its own period at its place."""
+    texts = view(spark, sf_dir, "period_requests").select("request_id", "period")
+    requests = view(spark, sf_dir, "requests").select("request_id", "lat", "lon").join(texts, "request_id")
+    found = _daily_lake(spark, sf_dir).daily().period_outcomes(requests, station_limit=2)
+    return found.select("request_id", "station", "stations_tried", "status")
+
+
+register(
+    "daily_periods_via_store",
+    daily_periods_via_store,
+    f"""
+    , {RESOLVED_SQL}
+    SELECT p.request_id, p.station, {_DAILY} FROM resolved p JOIN daily w ON w.station = p.station AND w.date BETWEEN p.start_date AND p.end_date
+    """,
+    ("period_requests", "daily"),
+)
+register(
+    "period_location_outcome",
+    period_location_outcome,
+    f"""
+    , {RESOLVED_SQL}, {served_sql(any_sql("daily"), 50.0, 2, "daily")}
+    SELECT q.request_id, q.station, q.stations_tried,
+      CASE WHEN p.start_date IS NULL THEN 'bad_period'
+        WHEN q.status = 'ok' AND NOT EXISTS (
+          SELECT 1 FROM daily w WHERE w.station = q.station AND w.date BETWEEN p.start_date AND p.end_date)
+        THEN 'no_row' ELSE q.status END AS status
+    FROM served q JOIN resolved p ON p.request_id = q.request_id
+    """,
+    ("period_requests", "requests", "stations", "daily"),
+)
+
+
 def single_row_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests whose period has exactly one daily row, as records; the others with their count."""
     requests = view(spark, sf_dir, "period_requests")
