@@ -32,8 +32,8 @@ from stationlake.llm.shared import SLICE_BYTES, slices
 
 #: Words a task keeps at hand, and the longest that is kept.
 KNOWN_WORDS, KEPT_LENGTH = 300_000, 48
-#: Words up to this many bytes are searched together.
-SHORT = 48
+#: Words up to this many bytes are searched together, and how many of them are.
+SHORT, LEARNED_AT_ONCE = 48, 20_000
 #: Ids that are decoded at a time.
 IDS_AT_ONCE = 500_000
 #: Words of one long text that are worked on at a time.
@@ -239,7 +239,13 @@ class Encoder:
         return [raw[begin:end] for begin, end in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of many words at once."""
+        """Ids of many words, :data:`LEARNED_AT_ONCE` at a time."""
+        learned: dict[str, bytes] = {}
+        for begin in range(0, len(words), LEARNED_AT_ONCE):
+            learned |= self.learn_together(words[begin : begin + LEARNED_AT_ONCE])
+        return learned
+
+    def learn_together(self, words: list[str]) -> dict[str, bytes]:
         tables = self.tables
         texts = [w.encode("utf-8", "replace").decode("latin-1") for w in words]
         found = list(tables.automaton.iter_long(BETWEEN.join(texts)))
