@@ -31,7 +31,9 @@ from stationlake.llm.shared import slices, staged
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
 #: Words whose ids a task keeps at hand, and the longest in bytes that is kept.
-CACHE_WORDS, KEPT_BYTES = 250_000, 48
+CACHE_WORDS, KEPT_BYTES = 150_000, 48
+#: New words that the tokenizer is given at a time, and bytes of text that are held as words.
+LEARNED_AT_ONCE, HELD_BYTES = 10_000, 2_000_000
 #: A comma or full stop that ends a run of non-space characters.
 CLOSING = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \t-\r]|\Z)")
 
@@ -47,6 +49,11 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
+        """Add the ids of new words, some at a time: the tokenizer's own results take a kilobyte a word."""
+        for begin in range(0, len(words), LEARNED_AT_ONCE):
+            self.learn_together(words[begin : begin + LEARNED_AT_ONCE])
+
+    def learn_together(self, words: list[bytes]) -> None:
         """Add the ids of new words. Words of letters only are each one to the tokenizer, so they are encoded in one go and
         told apart by the ids that close a word; should that not add up, one by one."""
         texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
@@ -79,8 +86,7 @@ class WordIds:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known = {}
         new = list(words.difference(self.known))
-        if new:
-            self.learn(new)
+        self.learn(new)
         ids = [b"".join(map(self.known.__getitem__, some)) for some in lists]
         for word in new:
             if len(word) > KEPT_BYTES:
@@ -111,7 +117,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, leng
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in (part for b in batches for part in slices(b, b.schema.names[1])):
+        for batch in (part for b in batches for part in slices(b, b.schema.names[1], HELD_BYTES)):
             owners, pieces, starts, sizes, sums, values = [], [], [], [], [], []
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for row, ids in enumerate(words.of_texts(texts)):
