@@ -43,6 +43,9 @@ DEFAULT_STATION_LIMIT = 5
 #: Radii of the levels shrink by STEP; a level is used where cells of the one above hold more than CROWDED
 #: stations per wanted one.
 STEP, LEVELS, CROWDED = 2, 7, 6
+#: What tells a request from all others: its id, and 96 bits of hash of all its columns for those that share one.
+#: (Coordinates are no keys: Spark makes zeros and NaN alike in them, and shuffles anew.)
+REQUEST = ("request_id", "_row", "_row2")
 SITE = ("site_x", "site_y", "site_z")
 POINT = ("point_x", "point_y", "point_z")
 
@@ -110,6 +113,15 @@ def _key(cell: Column, level: int | Column) -> Column:
     return cell * LEVELS + level
 
 
+def _told_apart(points: DataFrame) -> DataFrame:
+    return points.withColumns({"_row": F.xxhash64(*points.columns), "_row2": F.hash(*points.columns)})
+
+
+def _per_request(points: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
+    """One row per request with some columns, which are the same in all its rows, and aggregates."""
+    return points.groupBy(*REQUEST).agg(*(F.first(c).alias(c) for c in columns if c not in REQUEST), *more)
+
+
 class Search:
     """Requests and stations dealt to the cells in which they meet."""
 
@@ -164,7 +176,7 @@ class Search:
             joined = asked.join(F.broadcast(boxes), "_cell", "left")
         else:
             joined = salted_join(asked, boxes, ["_cell"], self.count * len(finer), "left")
-        bounded = joined.groupBy(*points.columns).agg(F.least(F.min(_far_corner()), whole).alias("bound"))
+        bounded = _per_request(joined, points.columns, F.least(F.min(_far_corner()), whole).alias("bound"))
         level = F.lit(0)
         for at, _ in finer:
             level = F.when(F.col("bound") < self.limits[at] * (1 - 1e-9), at).otherwise(level)
@@ -214,10 +226,9 @@ def ranked_candidates(
     count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Up to ``k`` stations per request with ``distance_km`` and ``rank``.
+    """Up to ``k`` stations per request (``REQUEST``) with ``distance_km`` and ``rank``.
 
-    Equal rows of ``requests`` are answered once; ``_times`` says how many there are. What tells a request from others
-    is all its columns: :func:`_of_request`. With ``how="left"`` a request without any station gets one row without
+    Equal rows of ``requests`` are answered once; ``_times`` says how many there are. With ``how="left"`` a request without any station gets one row without
     station. With ``available`` the column ``has_data`` says whether a station is listed there. ``count`` is the
     number of requests, or an upper bound of it; without it, they are counted.
     """
@@ -253,16 +264,16 @@ def ranked_candidates(
     points = requests.select(
         "request_id", "lat", "lon", *carry, *(value.alias(name) for name, value in needs.items())
     )
-    identity = points.columns
+    told = _told_apart(points)
     if search.fits:
-        points = points.repartition(_partitions(requests.sparkSession, count), *identity)
-    points = points.groupBy(*identity).agg(F.count("*").alias("_times")).withColumns(
+        told = told.repartition(_partitions(requests.sparkSession, count), *REQUEST)
+    points = _per_request(told, points.columns, F.count("*").alias("_times")).withColumns(
         dict(zip(POINT, unit_vector(F.col("lat"), F.col("lon"))))
     )
     state = search.bounded(points)
     of_request = state.columns
     square = chord_square(tuple(map(F.col, POINT)), tuple(map(F.col, SITE)))
-    order = Window.partitionBy(*identity).orderBy(F.col("square").asc_nulls_last(), "station")
+    order = Window.partitionBy(*REQUEST).orderBy(F.col("square").asc_nulls_last(), "station")
     found = {"station": F.col("station"), "square": square} | {flag: F.col(flag) for flag in flags}
 
     def ranked(pairs: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -274,7 +285,7 @@ def ranked_candidates(
     best = ranked(search.pairs(state.withColumn("cell", search.cell()), pair), found)
     if search.by_request and len(search.grids) > 1:
         # Needs may rule out stations of the box: who has too few looks into the whole radius.
-        hits = F.count("station").over(Window.partitionBy(*identity))
+        hits = F.count("station").over(Window.partitionBy(*REQUEST))
         more = (F.col("hits") < k) & (F.col("level") > 0)
         again = (
             best.withColumn("hits", hits)
@@ -290,7 +301,10 @@ def ranked_candidates(
     if how == "inner":
         best = best.filter(F.col("station").isNotNull())
     return best.select(
-        *_of_request(carry, needs),
+        *REQUEST,
+        "lat",
+        "lon",
+        *carry,
         "_times",
         "station",
         distance_of_chord(F.col("square")).alias("distance_km"),
@@ -299,10 +313,6 @@ def ranked_candidates(
     )
 
 
-def _of_request(carry: Sequence[str], needs: Sequence[str] = ()) -> list[str]:
-    return ["request_id", "lat", "lon", *carry, *needs]
-
-
 def _each(rows: DataFrame) -> DataFrame:
     """Rows as often as their request was asked."""
     return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), "_times"))).drop("_times")
@@ -335,7 +345,7 @@ def nearest_stations(
         count=count,
         broadcast_rows=broadcast_rows,
     )
-    return _each(ranked).select(*_of_request(carry), "station", "distance_km", "rank")
+    return _each(ranked).select("request_id", "lat", "lon", *carry, "station", "distance_km", "rank")
 
 
 def find_stations(
@@ -395,8 +405,7 @@ def serving_stations(
         count=count,
         broadcast_rows=broadcast_rows,
     )
-    needs = [name for name in candidates.columns if name.startswith("need_")]
-    of_request = Window.partitionBy(*_of_request(carry, needs))
+    of_request = Window.partitionBy(*REQUEST)
     served = F.min(F.when(F.col("has_data"), F.col("rank"))).over(of_request)
     ok = F.col("served").isNotNull()
     rows = (

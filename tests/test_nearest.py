@@ -147,7 +147,7 @@ def test_bounds_save_pairs_in_crowds(spark, broadcast_rows):
     def crowd(n):
         return [(52 + rng.gauss(0, 0.1), 13 + rng.gauss(0, 0.1)) for _ in range(n)]
 
-    points = requests(spark, crowd(300)).withColumns(
+    points = nearest._told_apart(requests(spark, crowd(300))).withColumns(
         dict(zip(nearest.POINT, nearest.unit_vector(F.col("lat"), F.col("lon"))))
     )
     per_request = []
