@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlake.functions.geo import (
@@ -40,9 +40,9 @@ DEFAULT_RADIUS_KM = 50.0
 DEFAULT_STATION_LIMIT = 5
 
 
-#: Radii of the levels shrink by STEP; a level is used where cells of the one above hold more than CROWDED
-#: stations per wanted one.
-STEP, LEVELS, CROWDED = 2, 7, 6
+#: Radii of the levels shrink by STEP. Levels are used at all where a cell of the whole radius holds more than
+#: CROWDED stations per wanted one, and one below another while its cells hold more than LEAST.
+STEP, LEVELS, CROWDED, LEAST = 2, 7, 24, 6
 #: What tells a request from all others: its id, and 96 bits of hash of all its columns for those that share one.
 #: (Coordinates are no keys: Spark makes zeros and NaN alike in them, and shuffles anew.)
 REQUEST = ("request_id", "_row", "_row2")
@@ -133,21 +133,25 @@ class Search:
         """
         self.k, self.count, self.by_request = k, count, by_request
         grids = _grids(max_km)
-        # One row per level.
-        sizes = {
-            row.level: row
-            for row in _boxes(sites, grids).groupBy("level").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
-        }
+        sizes = self._sizes(sites, grids[:1])
         used = 1
-        while used < len(grids) and used in sizes and sizes[used - 1].most > CROWDED * k:
-            used += 1
+        if sizes[0].most > CROWDED * k:
+            sizes = self._sizes(sites, grids)
+            while used < len(grids) and sizes[used - 1].most > LEAST * k:
+                used += 1
         self.grids = grids[:used]
         self.limits = [chord_square_of(grid.radius_km) for grid in self.grids]
         if used > 1:
             sites = _first_of_each_place(sites, k)
         self.sites = sites
-        site_count = sizes[0].n if sizes else 0
-        self.fits = site_count * MAX_COPIES * used <= broadcast_rows or self.near().limit(broadcast_rows + 1).count() <= broadcast_rows
+        self.fits = sizes[0].n * MAX_COPIES * used <= broadcast_rows or self.near().limit(broadcast_rows + 1).count() <= broadcast_rows
+
+    @staticmethod
+    def _sizes(sites: DataFrame, grids: Sequence[Grid]) -> list[Row]:
+        """Stations of all cells, and of the fullest one, of each level."""
+        by_level = _boxes(sites, grids).groupBy("level").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+        found = {row.level: row for row in by_level.collect()}  # one row per level
+        return [found.get(level, Row(n=0, most=0)) for level in range(len(grids))]
 
     def near(self) -> DataFrame:
         """The sites, one copy per cell of each level that its radius can reach."""
