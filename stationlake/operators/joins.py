@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.scratch import staged
 from stationlake.sizing import BROADCAST_ROWS
 
 # A key that holds more than one in SHARES rows is hot. There can be at most SHARES such keys,
 # whatever the data, which bounds the broadcast that spreads them.
 SHARES = 2000
 
+# Requests that one weather row may be paired with in the task that reads it.
+FAN_OUT = 100_000
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int, shares: int = SHARES) -> DataFrame:
     """Hot keys of ``df`` with the number of parts, ``_parts``, to split each into.
@@ -77,13 +81,24 @@ def join_requests(
     count: int,
     condition: Column | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Inner join of requests with weather rows; ``count`` bounds the number of requests.
 
-    Few requests are broadcast, and the weather table is scanned without a shuffle. Otherwise
-    both sides are shuffled on the keys, with hot keys of the requests spread.
+    Up to ``fan_out`` requests are broadcast and paired where the weather table is scanned: no row
+    can then have more pairs than that. More are written once and their different keys asked once:
+    a semi-join thins out the weather, each row of it kept at most once however many requests want
+    it, and only then are rows and requests paired, with hot keys of the requests spread. While the
+    keys can be broadcast, the weather table itself is not shuffled.
     """
-    if count > broadcast_rows:
-        return salted_join(requests, rows, keys, count, "inner", condition)
-    joined = rows.join(F.broadcast(requests), list(keys), "inner")
-    return joined if condition is None else joined.filter(condition)
+    if count <= min(fan_out, broadcast_rows):
+        joined = rows.join(F.broadcast(requests), list(keys), "inner")
+        return joined if condition is None else joined.filter(condition)
+    requests = staged(requests, "requests")
+    count = requests.count()
+    if count <= broadcast_rows:
+        asked = requests.select(*keys).distinct()
+        if "bucket" in keys:  # always true; makes Spark see that requests may narrow the folders
+            asked = asked.filter("bucket >= 0")
+        rows = rows.join(F.broadcast(asked), list(keys), "left_semi")
+    return salted_join(requests, rows, keys, count, "inner", condition)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from stationlake.functions.periods import nearest_hour
 from stationlake.operators.frames import months_between
-from stationlake.operators.joins import join_requests
+from stationlake.operators.joins import FAN_OUT, join_requests, salted_join
 from stationlake.schemas import LAYOUT, TIME_COLUMNS
+from stationlake.scratch import staged
 from stationlake.sizing import BROADCAST_ROWS
 from stationlake.values import Frequency
 
@@ -64,6 +65,7 @@ def weather_at(
     count: int,
     bucket: Bucket | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """The weather row of each request's ``station`` at the time columns given by ``at``.
 
@@ -81,7 +83,12 @@ def weather_at(
         "request_id", *kept, *keys, *(value.alias(name) for name, value in at.items())
     )
     joined = join_requests(
-        narrow, weather, [*keys, *TIME_COLUMNS[frequency]], count, broadcast_rows=broadcast_rows
+        narrow,
+        weather,
+        [*keys, *TIME_COLUMNS[frequency]],
+        count,
+        broadcast_rows=broadcast_rows,
+        fan_out=fan_out,
     )
     return joined.select("request_id", "station", *kept, *_values(weather))
 
@@ -110,6 +117,7 @@ def weather_between(
     bucket: Bucket | None = None,
     count: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Weather rows of each request's ``station`` from ``start`` to ``end``, both included.
 
@@ -148,7 +156,7 @@ def weather_between(
         (name,) = TIME_COLUMNS[frequency]
         within = (F.col(name) >= F.col(f"from_{name}")) & (F.col(name) <= F.col(f"to_{name}"))
         rows = weather.withColumn("bin", _month_number(F.col(name)))
-    joined = join_requests(binned, rows, [*keys, "bin"], count, within, broadcast_rows)
+    joined = join_requests(binned, rows, [*keys, "bin"], count, within, broadcast_rows, fan_out)
     return joined.select("request_id", "station", *kept, *_values(weather))
 
 
@@ -158,19 +166,30 @@ def weather_of(
     count: int,
     bucket: Bucket | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """All rows of ``weather`` for each request's ``station``.
 
     For one period that all requests share, filter the frame first: the period is then part of the
-    scan.
+    scan. Beyond ``fan_out`` requests, weather of a table with folders by year is paired by
+    (station, year), so that neither a station's requests nor its history lie in one task.
     """
     requests, keys = _served(requests, bucket)
     kept = [name for name in ("distance_km",) if name in requests.columns]
+    narrow = requests.select("request_id", *kept, *keys)
+    if count > min(fan_out, broadcast_rows) and "year_part" in weather.columns:
+        narrow = staged(narrow, "requests")
+        # Few rows a station; only the columns of the layout are read for them.
+        years = weather.select(*keys, "year_part").distinct()
+        years = years.join(narrow.select(*keys).distinct(), keys, "left_semi")
+        narrow = salted_join(narrow, years, keys, count)
+        keys = [*keys, "year_part"]
     joined = join_requests(
-        requests.select("request_id", *kept, *keys),
+        narrow,
         weather,
         keys,
         count,
         broadcast_rows=broadcast_rows,
+        fan_out=fan_out,
     )
     return joined.select("request_id", "station", *kept, *_values(weather))

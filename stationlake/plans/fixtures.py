@@ -42,6 +42,19 @@ VIEWS: dict[str, str] = {
         JOIN events e ON e.event_id = c.c_custkey
         JOIN orders o ON o.o_orderkey = c.c_custkey
     """,
+    "hot_place": """
+        SELECT min(s.station) AS station FROM stations s JOIN daily d ON d.station = s.station
+        WHERE s.daily_start IS NOT NULL AND s.daily_end IS NOT NULL
+    """,
+    "hot_requests": """
+        SELECT r.request_id, CASE WHEN r.request_id % 3 = 0 THEN p.lat ELSE r.lat END AS lat,
+          CASE WHEN r.request_id % 3 = 0 THEN p.lon ELSE r.lon END AS lon, r.at,
+          CASE WHEN r.request_id % 3 = 0 THEN p.on_date ELSE r.on_date END AS on_date
+        FROM requests r JOIN (
+          SELECT 1 AS one, max(s.latitude) AS lat, max(s.longitude) AS lon, min(d.date) AS on_date
+          FROM hot_place h JOIN stations s ON s.station = h.station JOIN daily d ON d.station = h.station) p
+          ON p.one = CASE WHEN r.request_id IS NULL THEN 0 ELSE 1 END
+    """,
     "hourly": """
         SELECT station, cast(cast(datetime AS date) AS varchar(10)) AS date,
           cast(extract(hour FROM datetime) AS bigint) AS hour,

@@ -493,6 +493,42 @@ register(
 )
 
 
+# -- a third of all requests at one place and day, with few and with many different keys
+
+
+def _register_hot(name: str, broadcast_rows: int) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = _daily_lake(spark, sf_dir).store
+        requests = view(spark, sf_dir, "hot_requests")
+        served = serving_stations(
+            requests, store.stations(), store.available(Frequency.DAILY), Frequency.DAILY,
+            station_limit=3, carry=("on_date",),
+        )
+        rows = located.weather_at(
+            served, store.scan(Frequency.DAILY), Frequency.DAILY,
+            located.time_key(Frequency.DAILY, F.col("on_date")), requests.count(), store.bucket_of,
+            broadcast_rows, fan_out=0,
+        )
+        names = list(schemas.table_columns(Frequency.DAILY))[1:]
+        return rounded(rows.select("request_id", "station", "distance_km", *names))
+
+    register(
+        name,
+        query,
+        f"""
+        , {served_sql(any_sql("daily"), 50.0, 3, "daily").replace("requests", "hot_requests")}
+        SELECT q.request_id, q.station, round(q.distance_km, 6) AS distance_km,
+          {", ".join(f"w.{column}" for column in list(schemas.table_columns(Frequency.DAILY))[1:])}
+        FROM served q JOIN daily w ON w.station = q.station AND w.date = q.on_date
+        """,
+        ("hot_requests", "stations", "daily"),
+    )
+
+
+_register_hot("daily_at_hot_place", BROADCAST_ROWS)
+_register_hot("daily_at_hot_place_shuffled", 0)
+
+
 # -- one period, the same for all places
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -22,6 +22,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once to the shared folder, so that later steps do not compute them again."""
+    folder = scratch_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of the session's file systems; one that is not there is fine."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

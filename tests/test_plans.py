@@ -132,6 +132,26 @@ def test_few_requests_leave_the_weather_table_in_place(spark, store):
     assert "dynamicpruningexpression(bucket" in plan(store.scan_stations(Frequency.DAILY, stations))
 
 
+def test_crowded_requests_thin_out_the_weather_where_it_is_read(spark, store):
+    requests = spark.createDataFrame(
+        [(i, "000000007", dt.date(1996, 5, 1)) for i in range(40)],
+        "request_id int, station string, day date",
+    )
+    found = located.weather_at(
+        requests,
+        store.scan(Frequency.DAILY),
+        Frequency.DAILY,
+        located.time_key(Frequency.DAILY, F.col("day")),
+        40,
+        store.bucket_of,
+        fan_out=0,
+    )
+    text = plan(found)
+    assert "dynamicpruningexpression(bucket" in text and "dynamicpruningexpression(year_part" in text
+    assert "BroadcastHashJoin LeftSemi" in text
+    assert found.count() == 40
+
+
 @pytest.mark.parametrize("name", PLACE_QUERIES)
 def test_no_cross_joins_and_no_python(spark, name):
     text = plan(queries()[name](spark, SF_DIR), "simple")
