@@ -30,12 +30,12 @@ from stationlake.llm.shared import slices, staged
 
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
-#: Words whose ids a task keeps at hand, and the longest in bytes that is kept.
+#: Words whose ids a task keeps at hand (half of them since the last turn-over), and the longest in bytes that is kept.
 CACHE_WORDS, KEPT_BYTES = 150_000, 48
 #: New words that the tokenizer is given at a time, and bytes of text that are held as words.
 LEARNED_AT_ONCE, HELD_BYTES = 10_000, 2_000_000
-#: A comma or full stop that ends a run of non-space characters.
-CLOSING = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \t-\r]|\Z)")
+#: A comma or full stop that ends a run of non-space characters. The sign comes first, so that the search looks for it alone.
+CLOSING = re.compile(rb"([,.])(?<=[a-z0-9][,.])(?=[ \t-\r]|\Z)")
 
 
 class WordIds:
@@ -47,6 +47,7 @@ class WordIds:
     def __init__(self, tokenizer_file: str) -> None:
         self.tokenizer, self.closes = tokenizer_of(tokenizer_file)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
         """Add the ids of new words, some at a time: the tokenizer's own results take a kilobyte a word."""
@@ -83,9 +84,12 @@ class WordIds:
         """
         lists = [CLOSING.sub(rb" \1", text.lower()).split() for text in texts]
         words = set().union(*lists)
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {}
-        new = list(words.difference(self.known))
+        # Words in use outlive a turn-over: they are looked up in both halves and put into the new one.
+        found = {w: ids for w in words if (ids := self.known.get(w, self.older.get(w))) is not None}
+        if len(self.known) + len(words) > CACHE_WORDS // 2:
+            self.older, self.known = self.known, {}
+        self.known.update(found)
+        new = list(words.difference(found))
         self.learn(new)
         ids = [b"".join(map(self.known.__getitem__, some)) for some in lists]
         for word in new:

@@ -184,6 +184,19 @@ def test_packing(docs, nothing):
     assert packing.pack_documents(nothing, tokenizer_file()).count() == 0
 
 
+def test_word_ids_outlive_turn_overs(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 8)
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    ids_of = packing.WordIds(tokenizer_file())
+    texts = ["the cat, the dog.", "The bird é, 12,5 a.b", "cat bird ,. x,", "", "\x01 \x01", "dog the " * 9, "new words here now"]
+    for text in texts * 3:
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids_of(text.encode()), dtype="<u4").tolist() == expected
+        assert len(ids_of.known) <= 8 and len(ids_of.older) <= 8
+
+
 def test_word_ids_match_the_tokenizer():
     from tokenizers import Tokenizer
 
