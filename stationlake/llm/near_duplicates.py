@@ -2,12 +2,14 @@
 
 The elements of a document's set (hashes of its distinct shingles) are counted in a few hash groups; the counts are a
 point, and the sum of the smaller coordinates of two points bounds what the sets can share. An R-tree over points finds
-the pairs whose bound allows a link (see ``rtree``); those are verified on the sets themselves.
+the pairs whose bound allows a link (see ``rtree``). A few groups tell little about large sets, and nothing about copies that
+are almost similar enough; what the tree finds is therefore tested on finer groups, as many as the set needs, of which
+only the parity of the count is kept. What is left is verified on the sets themselves.
 
 One tree over all points would be one task, and trees over parts of the points would have to be joined part with part. So the
 top level of the index is made of slabs. Elements are ordered, those of rare groups first, and a set lies in the slab of
-each of its first ``n - ceil(percent * n / 100) + 1`` elements: two sets that link share one of those. Slabs with the same
-sets are one slab. Within a slab a tree is built and joined; a very large slab is cut into blocks, and each pair of blocks
+each of its first ``n - ceil(percent * n / 100) + 1`` elements: two sets that link share one of those. A slab is cut where the
+sizes of its sets leave a gap that no link spans, and slabs with the same sets are one slab. Within a slab a tree is built and joined; a very large slab is cut into blocks, and each pair of blocks
 is joined.
 
 Links are only needed as far as they connect, so the join runs twice. First every point is verified against one of
@@ -30,12 +32,14 @@ from pyspark.sql import functions as F
 
 from stationlake.llm.graph import components
 from stationlake.llm.hashing import WordHashes, mixed, rabin_karp
-from stationlake.llm.rtree import RTree, join, least_shared
+from stationlake.llm.rtree import Parities, RTree, join, least_shared
 from stationlake.llm.shared import staged
 
 #: Groups of the points, and of the frequencies that order the elements.
 GROUPS = 128
 FREQUENCY_GROUPS = 1 << 15
+#: Finer groups per element, and how many there are at least and at most (powers of two); a bit each.
+FINE_GROUPS, LEAST_FINE, MOST_FINE = 2, 1 << 9, 1 << 17
 #: Sets of a slab that one tree holds.
 BLOCK_SETS = 4096
 #: Links verified against one copy of a set.
@@ -68,6 +72,13 @@ def _point_bytes(counts: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
 
 
+def _parity_bytes(elements: np.ndarray) -> bytes:
+    """The parities of the finer groups' counts; the number of groups is the next power of two."""
+    groups = min(max(LEAST_FINE, 1 << (FINE_GROUPS * len(elements) - 1).bit_length()), MOST_FINE)
+    at = ((elements >> np.uint64(40)) & np.uint64(groups - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=groups) & 1, bitorder="little").tobytes()
+
+
 def _points_of(rows: list[bytes]) -> np.ndarray:
     if all(len(r) == GROUPS for r in rows):
         return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), GROUPS)
@@ -97,22 +108,26 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _points(docs: DataFrame, size: int, percent: int, frequency: np.ndarray) -> DataFrame:
-    """(doc_id, n, node, counts, keys): the set's size and name, its point, and its slabs."""
+    """(doc_id, n, node, counts, parities, keys): the set's size and name, its point, finer groups, and its slabs."""
     known = docs.sparkSession.sparkContext.broadcast(frequency)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("counts", pa.binary()), ("keys", pa.list_(pa.int64()))]
+        [
+            ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("counts", pa.binary()),
+            ("parities", pa.binary()), ("keys", pa.list_(pa.int64())),
+        ]
     )
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, often = Shingles(size), known.value
         for batch in batches:
-            sizes, names, counts, keys = [], [], [], []
+            sizes, names, counts, parities, keys = [], [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 found = shingles(text)
                 n = len(found)
                 sizes.append(n)
                 names.append(set_name(found))
                 counts.append(_point_bytes(np.bincount((found >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)))
+                parities.append(_parity_bytes(found))
                 rank = often[(found % np.uint64(FREQUENCY_GROUPS)).astype(np.int64)]
                 least = -(-percent * n // 100)  # what any partner has to share
                 first = n - least + 1 if n else 0
@@ -125,25 +140,30 @@ def _points(docs: DataFrame, size: int, percent: int, frequency: np.ndarray) ->
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
                     pa.array(counts, pa.binary()),
+                    pa.array(parities, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)),
                 ],
                 schema=schema,
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        point, "doc_id long, n long, node long, counts binary, keys array<long>"
+        point, "doc_id long, n long, node long, counts binary, parities binary, keys array<long>"
     )
 
 
-def _slabs(points: DataFrame) -> DataFrame:
-    """(slab, node) of slabs with at least two sets; slabs of the same sets are one."""
+def _slabs(points: DataFrame, percent: int) -> DataFrame:
+    """(slab, node) of slabs with at least two sets; slabs of the same sets are one.
+
+    Of sets in the order of their sizes, those before and after a gap are too different to link: they are slabs apart.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("slab", pa.int64()), ("node", pa.int64())])
-        held_key, held = np.empty(0, np.int64), np.empty(0, np.int64)
+        held_key, held_n, held = (np.empty(0, np.int64) for _ in range(3))
 
-        def out(key: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
-            cuts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        def out(key: np.ndarray, n: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+            apart = (key[1:] != key[:-1]) | (100 * n[:-1] < percent * n[1:])
+            cuts = np.flatnonzero(np.concatenate(([True], apart)))
             sizes = np.diff(np.append(cuts, len(key)))
             many = sizes > 1
             if many.any():
@@ -156,18 +176,19 @@ def _slabs(points: DataFrame) -> DataFrame:
 
         for batch in batches:
             key = np.concatenate((held_key, batch.column(0).to_numpy()))
-            node = np.concatenate((held, batch.column(1).to_numpy()))
+            n = np.concatenate((held_n, batch.column(1).to_numpy()))
+            node = np.concatenate((held, batch.column(2).to_numpy()))
             # The last key may go on in the next batch.
             end = int(np.searchsorted(key, key[-1])) if len(key) else 0
             if end:
-                yield from out(key[:end], node[:end])
-            held_key, held = key[end:], node[end:]
+                yield from out(key[:end], n[:end], node[:end])
+            held_key, held_n, held = key[end:], n[end:], node[end:]
         if len(held_key):
-            yield from out(held_key, held)
+            yield from out(held_key, held_n, held)
 
-    keys = points.select(F.explode("keys").alias("key"), "node")
+    keys = points.select(F.explode("keys").alias("key"), "n", "node")
     return (
-        keys.repartition("key").sortWithinPartitions("key", "node")
+        keys.repartition("key").sortWithinPartitions("key", "n", "node")
         .mapInArrow(merge, "slab long, node long")
         .distinct()
     )
@@ -178,7 +199,7 @@ def set_name_bytes(raw: bytes) -> int:
 
 
 def _dealt(slabs: DataFrame, points: DataFrame, block_sets: int) -> DataFrame:
-    """(slab, low, high, block, node, n, counts): each pair of blocks of a slab, with the points of both."""
+    """(slab, low, high, block, node, n, counts, parities): each pair of blocks of a slab, with the points of both."""
     large = (
         slabs.groupBy("slab").count().filter(F.col("count") > block_sets)
         .select("slab", F.ceil(F.col("count") / block_sets).cast("int").alias("blocks"))
@@ -189,7 +210,7 @@ def _dealt(slabs: DataFrame, points: DataFrame, block_sets: int) -> DataFrame:
     return (
         placed.withColumn("other", others)
         .select("slab", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node")
-        .join(points.select("node", "n", "counts"), "node")
+        .join(points.select("node", "n", "counts", "parities"), "node")
     )
 
 
@@ -210,6 +231,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
         low = np.flatnonzero(rows["block"] == rows["low"][0])
         high = np.flatnonzero(rows["block"] != rows["low"][0])
         within = rows["low"][0] == rows["high"][0]
+        n = n.astype(np.int64)
         if len(low) == 0 or not (within or len(high)):
             return None
         tree = RTree(n[low], counts[low])
@@ -217,11 +239,14 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
             pairs = ((low[i], low[j]) for i, j in join(tree, tree, percent))
         else:
             pairs = ((low[i], high[j]) for i, j in join(tree, RTree(n[high], counts[high]), percent))
+        parities = Parities(rows["parities"])
         best = np.full(len(node), len(node), dtype=np.int64)  # points come sorted by node
         found = []
         for i, j in pairs:
             differ = component[i] != component[j]
             i, j = i[differ], j[differ]
+            fits = n[i] + n[j] - parities.differences(i, j) >= 2 * least_shared(n[i], n[j], percent)
+            i, j = i[fits], j[fits]
             if all_pairs:
                 found.append((i, j))
             else:
@@ -245,7 +270,8 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
             cuts = np.append(np.flatnonzero(new), len(new))
             done = len(cuts) - 1 if last else len(cuts) - 2
             columns = {
-                c: table.column(c).to_pylist() if c == "counts" else table.column(c).to_numpy() for c in table.column_names
+                c: table.column(c).to_pylist() if c in ("counts", "parities") else table.column(c).to_numpy()
+                for c in table.column_names
             }
             made = [{c: v[cuts[k] : cuts[k + 1]] for c, v in columns.items()} for k in range(done)]
             return made, None if last else table.slice(cuts[done])
@@ -267,7 +293,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
     return (
         dealt.repartition("slab", "low", "high")
         .sortWithinPartitions("slab", "low", "high", "node")
-        .select("slab", "low", "high", "block", "node", "n", "component", "counts")
+        .select("slab", "low", "high", "block", "node", "n", "component", "counts", "parities")
         .mapInArrow(run, "a long, b long")
         .distinct()
     )
@@ -346,10 +372,10 @@ def near_duplicates(
     linked = every.filter("n > 0 AND doc_id IS NOT NULL")
     # One point per set, under its smallest key.
     points = staged(
-        linked.groupBy("node").agg(F.min(F.struct("doc_id", "n", "counts", "keys")).alias("p")).select("node", "p.*"),
+        linked.groupBy("node").agg(F.min(F.struct("doc_id", "n", "counts", "parities", "keys")).alias("p")).select("node", "p.*"),
         "sets-once",
     )
-    slabs = _slabs(points)
+    slabs = _slabs(points, percent)
     dealt = staged(_dealt(staged(slabs, "slabs"), points, block_sets), "trees")
     once = staged(_candidates(dealt.withColumn("component", F.col("node")), percent, all_pairs=False), "candidates")
     links = staged(_verified(once, points, rows, size, percent), "links-once")

@@ -3,6 +3,8 @@
 A point is a set's number of elements in each of a few hash groups. Two sets share at most the sum over groups of the smaller
 of their counts. For two boxes the sum of the smaller upper corners bounds every pair in them. Boxes are kept on folded
 groups (FOLD neighbours added up); pairs of points are tested on folded groups first and then on all of them.
+
+Sets of which the parities of finer groups are known differ in at least as many elements as their parities do in groups.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ import numpy as np
 LEAF = 32
 FAN = 8
 FOLD = 4
+#: Bytes of parities that are compared at a time.
+ROOM = 16 << 20
 
 
 def least_shared(a, b, percent: int):
@@ -112,3 +116,32 @@ def _opened(i: np.ndarray, j: np.ndarray, count: int) -> tuple[np.ndarray, np.nd
     other = np.repeat(j, FAN)
     there = child < count
     return child[there], other[there]
+
+
+class Parities:
+    """Parities of the counts in a power of two of groups (at least 64) per set, one bit each, the lowest groups first."""
+
+    def __init__(self, rows: list[bytes]) -> None:
+        self.widths = np.array([len(r) for r in rows], dtype=np.int64)
+        self.at, self.tables = np.empty(len(rows), dtype=np.int64), {}
+        for width in np.unique(self.widths).tolist():
+            own = np.flatnonzero(self.widths == width)
+            self.at[own] = np.arange(len(own))
+            self.tables[width] = np.frombuffer(b"".join([rows[k] for k in own]), np.uint64).reshape(len(own), -1)
+
+    def differences(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """In how many groups the sets i and j differ; more groups are first added up to as many as the other has."""
+        out = np.empty(len(i), dtype=np.int64)
+        swap = self.widths[i] > self.widths[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        for narrow, wide in set(zip(self.widths[i].tolist(), self.widths[j].tolist(), strict=True)):
+            places = np.flatnonzero((self.widths[i] == narrow) & (self.widths[j] == wide))
+            step = max(1, ROOM // wide)
+            for begin in range(0, len(places), step):
+                part = places[begin : begin + step]
+                a, b = self.tables[narrow][self.at[i[part]]], self.tables[wide][self.at[j[part]]]
+                while b.shape[1] > a.shape[1]:
+                    half = b.shape[1] // 2
+                    b = b[:, :half] ^ b[:, half:]
+                out[part] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+        return out

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from stationlake.llm import language, lm, packing, sharding, warc
 from stationlake.llm.graph import components
-from stationlake.llm.near_duplicates import near_duplicates
+from stationlake.llm.near_duplicates import _parity_bytes, near_duplicates
 from stationlake.llm.phrases import decontaminate
 from stationlake.llm.quality import RULES, judge_quality, plan_cascade
 from stationlake.llm.queries_python import tokenizer_file
-from stationlake.llm.rtree import RTree, join, least_shared
+from stationlake.llm.rtree import Parities, RTree, join, least_shared
 from stationlake.llm.substrings import remove_repeats
 from stationlake.llm.url_rules import judge_urls
 
@@ -225,30 +225,47 @@ def _sets(text, size):
     return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
 
 
-@pytest.mark.parametrize("block_sets", [2, 4096])
-def test_near_duplicates(spark, nothing, block_sets):
+@pytest.mark.parametrize(("size", "percent", "block_sets"), [(3, 70, 2), (3, 70, 4096), (3, 90, 4096), (5, 80, 4096)])
+def test_near_duplicates(spark, nothing, size, percent, block_sets):
     rng = np.random.default_rng(4)
-    base = [str(x) for x in rng.integers(0, 10**6, 60)]
     rows = [(i, t) for i, t in TEXTS if i != 8]
-    for i in range(30):  # a chain of copies with ever more changes
-        base = [str(rng.integers(0, 10**6)) if rng.random() < 0.02 else x for x in base]
-        rows.append((100 + i, " ".join(base)))
+    for length in (60, 700):
+        base = [str(x) for x in rng.integers(0, 10**6, length)]
+        for i in range(30):  # a chain of copies with ever more changes
+            base = [str(rng.integers(0, 10**6)) if rng.random() < 0.02 * 60 / length * (1 + i % 5) else x for x in base]
+            rows.append((length * 100 + i, " ".join(base)))
+    for i in range(20):  # copies of one text, each with a few changes of its own, on both sides of the limit
+        rows.append((200 + i, " ".join(x if rng.random() > 0.002 * i else f"x{i}" for x in WORDS[3000:3600])))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    found = near_duplicates(frame, size=3, percent=70, block_sets=block_sets).collect()
+    found = near_duplicates(frame, size=size, percent=percent, block_sets=block_sets).collect()
     keys = [i for i, _ in rows if i is not None]
-    sets = {i: _sets(t, 3) for i, t in rows}
+    sets = {i: _sets(t, size) for i, t in rows}
     least = {i: i for i in keys}
+    alike = [
+        (a, b) for a in keys for b in keys
+        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
     for _ in keys:
-        for a in keys:
-            for b in keys:
-                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 70 * len(sets[a] | sets[b]):
-                    least[a] = least[b] = min(least[a], least[b])
+        for a, b in alike:
+            least[a] = least[b] = min(least[a], least[b])
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == Counter(
         (i, len(sets[i]), least.get(i)) for i, _ in rows
     )
     assert near_duplicates(nothing).count() == 0
 
 
+def test_parities_bound_differences():
+    rng = np.random.default_rng(7)
+    sets = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (0, 1, 100, 128, 129, 2000, 40_000)]
+    sets += [np.append(s[: len(s) * 9 // 10], rng.integers(0, 2**63, len(s) // 12, dtype=np.uint64)) for s in sets]
+    i, j = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    found = Parities([_parity_bytes(s) for s in sets]).differences(i, j)
+    exact = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    assert (found <= exact).all() and (found[i == j] == 0).all()
+    close = (i == j + 7) & (exact > 0)
+    assert (found[close] >= 0.85 * exact[close]).all()
+
+
 def test_rtree_join_loses_nothing():
     rng = np.random.default_rng(6)
     counts = rng.poisson(1.0, (700, 128)).astype(np.uint8)
