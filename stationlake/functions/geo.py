@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_KM = 6371.0
-MAX_ROWS = 18_000  # cells are at least 0.01 degree high
+MAX_ROWS = 180_000_000  # cells are at least a millionth of a degree high
 MAX_COPIES = 24  # cells that the circle around one point can touch
 _PAD = 1e-9  # degrees; keeps stations whose circle just touches a cell border
 

@@ -33,6 +33,7 @@ from stationlake.functions.geo import (
 )
 from stationlake.functions.inventory import covers
 from stationlake.operators.joins import salted_join
+from stationlake.scratch import staged
 from stationlake.sizing import BROADCAST_ROWS
 from stationlake.values import Frequency, RequiredData
 
@@ -41,8 +42,9 @@ DEFAULT_STATION_LIMIT = 5
 
 
 #: Radii of the levels shrink by STEP. Levels are used at all where a cell of the whole radius holds more than
-#: CROWDED stations per wanted one, and one below another while its cells hold more than LEAST.
-STEP, LEVELS, CROWDED, LEAST = 2, 7, 24, 6
+#: CROWDED stations per wanted one, and one below another while its cells hold more than LEAST. How fine they get follows
+#: the stations, up to LEVELS; a level counts if a station has less than FEWER times the company of the level before.
+STEP, LEVELS, CROWDED, LEAST, FEWER = 2, 20, 24, 6, 0.8
 #: What tells a request from all others: its id, and 96 bits of hash of all its columns for those that share one.
 #: (Coordinates are no keys: Spark makes zeros and NaN alike in them, and shuffles anew.)
 REQUEST = ("request_id", "_row", "_row2")
@@ -134,24 +136,38 @@ class Search:
         self.k, self.count, self.by_request = k, count, by_request
         grids = _grids(max_km)
         sizes = self._sizes(sites, grids[:1])
-        used = 1
+        used = [0]
         if sizes[0].most > CROWDED * k:
+            sites = staged(_first_of_each_place(sites, k), "sites")
             sizes = self._sizes(sites, grids)
-            while used < len(grids) and sizes[used - 1].most > LEAST * k:
-                used += 1
-        self.grids = grids[:used]
+            used = self._worth(sizes)
+        self.grids = [grids[level] for level in used]
         self.limits = [chord_square_of(grid.radius_km) for grid in self.grids]
-        if used > 1:
-            sites = _first_of_each_place(sites, k)
         self.sites = sites
-        self.fits = sizes[0].n * MAX_COPIES * used <= broadcast_rows or self.near().limit(broadcast_rows + 1).count() <= broadcast_rows
-
-    @staticmethod
-    def _sizes(sites: DataFrame, grids: Sequence[Grid]) -> list[Row]:
-        """Stations of all cells, and of the fullest one, of each level."""
-        by_level = _boxes(sites, grids).groupBy("level").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+        self.fits = sizes[0].n * MAX_COPIES * len(used) <= broadcast_rows or self.near().limit(broadcast_rows + 1).count() <= broadcast_rows
+        self.few_boxes = sum(sizes[level].boxes for level in used[1:]) <= broadcast_rows
+
+    def _sizes(self, sites: DataFrame, grids: Sequence[Grid]) -> list[Row]:
+        """Of each level the stations of all cells and of the fullest one, the boxes of use, and the sum of squares, which
+        is the company of all stations."""
+        n = F.col("n").cast("double")
+        by_level = _boxes(sites, grids).groupBy("level").agg(
+            F.sum("n").alias("n"), F.max("n").alias("most"), F.count_if(F.col("n") >= self.k).alias("boxes"),
+            F.sum(n * n).alias("company"),
+        )
         found = {row.level: row for row in by_level.collect()}  # one row per level
-        return [found.get(level, Row(n=0, most=0)) for level in range(len(grids))]
+        return [found.get(level, Row(n=0, most=0, boxes=0, company=0.0)) for level in range(len(grids))]
+
+    def _worth(self, sizes: Sequence[Row]) -> list[int]:
+        """Levels to use: down to the first without a crowded cell (or, where places lie too close, down to the one that
+        parts them nearly as well as any), and of those the ones that part stations better than the level before."""
+        least = 1.1 * min(size.company for size in sizes)
+        last = next(at for at, size in enumerate(sizes) if size.most <= LEAST * self.k or size.company <= least)
+        used = [0]
+        for level in range(1, last + 1):
+            if level == last or sizes[level].company < FEWER * sizes[used[-1]].company:
+                used.append(level)
+        return used
 
     def near(self) -> DataFrame:
         """The sites, one copy per cell of each level that its radius can reach."""
@@ -176,7 +192,7 @@ class Search:
         boxes = _boxes(self.sites, self.grids).filter((F.col("n") >= self.k) & (F.col("level") > 0))
         boxes = boxes.withColumn("_cell", _key(F.col("cell"), F.col("level"))).drop("level", "cell", "n")
         asked = points.withColumn("_cell", F.explode(own))
-        if self.fits:
+        if self.few_boxes:
             joined = asked.join(F.broadcast(boxes), "_cell", "left")
         else:
             joined = salted_join(asked, boxes, ["_cell"], self.count * len(finer), "left")
@@ -276,6 +292,10 @@ def ranked_candidates(
     )
     state = search.bounded(points)
     of_request = state.columns
+    state = state.withColumn("cell", search.cell())
+    if len(search.grids) > 1:
+        # Once per request, and apart from what is done per pair: code that does both is too long to be compiled.
+        state = staged(state, "requests")
     square = chord_square(tuple(map(F.col, POINT)), tuple(map(F.col, SITE)))
     order = Window.partitionBy(*REQUEST).orderBy(F.col("square").asc_nulls_last(), "station")
     found = {"station": F.col("station"), "square": square} | {flag: F.col(flag) for flag in flags}
@@ -286,7 +306,7 @@ def ranked_candidates(
         return pairs.select(*of_request, *values).withColumn("rank", rank).filter(F.col("rank") <= k)
 
     pair = within(square, max_km) & (square <= search.reach()) & suitable
-    best = ranked(search.pairs(state.withColumn("cell", search.cell()), pair), found)
+    best = ranked(search.pairs(state, pair), found)
     if search.by_request and len(search.grids) > 1:
         # Needs may rule out stations of the box: who has too few looks into the whole radius.
         hits = F.count("station").over(Window.partitionBy(*REQUEST))

@@ -165,6 +165,20 @@ def test_bounds_save_pairs_in_crowds(spark, broadcast_rows):
     assert per_request[1] < 2 * per_request[0]
 
 
+def test_levels_get_as_fine_as_the_crowd(spark):
+    """2000 stations within a few hundred metres: cells of a kilometre would pair each request with all of them."""
+    rng = random.Random(13)
+    crowd = [(52 + rng.random() / 300, 13 + rng.random() / 300) for _ in range(2100)]
+    points = nearest._told_apart(requests(spark, crowd[2000:])).withColumns(
+        dict(zip(nearest.POINT, nearest.unit_vector(F.col("lat"), F.col("lon"))))
+    )
+    sites = nearest._sites(stations(spark, {f"{i:05d}": at for i, at in enumerate(crowd[:2000])}), None)
+    sites = sites.withColumns(dict(zip(nearest.SITE, nearest.unit_vector(F.col("site_lat"), F.col("site_lon")))))
+    search = nearest.Search(sites, 2, 50.0, 100, 10_000_000, False)
+    cells = search.bounded(points).withColumn("cell", search.cell())
+    assert cells.join(search.near(), "cell").count() / 100 < 150
+
+
 def test_no_levels_where_stations_are_sparse(spark):
     places = {f"{i:05d}": (48 + i / 10, 8.0) for i in range(60)}
     sites = nearest._sites(stations(spark, places), None).withColumns(
