@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
+from stationlake.scratch import remove_folder
 from stationlake.values import Frequency
 
 _IN_FOLDER = r"/station=([^/]+)/[^/]+$"
@@ -21,6 +26,8 @@ _IN_FILE_NAME = r"/([^/]+?)\.csv(\.gz)?$"
 REJECTED = "_rejected"
 #: Fixed value: how a gzip member begins.
 GZIP = b"\x1f\x8b"
+#: Signs that Spark does not leave in the name of a partition's folder.
+UNSAFE = "\"#%'*/:=?\\\x7f{[]^"
 #: Files that a Python worker holds at a time, and bytes of one that are unpacked at a time.
 FAULT_FILES, FAULT_BYTES = 16, 1 << 20
 
@@ -170,16 +177,60 @@ def scan_checked(
     return typed(_read(spark, columns, paths, "PERMISSIVE"), frequency)
 
 
+def _folder_text(station: str | None) -> str:
+    """A station as part of a path, written as Spark writes the value of a partition."""
+    if not station:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c < " " or c in UNSAFE else c for c in station)
+
+
+def _file_of(station: str | None) -> str:
+    name = _folder_text(station)
+    # Readers pass over files whose name begins with one of these signs.
+    return f"station={name}/rows.csv.gz" if name[0] in "._" else f"{name}.csv.gz"
+
+
 def write_files(rows: DataFrame, frequency: Frequency, landing: str) -> None:
-    """Write a typed table back as bulk files below ``station=...`` folders.
+    """Write a typed table back as bulk files, below a folder for each task.
 
-    The rebalance splits a station that holds much of the data over several files.
+    Lines are made by Spark; a task only packs those of a station, which come one after the other, into its file, so that
+    a file costs little more than its bytes. The driver moves the folders of tasks that ended, not files. The rebalance
+    splits a station that holds much of the data over several tasks. The folder has to be one that ``pyarrow.fs`` knows.
     """
-    names = schemas.FILE_COLUMNS[frequency]
-    (
-        rows.select("station", *names)
-        .hint("rebalance", "station")
-        .write.partitionBy("station")
-        .option("compression", "gzip")
-        .csv(landing)
-    )
+    spark, names = rows.sparkSession, schemas.FILE_COLUMNS[frequency]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(landing)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        raise FileExistsError(landing)
+    files.mkdirs(folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = uuid.uuid4().hex
+        system, root = fs.FileSystem.from_uri(f"{landing}/_attempts/{attempt}")
+        system.create_dir(root)
+        at, out, packer = None, None, None
+
+        def close() -> None:
+            if out is not None:
+                out.write(packer.flush())
+                out.close()
+
+        for batch in batches:
+            lines = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for station, some in groupby(lines, itemgetter(0)):
+                if out is None or station != at:
+                    close()
+                    path = f"{root}/{_file_of(station)}"
+                    if path.count("/") > root.count("/") + 1:
+                        system.create_dir(path.rpartition("/")[0])
+                    at, out, packer = station, system.open_output_stream(path, compression=None), zlib.compressobj(wbits=31)
+                out.write(packer.compress("".join(f"{line}\n" for _, line in some).encode()))
+        close()
+        yield pa.RecordBatch.from_pydict({"attempt": [attempt]})
+
+    lines = rows.select(F.col("station").cast("string").alias("station"), F.to_csv(F.struct(*names)).alias("line"))
+    dealt = lines.hint("rebalance", "station").sortWithinPartitions("station")
+    for part, row in enumerate(dealt.mapInArrow(write, "attempt string").collect()):  # one row per task
+        files.rename(hadoop.Path(f"{landing}/_attempts/{row.attempt}"), hadoop.Path(f"{landing}/part={part}"))
+    remove_folder(spark, f"{landing}/_attempts")

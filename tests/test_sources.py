@@ -624,3 +624,21 @@ def test_clearing(lake, tmp_path):
     assert lake.store.stations().isEmpty()
     lake.clear_and_rebuild(write_catalogue(tmp_path))
     assert lake.store.stations().count() == 3
+
+
+def test_bulk_files_take_no_folder_per_station(spark, tmp_path):
+    """Stations with odd names, one of them null, come back with all rows as they did; folders are those of tasks."""
+    names = [*(f"{i:03d}" for i in range(40)), "a:b/c", "_x", ".y", None]
+    rows = [(name, 2001 + year, 1, *[float(year), None] * 3, 1.0) for name in names for year in range(3)]
+    columns = schemas.FILE_COLUMNS[Frequency.MONTHLY]
+    table = spark.createDataFrame(rows, schemas.ddl({"station": "string"} | columns))
+    landing = f"{tmp_path}/landing"
+    bulk.write_files(table, Frequency.MONTHLY, landing)
+    found = bulk.scan(spark, Frequency.MONTHLY, landing).groupBy("station").count().collect()
+    assert {row.station: row["count"] for row in found} == dict.fromkeys(
+        [*names[:40], "a%253Ab%252Fc", "_x", ".y", "__HIVE_DEFAULT_PARTITION__"], 3
+    )
+    folders = {path.parent for path in (tmp_path / "landing").rglob("0*.csv.gz")}
+    assert len(folders) <= spark.sparkContext.defaultParallelism
+    with pytest.raises(FileExistsError):
+        bulk.write_files(table, Frequency.MONTHLY, landing)
