@@ -294,7 +294,7 @@ def ranked_candidates(
     of_request = state.columns
     state = state.withColumn("cell", search.cell())
     if len(search.grids) > 1:
-        # Once per request, and apart from what is done per pair: code that does both is too long to be compiled.
+        # Once per request, and apart from what is done per pair: in one stage each pair took many times as long.
         state = staged(state, "requests")
     square = chord_square(tuple(map(F.col, POINT)), tuple(map(F.col, SITE)))
     order = Window.partitionBy(*REQUEST).orderBy(F.col("square").asc_nulls_last(), "station")
