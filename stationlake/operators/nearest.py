@@ -18,6 +18,7 @@ and ranking needs no other shuffle. A larger catalogue is joined by cell, with h
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -131,7 +132,8 @@ class Search:
         self, sites: DataFrame, k: int, max_km: float, count: int, broadcast_rows: int, by_request: bool
     ):
         """``sites`` has ``site_lat, site_lon`` and the columns of ``SITE``. With ``by_request`` each request has
-        needs of its own, so that not every station of a box counts for it: the bound is then a first try.
+        needs of its own, so that not every station of a box counts for it: the bound is then a first try, and who
+        finds too few looks one level wider.
         """
         self.k, self.count, self.by_request = k, count, by_request
         grids = _grids(max_km)
@@ -209,14 +211,13 @@ class Search:
             cell = F.when(F.col("level") == level, _key(grid.cell("lat", "lon"), level)).otherwise(cell)
         return cell
 
-    def reach(self) -> Column:
-        """Square of the chord within which a point of some ``level`` sees all stations it is to see."""
-        if not self.by_request:
-            return F.col("bound")
-        reach = F.lit(self.limits[0] * (1 + 1e-9) + 1e-24)
+    def wider(self, points: DataFrame) -> DataFrame:
+        """Points of finer levels, dealt to the next coarser one and to its whole radius."""
+        bound = F.lit(self.limits[0] * (1 + 1e-9) + 1e-24)
         for level, limit in list(enumerate(self.limits))[1:]:
-            reach = F.when(F.col("level") == level, limit).otherwise(reach)
-        return reach
+            bound = F.when(F.col("level") == level, limit).otherwise(bound)
+        coarser = points.withColumn("level", F.col("level") - 1).withColumn("bound", bound)
+        return coarser.withColumn("cell", self.cell())
 
     def pairs(self, points: DataFrame, condition: Column) -> DataFrame:
         """Points with the stations of their ``cell`` that meet a condition, or with none."""
@@ -305,23 +306,23 @@ def ranked_candidates(
         rank = F.row_number().over(order)
         return pairs.select(*of_request, *values).withColumn("rank", rank).filter(F.col("rank") <= k)
 
-    pair = within(square, max_km) & (square <= search.reach()) & suitable
+    pair = within(square, max_km) & (square <= F.col("bound")) & suitable
     best = ranked(search.pairs(state, pair), found)
     if search.by_request and len(search.grids) > 1:
-        # Needs may rule out stations of the box: who has too few looks into the whole radius.
+        # Needs may rule out stations of the box: who has too few looks one level wider, and so on up to the whole radius.
         hits = F.count("station").over(Window.partitionBy(*REQUEST))
         more = (F.col("hits") < k) & (F.col("level") > 0)
-        again = (
-            best.withColumn("hits", hits)
-            .filter(~more | (F.col("rank") == 1))
-            .select(
-                *(F.when(more, 0).otherwise(F.col(name)).alias(name) if name == "level" else name for name in of_request),
-                F.when(more, _key(search.grids[0].cell("lat", "lon"), 0)).alias("cell"),
-                *(F.when(~more, F.col(name)).alias(f"kept_{name}") for name in found),
-            )
-        )
-        either = {name: F.coalesce(value, f"kept_{name}") for name, value in found.items()}
-        best = ranked(search.pairs(again, pair), either)
+        settled = []
+        for _ in search.grids[1:]:
+            tried = staged(best.withColumn("hits", hits), "tried")
+            settled.append(tried.filter(~more).drop("hits"))
+            again = search.wider(tried.filter(more & (F.col("rank") == 1)).select(*of_request))
+            best = ranked(search.pairs(again, pair), found)
+            if again.isEmpty():
+                break
+        else:
+            settled.append(best)
+        best = reduce(DataFrame.unionByName, settled)
     if how == "inner":
         best = best.filter(F.col("station").isNotNull())
     return best.select(

@@ -212,6 +212,29 @@ def test_crowded_places_with_requirements_per_request(spark, broadcast_rows):
     assert_same(found, expected)
 
 
+def test_who_finds_too_few_looks_one_level_wider(spark, monkeypatch):
+    """A third of the stations suit a request: none of them needs all stations of the whole radius."""
+    rng = random.Random(14)
+    crowd = [(52 + rng.uniform(-0.3, 0.3), 13 + rng.uniform(-0.5, 0.5)) for _ in range(1560)]
+    places = {f"{i:05d}": at for i, at in enumerate(crowd[:1500])}
+    day = dt.date(2000, 1, 1)
+    daily = {name: (day, day + dt.timedelta(days=int(name) % 3)) for name in places}
+    wanted = requests(spark, crowd[1500:]).withColumn("day", F.lit(day + dt.timedelta(days=2)))
+    looked, pairs = [], nearest.Search.pairs
+
+    def counted(self, points, condition):
+        looked.append({r["level"]: r["count"] for r in points.filter("cell IS NOT NULL").groupBy("level").count().collect()})
+        return pairs(self, points, condition)
+
+    monkeypatch.setattr(nearest.Search, "pairs", counted)
+    required = RequiredData.specific_date(F.col("day"))
+    found = result(nearest_stations(wanted, stations(spark, places, daily), 2, 60.0, Frequency.DAILY, required))
+    open_then = {n: at for n, at in places.items() if int(n) % 3 == 2}
+    assert_same(found, brute(open_then, crowd[1500:], 2, 60.0))
+    assert sum(looked[0].values()) == 60 and min(looked[0]) > 1
+    assert looked[1] and not any(0 in levels for levels in looked)
+
+
 @pytest.mark.parametrize("broadcast_rows", [1_000_000, 0], ids=["broadcast", "salted"])
 def test_requests_that_share_an_id(spark, broadcast_rows):
     places = {"a": (50.0, 8.0), "b": (10.0, 10.0)}
