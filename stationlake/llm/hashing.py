@@ -13,8 +13,11 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """The hash of a word, looked up like a dict; a bounded number is remembered."""
 
+    def __init__(self, kept: int = KEPT_WORDS) -> None:
+        self.kept = kept
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
+        if len(self) >= self.kept:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 from stationlake.llm.graph import components
 from stationlake.llm.hashing import WordHashes, mixed, rabin_karp
 from stationlake.llm.rtree import Parities, RTree, join, least_shared
-from stationlake.llm.shared import staged
+from stationlake.llm.shared import small_batches, staged
 
 #: Groups of the points, and of the frequencies that order the elements.
 GROUPS = 128
 FREQUENCY_GROUPS = 1 << 15
 #: Finer groups per element, and how many there are at least and at most (powers of two); a bit each.
 FINE_GROUPS, LEAST_FINE, MOST_FINE = 2, 1 << 9, 1 << 17
+#: Words whose hash a task keeps at hand; a worker does not give back all of their memory when its task ends.
+SHINGLE_WORDS = 100_000
 #: Sets of a slab that one tree holds.
 BLOCK_SETS = 4096
 #: Links verified against one copy of a set.
@@ -50,7 +52,7 @@ class Shingles:
     """The set of a text: sorted distinct hashes of its runs of ``size`` words, A-Z in lower case."""
 
     def __init__(self, size: int) -> None:
-        self.size, self.known = size, WordHashes()
+        self.size, self.known = size, WordHashes(SHINGLE_WORDS)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = self.known.of((text or b"").lower().split())
@@ -102,7 +104,9 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
     counts = np.zeros(FREQUENCY_GROUPS, dtype=np.int64)
     # One row per group at most.
-    for row in docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+    with small_batches(docs.sparkSession):
+        slots = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    for row in slots:
         counts[row["slot"]] = row["n"]
     return counts
 

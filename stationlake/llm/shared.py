@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,8 +15,10 @@ from stationlake.scratch import scratch_folder
 
 #: The white space of the word pattern, as a Java character class.
 SPACE = "[\\x20\\x09-\\x0D]+"
-#: Bytes of text that a Python worker takes at a time.
+#: Bytes of text that a Python worker takes at a time, and of rows that Spark hands to it together: its default of 64 MB is held
+#: outside the heap by every task, in buffers that double while they fill.
 SLICE_BYTES = 4_000_000
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,6 +32,18 @@ def words_between(text: Column, separators: str = SPACE) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside hand at most BATCH_BYTES of rows to a Python worker together; the session's setting comes back."""
+    name, value = BATCH_BYTES
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once to the folder all executors share, and read back.
 
@@ -36,7 +51,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_folder(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
