@@ -212,7 +212,8 @@ class Search:
         return cell
 
     def wider(self, points: DataFrame) -> DataFrame:
-        """Points of finer levels, dealt to the next coarser one and to its whole radius."""
+        """Points of finer levels, dealt to the next coarser one and to its whole radius. The finest level is then done with."""
+        self.grids, self.limits = self.grids[:-1], self.limits[:-1]
         bound = F.lit(self.limits[0] * (1 + 1e-9) + 1e-24)
         for level, limit in list(enumerate(self.limits))[1:]:
             bound = F.when(F.col("level") == level, limit).otherwise(bound)
@@ -316,10 +317,11 @@ def ranked_candidates(
         for _ in search.grids[1:]:
             tried = staged(best.withColumn("hits", hits), "tried")
             settled.append(tried.filter(~more).drop("hits"))
-            again = search.wider(tried.filter(more & (F.col("rank") == 1)).select(*of_request))
-            best = ranked(search.pairs(again, pair), found)
+            few = tried.filter(more & (F.col("rank") == 1)).select(*of_request)
+            again = staged(search.wider(few), "again")
             if again.isEmpty():
                 break
+            best = ranked(search.pairs(again, pair), found)
         else:
             settled.append(best)
         best = reduce(DataFrame.unionByName, settled)
