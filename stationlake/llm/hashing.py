@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Words whose hash a task keeps at hand.
-KEPT_WORDS = 500_000
+#: Words whose hash a task keeps at hand: 500,000 took about 80 MB, and hashing a word again is cheap.
+KEPT_WORDS = 100_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

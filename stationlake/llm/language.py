@@ -154,7 +154,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
     def predict(texts: pa.Array) -> pa.Array:
         model = known.value
         names, scores, rates = [], [], []
-        for value in texts.cast(pa.binary()).to_pylist():
+        for value in (v for at in range(0, len(texts), 500) for v in texts.slice(at, 500).cast(pa.binary()).to_pylist()):
             if not value:
                 names.append("und"), scores.append(0.0), rates.append(None)
                 continue

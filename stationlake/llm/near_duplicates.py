@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from stationlake.llm.graph import components
 from stationlake.llm.hashing import WordHashes, mixed, rabin_karp
 from stationlake.llm.rtree import Parities, RTree, join, least_shared
-from stationlake.llm.shared import small_batches, staged
+from stationlake.llm.shared import small_batches, staged, thrifty
 
 #: Groups of the points, and of the frequencies that order the elements.
 GROUPS = 128
@@ -105,7 +105,7 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
     counts = np.zeros(FREQUENCY_GROUPS, dtype=np.int64)
     # One row per group at most.
     with small_batches(docs.sparkSession):
-        slots = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+        slots = docs.select("text").mapInArrow(thrifty(count), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     for row in slots:
         counts[row["slot"]] = row["n"]
     return counts
@@ -151,7 +151,7 @@ def _points(docs: DataFrame, size: int, percent: int, frequency: np.ndarray) ->
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        point, "doc_id long, n long, node long, counts binary, parities binary, keys array<long>"
+        thrifty(point), "doc_id long, n long, node long, counts binary, parities binary, keys array<long>"
     )
 
 
@@ -193,7 +193,7 @@ def _slabs(points: DataFrame, percent: int) -> DataFrame:
     keys = points.select(F.explode("keys").alias("key"), "n", "node")
     return (
         keys.repartition("key").sortWithinPartitions("key", "n", "node")
-        .mapInArrow(merge, "slab long, node long")
+        .mapInArrow(thrifty(merge), "slab long, node long")
         .distinct()
     )
 
@@ -298,7 +298,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
         dealt.repartition("slab", "low", "high")
         .sortWithinPartitions("slab", "low", "high", "node")
         .select("slab", "low", "high", "block", "node", "n", "component", "counts", "parities")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(thrifty(run), "a long, b long")
         .distinct()
     )
 
@@ -329,7 +329,7 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, size: int, p
 
     known = staged(
         docs.join(first, "doc_id").select("node", "text")
-        .mapInArrow(sets, "node long, elements binary").dropDuplicates(["node"]),
+        .mapInArrow(thrifty(sets), "node long, elements binary").dropDuplicates(["node"]),
         "sets",
     )
     centres = dealt.select("a", "part").distinct().join(known.withColumnRenamed("node", "a"), "a")
@@ -356,7 +356,7 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, size: int, p
     return (
         rows.repartition("a", "part")
         .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-        .mapInArrow(verify, "a long, b long")
+        .mapInArrow(thrifty(verify), "a long, b long")
     )
 
 

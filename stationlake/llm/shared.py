@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +21,8 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 #: outside the heap by every task, in buffers that double while they fill.
 SLICE_BYTES = 4_000_000
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
+#: Shuffle files of a job that is over are deleted at once, not when the driver happens to collect its garbage.
+CLEARED = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,29 +37,46 @@ def words_between(text: Column, separators: str = SPACE) -> Column:
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs started inside hand at most BATCH_BYTES of rows to a Python worker together; the session's setting comes back."""
-    name, value = BATCH_BYTES
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
+def small_batches(spark: SparkSession, *more: tuple[str, str]) -> Iterator[None]:
+    """Jobs started inside hand at most BATCH_BYTES of rows to a Python worker together, with more settings if there are any;
+    the session's settings come back."""
+    before = [(name, spark.conf.get(name, None)) for name, _ in (BATCH_BYTES, *more)]
+    for name, value in (BATCH_BYTES, *more):
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before:
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once to the folder all executors share, and read back.
 
-    This cuts the lineage: an executor lost later costs its own tasks only.
+    This cuts the lineage: an executor lost later costs its own tasks only. The job's shuffle files go when it is done.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, name)
-    with small_batches(spark):
+    with small_batches(spark, CLEARED):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def thrifty(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after which the worker gives back what it no longer holds. Workers live on from stage to stage, and the C library
+    keeps what was freed: each stage would add its own peak to what an executor holds."""
+
+    @wraps(run)
+    def thrifty_run(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+        if trim:
+            trim(0)
+
+    return thrifty_run
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, for files that tasks write themselves."""
     return scratch_folder(spark, name)

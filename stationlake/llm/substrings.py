@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.llm.hashing import WordHashes, rabin_karp
-from stationlake.llm.shared import packed
+from stationlake.llm.shared import packed, slices, staged, thrifty
 
 #: Windows a task combines before it sends them, and windows of a bucket, about.
 CHUNK_WINDOWS = 2_000_000
 BUCKET_WINDOWS = 3_000_000
-LAST_ID = (1 << 63) - 1
+LAST_ID, LAST_START = (1 << 63) - 1, (1 << 31) - 1
 
 PACKED = pa.schema(
     [("bucket", pa.int32())]
@@ -71,7 +71,7 @@ def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     before = np.concatenate(([0], total[ends[:-1] - 1]))
     starts = total - np.repeat(before, sizes)
     ids, marks = np.frombuffer(row["docs"], "<i8"), np.frombuffer(row["marks"], "<i4")
-    return np.repeat(ids, sizes), np.repeat(marks, sizes), starts, np.frombuffer(row["hashes"], "<u8")
+    return np.repeat(ids, sizes), np.repeat(marks, sizes), starts.astype(np.int32), np.frombuffer(row["hashes"], "<u8")
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -81,40 +81,60 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _repeats(ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, repeated): windows sorted by hash, id and start, and which of them in this order are
-    not at the first (id, start) of their hash."""
-    order = np.lexsort((starts, ids, hashes))
-    h, d, s = hashes[order], ids[order], starts[order]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    group = np.repeat(first, np.diff(np.append(first, len(h))))
-    return order, (d != d[group]) | (s != s[group])
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one by one: a packed row holds up to millions of windows."""
+    return (batch.slice(at, 1).to_pylist()[0] for at in range(batch.num_rows))
+
+
+def _firsts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """order, which sorts the hashes and keeps equal ones as they are; where in it each hash begins, and its number."""
+    order = np.argsort(hashes, kind="stable").astype(np.int32)
+    sorted_ = hashes[order]
+    first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+    return order, first, np.diff(np.append(first, len(order)))
+
+
+def _repeats(ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which windows are not at the first (id, start) of their hash, as their indices."""
+    order, first, sizes = _firsts(hashes)
+    d = ids[order]
+    later = d != np.repeat(np.minimum.reduceat(d, first), sizes)
+    del d
+    s = starts[order]
+    s[later] = LAST_START
+    later |= s != np.repeat(np.minimum.reduceat(s, first), sizes)
+    return order[later]
 
 
 def _questions(size: int, buckets: int):
     """Rows (doc_key, mark, text) to packed rows; buckets below 0: places that are known to be repeated."""
 
     def send(chunk: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple]:
+        # Millions of windows: numbers of 32 bits, and what is done with is let go.
         chunk.sort(key=lambda x: x[0])
         ids = np.array([c[0] for c in chunk], dtype="<i8")
         marks = np.array([c[1] for c in chunk], dtype="<i4")
         counts = np.array([len(c[2]) for c in chunk])
-        doc = np.repeat(np.arange(len(chunk)), counts)
-        start = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
         hashes = np.concatenate([c[2] for c in chunk])
+        chunk.clear()
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+        start = np.arange(len(doc), dtype=np.int32)
+        start -= np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)
         # Documents are in order, so the first index of a hash is its first place (ties: equal rows).
-        order = np.argsort(hashes, kind="stable")
-        h = hashes[order]
-        lead = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        head = np.repeat(order[lead], np.diff(np.append(lead, len(h))))
-        again = np.zeros(len(h), dtype=bool)
-        again[order] = (ids[doc[order]] != ids[doc[head]]) | (start[order] != start[head])
+        order, lead, sizes = _firsts(hashes)
+        head = np.repeat(order[lead], sizes)
+        same = np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1])), dtype=np.int32)  # number of the id
+        later = start[order] != start[head]
+        later |= same[doc[order]] != same[doc[head]]
+        again = np.zeros(len(hashes), dtype=bool)
+        again[order] = later
+        del order, head, later
         if again.any():
             yield _pack(-1 - int(ids[0] % buckets), doc[again], ids, marks, start[again], None)
         # Equal rows at the first place all ask, so that each gets its answer.
-        ask = np.flatnonzero(~again)
-        bucket = ((hashes[ask] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-        dealt = np.argsort(bucket, kind="stable")
+        ask = np.flatnonzero(~again).astype(np.int32)
+        bucket = ((hashes[ask] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
+        dealt = np.argsort(bucket, kind="stable").astype(np.int32)
         cuts = np.flatnonzero(np.concatenate(([True], np.diff(bucket[dealt]) != 0)))
         for begin, end in zip(cuts, np.append(cuts[1:], len(dealt)), strict=True):
             part = ask[dealt[begin:end]]
@@ -122,7 +142,7 @@ def _questions(size: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chunk, windows = WordHashes(), [], 0
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, "text")):
             for key, mark, text in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                 batch.column(2).cast(pa.binary()).to_pylist(), strict=True,
@@ -134,7 +154,7 @@ def _questions(size: int, buckets: int):
                 if windows >= CHUNK_WINDOWS:
                     for row in send(chunk):
                         yield _batch([row], PACKED)
-                    chunk, windows = [], 0
+                    windows = 0
         if chunk:
             for row in send(chunk):
                 yield _batch([row], PACKED)
@@ -173,22 +193,23 @@ def _answers(parts: int):
             yield _batch([row], PACKED)
 
     def closed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids, marks, starts, hashes = (np.concatenate(c) for c in zip(*held, strict=True))
-        order, repeated = _repeats(ids, starts, hashes)
-        found = order[repeated]
+        columns = zip(*held, strict=True)
+        held.clear()
+        ids, marks, starts, hashes = (np.concatenate(c) for c in columns)
+        found = _repeats(ids, starts, hashes)
+        del hashes
         if len(found):
             yield from told(ids[found], marks[found], starts[found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = [], None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if row["bucket"] < 0:
                     yield from told(*_unpack(row)[:3])
                     continue
                 if row["bucket"] != bucket and held:
                     yield from closed(held)
-                    held = []
                 bucket = row["bucket"]
                 held.append(_unpack(row))
         if held:
@@ -217,7 +238,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held, part = [], None
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             if row["bucket"] != part and held:
                 yield from closed(held)
                 held = []
@@ -234,13 +255,13 @@ def repeated_windows(docs: DataFrame, size: int, buckets: int | None = None) ->
         octets = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(1, -(-octets // (6 * BUCKET_WINDOWS)))
     return (
-        docs.mapInArrow(_questions(size, buckets), PACKED_SQL)
+        docs.mapInArrow(thrifty(_questions(size, buckets)), PACKED_SQL)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_answers(buckets), PACKED_SQL)
+        .mapInArrow(thrifty(_answers(buckets)), PACKED_SQL)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_gathered, "doc_key long, mark int, starts binary")
+        .mapInArrow(thrifty(_gathered), "doc_key long, mark int, starts binary")
     )
 
 
@@ -261,7 +282,7 @@ def remove_repeats(
         F.hash(body).alias("mark"),  # tells rows of one key apart
         body.alias("text"),
     )
-    found = repeated_windows(rows.select("doc_key", "mark", "text"), size, buckets)
+    found = staged(repeated_windows(rows.select("doc_key", "mark", "text"), size, buckets), "repeated")
 
     @F.arrow_udf("n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>")
     def cut(texts: pa.Array, places: pa.Array) -> pa.Array:
@@ -299,6 +320,8 @@ def remove_repeats(
             names=list(results),
         )
 
-    done = rows.join(found, ["doc_key", "mark"], "left").withColumn("cut", cut("text", "starts"))
+    # A filter on the results would be moved below them, and texts be cut once for it and once more for the rows it keeps.
+    once = cut.asNondeterministic()
+    done = rows.join(found, ["doc_key", "mark"], "left").withColumn("cut", once("text", "starts"))
     others = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in results]
     return done.select(*others, "cut.*")
