@@ -15,6 +15,7 @@ to the shared folder; a rerun task reads the same numbers.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,12 +27,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.shared import slices, staged
+from stationlake.llm.shared import slices, staged, thrifty
 
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
-#: Words whose ids a task keeps at hand (half of them since the last turn-over), and the longest in bytes that is kept.
+#: Words whose ids a worker keeps at hand (half of them since the last turn-over), and the longest in bytes that is kept:
+#: 30 to 40 MB.
 CACHE_WORDS, KEPT_BYTES = 150_000, 48
+#: Bytes of the tokenizer's byte-level alphabet, as characters of Latin-1: those that print stand for themselves, others for 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+ALPHABET = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
+#: Words whose parts are plain to see (letters of Latin-1, digits, signs that print), those of one part, and the parts.
+LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+PLAIN = re.compile(f"[!-;=-@\\[-~{LETTERS}]+").fullmatch
+ONE_PART = re.compile(f"[{LETTERS}]+").fullmatch
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+").findall
+#: Words by which a tokenizer is tried: every plain character alone, between letters and twice, and the short forms.
+TRIED = [f"{x}{c}{y}" for c in map(chr, range(33, 256)) if PLAIN(c) for x, y in (("", ""), ("th", "er"), ("", c), ("a'", "d"))]
+TRIED += [f"{x}{y}" for x in ("it", "1", "$", "\u00c9t\u00e9") for y in ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'x", "''s", "'l", ",.", "1'2")]
 #: New words that the tokenizer is given at a time, and bytes of text that are held as words.
 LEARNED_AT_ONCE, HELD_BYTES = 10_000, 2_000_000
 #: A comma or full stop that ends a run of non-space characters. The sign comes first, so that the search looks for it alone.
@@ -45,36 +58,31 @@ class WordIds:
     """
 
     def __init__(self, tokenizer_file: str) -> None:
-        self.tokenizer, self.closes = tokenizer_of(tokenizer_file)
+        self.tokenizer, self.by_parts = tokenizer_of(tokenizer_file)
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        """Add the ids of new words, some at a time: the tokenizer's own results take a kilobyte a word."""
-        for begin in range(0, len(words), LEARNED_AT_ONCE):
-            self.learn_together(words[begin : begin + LEARNED_AT_ONCE])
-
-    def learn_together(self, words: list[bytes]) -> None:
-        """Add the ids of new words. Words of letters only are each one to the tokenizer, so they are encoded in one go and
-        told apart by the ids that close a word; should that not add up, one by one."""
-        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
-        # A letter whose lower case is more than letters would be more than one word.
-        lettered = [t.isalpha() and (t.isascii() or t.lower().isalpha()) for t in texts]
-        whole = [w for w, one in zip(words, lettered, strict=True) if one]
-        together = "\n".join([t for t, one in zip(texts, lettered, strict=True) if one])
-        ids = np.array(
-            self.tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids, dtype="<u4"
-        )
-        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
-        if len(ends) == len(whole):
-            raw, cuts = ids.tobytes(), [0, *ends.tolist()]
-            self.known.update(zip(whole, [raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], strict=True))
-            rest = [(w, t) for w, t, one in zip(words, texts, lettered, strict=True) if not one]
-        else:
-            rest = list(zip(words, texts, strict=True))
-        found = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
-        for (word, _), one in zip(rest, found, strict=True):
-            self.known[word] = np.array(one.ids, dtype="<u4").tobytes()
+        """Add the ids of new words. Plain ones take the short way; of the others some at a time: the tokenizer's own
+        results take a kilobyte a word."""
+        rest = self.learn_plain(words) if self.by_parts else words
+        for begin in range(0, len(rest), LEARNED_AT_ONCE):
+            some = rest[begin : begin + LEARNED_AT_ONCE]
+            texts = [w.decode("utf-8", "replace") for w in some]
+            for word, one in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                self.known[word] = pack_ids(one.ids)
+
+    def learn_plain(self, words: list[bytes]) -> list[bytes]:
+        """Add the ids of words whose parts are plain to see; returns the others."""
+        known, tokenize, rest = self.known, self.tokenizer.model.tokenize, []
+        for word in words:
+            if word.isalpha() and word.islower():  # ASCII letters
+                known[word] = pack_ids([token.id for token in tokenize(word.decode())])
+            elif PLAIN(text := word.decode("utf-8", "replace")):
+                known[word] = pack_ids(plain_ids(tokenize, text))
+            else:
+                rest.append(word)
+        return rest
 
     def of_texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of some texts as little-endian unsigned 32-bit numbers; new words are learned together.
@@ -85,33 +93,58 @@ class WordIds:
         lists = [CLOSING.sub(rb" \1", text.lower()).split() for text in texts]
         words = set().union(*lists)
         # Words in use outlive a turn-over: they are looked up in both halves and put into the new one.
-        found = {w: ids for w in words if (ids := self.known.get(w, self.older.get(w))) is not None}
         if len(self.known) + len(words) > CACHE_WORDS // 2:
             self.older, self.known = self.known, {}
-        self.known.update(found)
-        new = list(words.difference(found))
-        self.learn(new)
+        new = words.difference(self.known)
+        found = new.intersection(self.older)
+        self.known.update(zip(found, map(self.older.__getitem__, found), strict=True))
+        new -= found
+        self.learn(list(new))
         ids = [b"".join(map(self.known.__getitem__, some)) for some in lists]
         for word in new:
             if len(word) > KEPT_BYTES:
                 del self.known[word]
+        if len(self.known) > CACHE_WORDS:  # of one very large text
+            self.known = {}
         return ids
 
     def __call__(self, text: bytes) -> bytes:
         return self.of_texts([text])[0]
 
 
+#: Of so few ids, as words have them.
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def plain_ids(tokenize, text: str) -> list[int]:
+    """Ids of a plain word, given what a tokenizer's model makes of a part. The parts are cut here: the way through the
+    whole tokenizer, which keeps track of every character, takes several times the time."""
+    lowered = text.lower()
+    parts = (lowered,) if ONE_PART(lowered) else PARTS(lowered)
+    if not lowered.isascii():
+        parts = [part.encode().decode("latin-1").translate(ALPHABET) for part in parts]
+    return [token.id for part in parts for token in tokenize(part)]
+
+
 @lru_cache(maxsize=1)
 def tokenizer_of(tokenizer_file: str):
-    """The tokenizer of this process; its size is the file's. The words learned belong to a task and end with it."""
+    """The tokenizer of this process, and whether it takes plain words by their parts; its size is the file's."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
     tokenizer.encode_special_tokens = True
-    closing = [i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]
-    closes = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
-    closes[closing] = True
-    return tokenizer, closes
+    encoded = tokenizer.encode_batch_fast(TRIED, add_special_tokens=False)
+    return tokenizer, all(plain_ids(tokenizer.model.tokenize, t) == one.ids for t, one in zip(TRIED, encoded, strict=True))
+
+
+@lru_cache(maxsize=1)
+def words_of(tokenizer_file: str) -> WordIds:
+    """The words this process knows, CACHE_WORDS at most: a task of 16 MB would else spend most of its time on learning them."""
+    return WordIds(tokenizer_file)
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, length: int, end_id: int) -> DataFrame:
@@ -119,7 +152,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, leng
     kind = dict(docs.dtypes)[key]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_file)
+        words = words_of(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in (part for b in batches for part in slices(b, b.schema.names[1], HELD_BYTES)):
             owners, pieces, starts, sizes, sums, values = [], [], [], [], [], []
@@ -151,7 +184,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_file: str, leng
             )
 
     return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
-        cut, f"key {kind}, piece int, start long, length long, ids_crc32 long, tokens array<int>"
+        thrifty(cut), f"key {kind}, piece int, start long, length long, ids_crc32 long, tokens array<int>"
     )
 
 

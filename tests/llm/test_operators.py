@@ -207,6 +207,28 @@ def test_word_ids_match_the_tokenizer():
         assert np.frombuffer(ids_of(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_words_are_learned_by_their_parts():
+    ids_of = packing.WordIds(tokenizer_file())
+    whole, given = ids_of.tokenizer, []
+
+    class Counted:
+        model = whole.model
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    ids_of.tokenizer = Counted()
+    plain = ["the", "été$$$", "it's", "we'll've", "a'dd", "(1.25)", "***en%%%", "x''s", "naïve--ß"]
+    other = ["ÉTÉ", "µm", "<|endoftext|>", "a\x01b", "e\u0301", "ª", "½", "ﬁ", "\ufffd", "İ", "日本"]
+    words = [w.encode() for w in plain + other] + [b"\xff\xc3x"]
+    ids_of.learn(words)
+    assert given == [*other, "\ufffd\ufffdx"]
+    for word in words:
+        expected = whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert np.frombuffer(ids_of.known[word], "<u4").tolist() == expected
+
+
 def test_plan_uses_every_piece():
     rng = np.random.default_rng(2)
     histogram = Counter(rng.integers(1, 257, 5000).tolist())
