@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from codecs import charmap_decode
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,11 +33,12 @@ from stationlake.llm.shared import slices, staged, thrifty
 #: Pieces of one length that are numbered together.
 BLOCK_PIECES = 50_000
 #: Words whose ids a worker keeps at hand (half of them since the last turn-over), and the longest in bytes that is kept:
-#: 30 to 40 MB.
-CACHE_WORDS, KEPT_BYTES = 150_000, 48
+#: 100 to 130 MB. To learn a word again takes about as long as to look up ten.
+CACHE_WORDS, KEPT_BYTES = 500_000, 48
 #: Bytes of the tokenizer's byte-level alphabet, as characters of Latin-1: those that print stand for themselves, others for 256 on.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-ALPHABET = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
+HIDDEN = sorted(set(range(256)) - set(SHOWN))
+ALPHABET = "".join(chr(b if b in SHOWN else 256 + HIDDEN.index(b)) for b in range(256))
 #: Words whose parts are plain to see (letters of Latin-1, digits, signs that print), those of one part, and the parts.
 LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 PLAIN = re.compile(f"[!-;=-@\\[-~{LETTERS}]+").fullmatch
@@ -78,7 +80,9 @@ class WordIds:
         for word in words:
             if word.isalpha() and word.islower():  # ASCII letters
                 known[word] = pack_ids([token.id for token in tokenize(word.decode())])
-            elif PLAIN(text := word.decode("utf-8", "replace")):
+            elif ONE_PART(text := word.decode("utf-8", "replace")):
+                known[word] = pack_ids([token.id for token in tokenize(shown(text.lower().encode()))])
+            elif PLAIN(text):
                 known[word] = pack_ids(plain_ids(tokenize, text))
             else:
                 rest.append(word)
@@ -120,13 +124,18 @@ def pack_ids(ids: list[int]) -> bytes:
     return PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
 
 
+def shown(part: bytes) -> str:
+    """Bytes in the tokenizer's alphabet."""
+    return charmap_decode(part, "strict", ALPHABET)[0]
+
+
 def plain_ids(tokenize, text: str) -> list[int]:
     """Ids of a plain word, given what a tokenizer's model makes of a part. The parts are cut here: the way through the
     whole tokenizer, which keeps track of every character, takes several times the time."""
     lowered = text.lower()
     parts = (lowered,) if ONE_PART(lowered) else PARTS(lowered)
     if not lowered.isascii():
-        parts = [part.encode().decode("latin-1").translate(ALPHABET) for part in parts]
+        parts = [shown(part.encode()) for part in parts]
     return [token.id for part in parts for token in tokenize(part)]
 
 

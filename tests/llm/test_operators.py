@@ -229,6 +229,22 @@ def test_plain_words_are_learned_by_their_parts():
         assert np.frombuffer(ids_of.known[word], "<u4").tolist() == expected
 
 
+def test_words_of_letters_are_one_part():
+    """Bytes are shown in the tokenizer's alphabet at once, not character by character; and a worker knows many words."""
+    ids_of = packing.WordIds(tokenizer_file())
+    words = ["été", "ÉtÉ", "À", "naïve", "ß", "ÿþ", "œil", "ÉTÉ", "l'été", "µm", "ª", "the", "señor"]
+    ids_of.learn([w.encode() for w in words])
+    for word in words:
+        expected = ids_of.tokenizer.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(ids_of.known[word.encode()], "<u4").tolist() == expected
+    assert packing.shown("é\x7f a".encode()) == "Ã©ġĠa"
+    learned = []
+    ids_of.learn = lambda some, learn=ids_of.learn: (learned.extend(some), learn(some))
+    for begin in (0, 60_000, 120_000, 0):
+        ids_of(" ".join(f"w{i}" for i in range(begin, begin + 60_000)).encode())
+    assert len(learned) == 180_000
+
+
 def test_plan_uses_every_piece():
     rng = np.random.default_rng(2)
     histogram = Counter(rng.integers(1, 257, 5000).tolist())
