@@ -50,6 +50,8 @@ RATE = 0.1
 CHUNK_WORDS = 2_000_000
 #: Rounds of training at most; a chunk takes part in one of them.
 ROUNDS = 4
+#: Scores that are summed up are base 2 logarithms: numpy's exp2 takes half the time of exp.
+LOG2E = np.float32(1 / math.log(2))
 #: Name of the end of a text; no word holds a line feed.
 END = WordHashes()[b"\n"]
 
@@ -106,7 +108,7 @@ class Codes:
         bands = np.append(steps.sum(axis=1), 0.5)  # the last one is the unknown word
         with np.errstate(divide="ignore"):
             self.band_logs = np.log(bands / bands.sum()).astype(np.float32)
-            self.step_logs = np.maximum(np.log(steps / bands[:-1, None]), -1e30).astype(np.float32)
+            self.step_logs = np.maximum(np.log2(steps / bands[:-1, None]), -1e30).astype(np.float32)
 
 
 class Model:
@@ -129,7 +131,7 @@ class Model:
         def drawn(count: int) -> np.ndarray:
             return rng.normal(0, 0.1, (count, SIZE)).astype(np.float32)
 
-        self.parts = {
+        parts = {
             "context": drawn(rows),
             "target": zeros(self.k + 2, SIZE),
             "weight": np.ones((CONTEXT, SIZE), dtype=np.float32),
@@ -147,6 +149,8 @@ class Model:
             "column": zeros(codes.columns, SIZE),
             "column_bias": zeros(codes.columns),
         }
+        # Tables of vectors come first: all their rows are one table in a flat copy.
+        self.parts = dict(sorted(parts.items(), key=lambda part: part[1].ndim, reverse=True))
 
     @property
     def flat(self) -> np.ndarray:
@@ -167,16 +171,19 @@ class Model:
         """Numbers of the words with these hashes and ranks (-1: no code)."""
         hashes = hashes.view(np.uint64)
         out = np.where(ranks >= 0, self.k + 3 + ranks, self.k + 1)
-        for place in np.flatnonzero(ranks < 0):
-            out[place] = self.frequent.get(int(hashes[place]), self.k + 1)
+        without = np.flatnonzero(ranks < 0)
+        out[without] = [self.frequent.get(h, self.k + 1) for h in hashes[without].tolist()]
         out[hashes == np.uint64(END)] = self.k
         return out
 
     def split(self, ids: np.ndarray) -> tuple[np.ndarray, ...]:
         """Class, band, step and column of each number; words without a code have those after the last."""
         codes, coded = self.codes, ids > self.k + 2
-        row, column = np.divmod(np.where(coded, ids - self.k - 3, 0), codes.columns)
-        band, step = np.divmod(row, codes.steps)
+        rank = np.where(coded, ids - self.k - 3, 0)
+        row = rank // codes.columns  # several times faster than divmod
+        column = rank - row * codes.columns
+        band = row // codes.steps
+        step = row - band * codes.steps
         return (
             np.where(coded, self.k + 1, ids),
             np.where(coded, band, codes.bands),
@@ -191,26 +198,31 @@ class Model:
 
     def vectors(self, split: tuple[np.ndarray, ...]) -> np.ndarray:
         p = self.parts
-        return p["context"][split[0]] + sum(p[name][at] for name, at in zip(CODE_CONTEXTS, split[1:], strict=True))
+        out = p["context"].take(split[0], axis=0)
+        for name, at in zip(CODE_CONTEXTS, split[1:], strict=True):
+            out += p[name].take(at, axis=0)
+        return out
 
     def query(self, contexts: np.ndarray) -> np.ndarray:
         return sum(self.vectors(self.split(contexts[:, i])) * self.parts["weight"][i] for i in range(CONTEXT))
 
     def band_scores(self, query: np.ndarray) -> np.ndarray:
         p = self.parts
-        return query @ p["band"].T + p["band_bias"] + self.codes.band_logs
+        return _products(query, p["band"], p["band_bias"] + self.codes.band_logs)
 
     def step_scores(self, query: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What is asked of the steps of the given bands, and their scores."""
         p = self.parts
         asked = query + p["step_band"][band]
-        return asked, asked @ p["step"].T + p["step_bias"] + self.codes.step_logs[band]
+        scores = _products(asked, p["step"], p["step_bias"])
+        scores += self.codes.step_logs.take(band, axis=0)
+        return asked, scores
 
     def column_scores(self, asked: np.ndarray, band: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same for the columns of the given steps; asked: what was asked of the steps."""
         p, codes = self.parts, self.codes
         asked = asked + p["column_step"][step]
-        scores = asked @ p["column"].T + p["column_bias"]
+        scores = _products(asked, p["column"], p["column_bias"])
         filled = codes.words - (band * codes.steps + step) * codes.columns
         for place in np.flatnonzero(filled < codes.columns):  # in the last row
             scores[place, filled[place] :] = -1e30
@@ -218,15 +230,15 @@ class Model:
 
     def log_totals(self, query: np.ndarray) -> np.ndarray:
         """Log of the sum of exp(score) over all classes, per query."""
-        table = np.append(self.parts["target"].T, self.parts["bias"][None], 0)
-        query = np.append(query, np.ones((len(query), 1), np.float32), 1)
+        table = np.append(self.parts["target"].T, self.parts["bias"][None], 0) * LOG2E
+        query = _with_ones(query)
         out = np.empty(len(query), dtype=np.float32)
-        piece = max(64, (1 << 18) // table.shape[1])
-        room = np.empty((piece, table.shape[1]), np.float32)
+        piece = max(64, (1 << 17) // table.shape[1])
+        scores, exps = np.empty((2, piece, table.shape[1]), np.float32)
         for begin in range(0, len(query), piece):
-            part = query[begin : begin + piece]
-            out[begin : begin + piece] = _log_sums(np.matmul(part, table, out=room[: len(part)]))
-        return out
+            n = len(part := query[begin : begin + piece])
+            out[begin : begin + n] = _log_sums(np.matmul(part, table, out=scores[:n]), exps[:n])
+        return out / LOG2E
 
     def log_probabilities(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """Natural log of the normalised probability of each word after its context."""
@@ -237,8 +249,8 @@ class Model:
         p = self.parts
         out = np.einsum("ij,ij->i", query[at], p["target"][classes]) + p["bias"][classes] - self.log_totals(query)[at]
         others = np.flatnonzero(classes == self.k + 1)
-        for begin in range(0, len(others), 1024):
-            places = others[begin : begin + 1024]
+        for begin in range(0, len(others), 512):
+            places = others[begin : begin + 512]
             asked = query[at[places]]
             _add_logs(out, places, self.band_scores(asked), band[places])
             coded = ids[places] > self.k + 2
@@ -252,94 +264,158 @@ class Model:
 
 
 def _add_logs(out: np.ndarray, places: np.ndarray, scores: np.ndarray, true: np.ndarray) -> None:
-    """Add the log probability of the true one among the scores of each row, which are used up."""
+    """Add the natural log probability of the true one among the scores of each row."""
     if len(places):
-        own = scores[np.arange(len(places)), true]
-        out[places] += own - _log_sums(scores)
+        out[places] += (scores[np.arange(len(places)), true] - _log_sums(scores)) / LOG2E
+
+
+def _with_ones(rows: np.ndarray) -> np.ndarray:
+    """rows with a last column of ones, for which a product adds a bias, or sums."""
+    out = np.empty((len(rows), rows.shape[1] + 1), np.float32)
+    out[:, :-1] = rows
+    out[:, -1] = 1
+    return out
+
+
+def _products(asked: np.ndarray, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Products with the rows of the table, plus the bias, as base 2 logarithms."""
+    return _with_ones(asked) @ (np.append(table.T, bias[None], 0) * LOG2E)
+
+
+def _exps(scores: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """2 to the power of score - shift, their sums by rows, and the shift. The shift is 0, unless a sum is too large or too
+    small for that: then it is the largest score of each row."""
+    ones = np.ones(scores.shape[1], np.float32)
+    with np.errstate(over="ignore", invalid="ignore"):
+        exps = np.exp2(scores, out=out)
+        sums = exps @ ones
+    if len(sums) and not (sums.min() > 1e-30 and sums.max() < 1e30):
+        shift = scores.max(axis=1)
+        exps = np.exp2(scores - shift[:, None], out=out)
+        return exps, exps @ ones, shift
+    return exps, sums, 0.0
 
 
-def _log_sums(scores: np.ndarray) -> np.ndarray:
-    """Log of the sum of exp(score) in each row; leaves exp(score - largest score) in scores."""
-    top = scores.max(axis=1, keepdims=True)
-    scores -= top
-    return np.log(np.exp(scores, out=scores).sum(axis=1)) + top[:, 0]
+def _log_sums(scores: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """Base 2 log of the sum of the scores' powers of 2 in each row; out: room for as many numbers."""
+    _, sums, shift = _exps(scores, out)
+    return np.log2(sums) + shift
 
 
 class Trainer:
     """Noise-contrastive steps with one set of noise classes per batch, likelihood steps below the classes, and
-    per-parameter step sizes."""
+    per-parameter step sizes.
+
+    The parameters of the model lie in one flat array, and so do their slopes and step sizes.
+    """
 
     def __init__(self, model: Model, seed: int | list[int]) -> None:
         self.model, self.rng = model, np.random.default_rng(seed)
-        self.squares = {name: np.full_like(p, 1e-2) for name, p in model.parts.items()}
         self.log_noise = (np.log(model.noise) + np.log(NOISE)).astype(np.float32)
         self.cumulative = np.cumsum(model.noise)
-
-    def _apply(self, name: str, gradient: np.ndarray) -> None:
-        self.squares[name] += gradient * gradient
-        self.model.parts[name] += RATE * gradient / np.sqrt(self.squares[name])
+        self.flat = model.flat
+        self.slopes, self.squares = np.zeros_like(self.flat), np.full_like(self.flat, 1e-2)
+        self.room = np.empty((2, len(self.flat)), np.float32)
+        self.d: dict[str, np.ndarray] = {}
+        self.row_of: dict[str, int] = {}
+        at = 0
+        for name, part in model.parts.items():
+            own = slice(at, at + part.size)
+            model.parts[name] = self.flat[own].reshape(part.shape)
+            self.d[name] = self.slopes[own].reshape(part.shape)
+            if part.ndim == 2:
+                self.row_of[name] = at // SIZE
+                rows = (at + part.size) // SIZE
+            at += part.size
+        self.rows = self.slopes[: rows * SIZE].reshape(rows, SIZE)
+        # Numbers of 16 bits are sorted by radix.
+        self.kind = np.uint16 if rows < 1 << 16 else np.int64
+
+    def _apply(self) -> None:
+        square, change = self.room
+        np.multiply(self.slopes, self.slopes, out=square)
+        self.squares += square
+        np.sqrt(self.squares, out=square)
+        np.multiply(self.slopes, np.float32(RATE), out=change)
+        change /= square
+        self.flat += change
 
     def step(self, ids: np.ndarray, contexts: np.ndarray) -> None:
-        model, p, n = self.model, self.model.parts, len(ids)
+        split = self.model.split(np.concatenate((ids, contexts.T.ravel())))
+        self.split_step(np.stack(split).reshape(4, CONTEXT + 1, len(ids)))
+
+    def split_step(self, split: np.ndarray) -> None:
+        """split: class, band, step and column of the words and of each word of their contexts."""
+        model, p, d, n = self.model, self.model.parts, self.d, split.shape[2]
         noise = np.minimum(
             np.searchsorted(self.cumulative, self.rng.random(NOISE) * self.cumulative[-1]), len(self.cumulative) - 1
         )
-        classes, band, step, column = model.split(ids)
-        split = [model.split(contexts[:, i]) for i in range(CONTEXT)]
-        vectors = [model.vectors(x) for x in split]
+        self.slopes.fill(0)
+        places, rows = [], []
+
+        def add(name: str, at: np.ndarray, slopes: np.ndarray) -> None:
+            places.append((at + self.row_of[name]).astype(self.kind))
+            rows.append(slopes)
+
+        classes = split[0, 0]
+        vectors = [model.vectors(tuple(split[:, 1 + i])) for i in range(CONTEXT)]
         query = sum(v * p["weight"][i] for i, v in enumerate(vectors))
-        target, others = p["target"][classes], p["target"][noise]
+        target, others = p["target"].take(classes, axis=0), p["target"][noise]
         true = np.einsum("ij,ij->i", query, target) + p["bias"][classes] - self.log_noise[classes]
-        false = query @ others.T + p["bias"][noise] - self.log_noise[noise]
-        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # slopes of the log likelihood
-        down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        d = {name: np.zeros_like(x) for name, x in p.items()}
-        d_query = (up[:, None] * target + down @ others) / n
-        _scatter(d["target"], classes, up[:, None] * query / n)
-        np.add.at(d["target"], noise, down.T @ query / n)
-        d["bias"] += np.bincount(classes, up, len(d["bias"])) / n
-        d["bias"] += np.bincount(noise, down.sum(axis=0), len(d["bias"])) / n
-        coded = np.flatnonzero(ids > model.k + 2)
+        down = _products(query, -others, self.log_noise[noise] - p["bias"][noise])
+        up = 1 / (1 + np.exp(np.clip(true, -30, 30))) / n  # slopes of the log likelihood
+        np.clip(down, -30 * LOG2E, 30 * LOG2E, out=down)
+        np.exp2(down, out=down)
+        down += 1
+        np.divide(np.float32(-1 / n), down, out=down)
+        d_query = up[:, None] * target
+        d_query += down @ others
+        add("target", classes, up[:, None] * query)
+        of_noise = down.T @ _with_ones(query)
+        add("target", noise, of_noise[:, :-1])
+        d["bias"] += np.bincount(classes, up, len(d["bias"]))
+        d["bias"] += np.bincount(noise, of_noise[:, -1], len(d["bias"]))
+        coded = np.flatnonzero(split[1, 0] < model.codes.bands)
         if len(coded):
-            band, step, column, asked = band[coded], step[coded], column[coded], query[coded]
-            d_query[coded] += self._likelihood(d, "band", asked, model.band_scores(asked), band, n)
+            (band, step, column), asked = split[1:, 0, coded], query[coded]
+            d_coded = self._likelihood("band", asked, model.band_scores(asked), band, n)
             asked, scores = model.step_scores(asked, band)
-            d_asked = self._likelihood(d, "step", asked, scores, step, n)
+            d_asked = self._likelihood("step", asked, scores, step, n)
             asked, scores = model.column_scores(asked, band, step)
-            d_column = self._likelihood(d, "column", asked, scores, column, n)
-            _scatter(d["column_step"], step, d_column)
+            d_column = self._likelihood("column", asked, scores, column, n)
+            add("column_step", step, d_column)
             d_asked += d_column
-            _scatter(d["step_band"], band, d_asked)
-            d_query[coded] += d_asked
-        for i, (x, *code) in enumerate(split):
+            add("step_band", band, d_asked)
+            d_coded += d_asked
+            d_query[coded] += d_coded
+        for i in range(CONTEXT):
             d_vector = d_query * p["weight"][i]
-            _scatter(d["context"], x, d_vector)
-            own = np.flatnonzero(contexts[:, i] > model.k + 2)
+            add("context", split[0, 1 + i], d_vector)
+            own = np.flatnonzero(split[1, 1 + i] < model.codes.bands)
             if len(own):
-                for name, at in zip(CODE_CONTEXTS, code, strict=True):
-                    _scatter(d[name], at[own], d_vector[own])
-            d["weight"][i] = (d_query * vectors[i]).sum(axis=0)
-        for name, gradient in d.items():
-            self._apply(name, gradient)
-
-    def _likelihood(
-        self, d: dict, name: str, asked: np.ndarray, scores: np.ndarray, true: np.ndarray, n: int
-    ) -> np.ndarray:
+                of_codes = d_vector.take(own, axis=0)
+                for name, at in zip(CODE_CONTEXTS, split[1:, 1 + i], strict=True):
+                    add(name, at[own], of_codes)
+            d["weight"][i] = np.einsum("ij,ij->j", d_query, vectors[i])
+        _scatter(self.rows, np.concatenate(places), np.concatenate(rows))
+        self._apply()
+
+    def _likelihood(self, name: str, asked: np.ndarray, scores: np.ndarray, true: np.ndarray, n: int) -> np.ndarray:
         """Adds the slopes for the true ones among the scores, and returns that for what was asked; all over n."""
-        _log_sums(scores)
-        slope = scores / -scores.sum(axis=1, keepdims=True)
-        slope[np.arange(len(true)), true] += 1
-        slope /= n
-        d[name] += slope.T @ asked
-        d[f"{name}_bias"] += slope.sum(axis=0)
+        slope, sums, _ = _exps(scores)
+        slope *= (-1 / (sums * np.float32(n)))[:, None]
+        slope[np.arange(len(true)), true] += np.float32(1 / n)
+        self.d[name] += slope.T @ asked
+        self.d[f"{name}_bias"] += np.ones(len(slope), np.float32) @ slope
         return slope @ self.model.parts[name]
 
+
 def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Add rows to out at the given places."""
     order = np.argsort(at, kind="stable")
     places = at[order]
     first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
-    out[places[first]] += np.add.reduceat(rows[order], first, axis=0)
+    out[places[first]] += np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
 class _Places(dict):
@@ -400,9 +476,10 @@ def _trained(dealt: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
 
 def _epoch(trainer: Trainer, ids: np.ndarray, contexts: np.ndarray) -> int:
     order = trainer.rng.permutation(len(ids))
+    split = trainer.model.split(np.concatenate((ids[order], contexts[order].T.ravel())))
+    split = np.stack(split).reshape(4, CONTEXT + 1, len(ids))
     for begin in range(0, len(order), BATCH):
-        part = order[begin : begin + BATCH]
-        trainer.step(ids[part], contexts[part])
+        trainer.split_step(split[:, :, begin : begin + BATCH])
     return len(ids)
 
 

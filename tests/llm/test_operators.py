@@ -509,3 +509,75 @@ def test_pipeline_stages(spark, docs, nothing):
     empty = own.filter("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, benchmark).count() == 0
+
+
+def _coded_model():
+    counts = np.arange(50, 0, -1.0)
+    codes = lm.Codes(50, 4, np.add.reduceat(counts, range(0, 50, 4)))
+    model = lm.Model(np.arange(3, dtype=np.int64), np.array([90.0, 80, 70, 60, counts.sum()]), codes)
+    rng = np.random.default_rng(3)
+    for part in model.parts.values():
+        part += rng.normal(0, 0.3, part.shape)
+    for name in lm.CODE_CONTEXTS:
+        model.parts[name][-1] = 0
+    ids = rng.integers(0, 6 + 50, 200)
+    ids[ids == model.k + 2] = model.k + 1
+    return model, ids, model.contexts(ids)
+
+
+def test_slopes_are_those_of_the_objective(monkeypatch):
+    """One scatter a step, and the slopes of the plainly written objective."""
+    model, ids, contexts = _coded_model()
+    before = model.copy()
+    trainer, scatter, calls = lm.Trainer(model, seed=4), lm._scatter, []
+    monkeypatch.setattr(lm, "_scatter", lambda *a: (calls.append(1), scatter(*a)))
+    noise = np.searchsorted(trainer.cumulative, np.random.default_rng(4).random(lm.NOISE) * trainer.cumulative[-1])
+    trainer.step(ids, contexts)
+    assert len(calls) == 1
+
+    def objective(p):
+        total = 0.0
+        for word, context in zip(ids, contexts, strict=True):
+            query = 0
+            for i, w in enumerate(context):
+                c, b, s, k = (int(x[0]) for x in before.split(np.array([w])))
+                v = p["context"][c] + p["context_band"][b] + p["context_step"][s] + p["context_column"][k]
+                query = query + p["weight"][i] * v
+            c, b, s, k = (int(x[0]) for x in before.split(np.array([word])))
+            logit = p["target"] @ query + p["bias"] - np.log(model.noise) - np.log(lm.NOISE)
+            total += -np.log1p(np.exp(-logit[c])) - np.log1p(np.exp(logit[noise])).sum()
+            if word > before.k + 2:
+                scores = p["band"] @ query + p["band_bias"] + before.codes.band_logs
+                total += scores[b] - np.log(np.exp(scores).sum())
+                query = query + p["step_band"][b]
+                scores = p["step"] @ query + p["step_bias"] + before.codes.step_logs[b] * np.log(2)
+                total += scores[s] - np.log(np.exp(scores).sum())
+                query = query + p["column_step"][s]
+                scores = p["column"] @ query + p["column_bias"]
+                scores = scores[: before.codes.words - (b * before.codes.steps + s) * before.codes.columns]
+                total += scores[k] - np.log(np.exp(scores).sum())
+        return total / len(ids)
+
+    p = {name: part.astype(np.float64) for name, part in before.parts.items()}
+    rng = np.random.default_rng(5)
+    for name, part in p.items():
+        for _ in range(3):
+            at = tuple(int(rng.integers(0, n - (name in lm.CODE_CONTEXTS and i == 0))) for i, n in enumerate(part.shape))
+            value = part[at]
+            part[at] = value + 1e-5
+            up = objective(p)
+            part[at] = value - 1e-5
+            slope = (up - objective(p)) / 2e-5
+            part[at] = value
+            assert trainer.d[name][at] == pytest.approx(slope, rel=1e-3, abs=2e-6), name
+    for name in lm.CODE_CONTEXTS:
+        assert not model.parts[name][-1].any()
+
+
+@pytest.mark.parametrize("size", [0.0, 1e3, -1e3])
+def test_sums_of_large_and_small_scores(size):
+    scores = (np.random.default_rng(6).normal(0, 3, (5, 7)) + size).astype(np.float32)
+    expected = np.log2(np.exp2(scores.astype(np.float64) - size).sum(axis=1)) + size
+    assert lm._log_sums(scores) == pytest.approx(expected, abs=1e-3)
+    exps, sums, _ = lm._exps(scores)
+    assert (exps / sums[:, None]).sum(axis=1) == pytest.approx(np.ones(5), abs=1e-5)
