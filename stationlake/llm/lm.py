@@ -8,13 +8,13 @@ weighted place by place, are added up to a query, whose product with each class'
 score. Inside the shared class the query scores the bands and one unknown word, plus the band's vector the
 steps of the band, plus the step's vector the columns. Training of classes needs no normalisation: in each batch the true
 next classes are told from noise classes drawn by frequency; bands, steps and columns are few, and are trained by
-likelihood from the smoothed counts on. Scoring normalises every level: for each different context the products with all
-classes are made in batches, so that token probabilities add up to one over all words and one unknown word.
+likelihood from the smoothed counts on. Scoring normalises every level, over all classes in each context, so that token
+probabilities add up to one over all words and one unknown word.
 
 Scale. Texts are dealt to chunks of a few million words. A chunk asks once for each of its different words,
 with its own training count; counts are added up per word by a shuffle, and the totals go back to the chunks that
 asked. So no table of all words is broadcast, and a word in every text moves once per chunk; codes go the same
-way. Training goes in rounds over the chunks, which follow from the rows alone: each chunk of a round trains on all its
+way. Texts are read and cut into words once: from then on they are the places of their words among those of the chunk. Training goes in rounds over the chunks, which follow from the rows alone: each chunk of a round trains on all its
 training texts, in the order of their hashes, from the average of the round before, and parameters are averaged by words
 seen, one grouped sum per parameter. Broadcast are the parameters, whose size follows the cube root of the number of words, and one
 count per band and step, the square of that.
@@ -31,8 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.hashing import WordHashes
-from stationlake.llm.shared import staged
+from stationlake.llm.shared import CLEARED, slices, small_batches, staged, thrifty
 
 #: Words with a class of their own; the end, all other words, and the start come on top.
 FREQUENT = 1000
@@ -50,48 +49,134 @@ RATE = 0.1
 CHUNK_WORDS = 2_000_000
 #: Rounds of training at most; a chunk takes part in one of them.
 ROUNDS = 4
-#: Scores that are summed up are base 2 logarithms: numpy's exp2 takes half the time of exp.
+#: Rows of words in a batch.
+_ROWS = 100_000
+#: Scores that are summed up are base 2 logarithms.
 LOG2E = np.float32(1 / math.log(2))
+#: numpy has exp2 in wide instructions with these alone, where it takes half the time of exp; else twice that time.
+FAST_EXP2 = bool({"AVX512_SKX", "X86_V4"} & set(np.show_config(mode="dicts")["SIMD Extensions"].get("found", ())))
+#: Products of powers of 2 stay in the range of 32-bit numbers if their exponents add up to this at most.
+MOST_EXPONENT = 110
+#: Contexts whose products are made at a time: two tables of that many rows stay in the cache of a core.
+PRODUCTS = 64
 #: Name of the end of a text; no word holds a line feed.
-END = WordHashes()[b"\n"]
+END = xxhash.xxh3_64_intdigest(b"\n")
 
-_CHUNK_WORDS_SCHEMA = pa.schema([("chunk", pa.int32()), ("word", pa.int64()), ("n", pa.int64())])
+_NUMBERED = "chunk int, place int, word long, n long, key long, order long, trains boolean, ids binary"
+_NUMBERED_SCHEMA = pa.schema(
+    [
+        ("chunk", pa.int32()), ("place", pa.int32()), ("word", pa.int64()), ("n", pa.int64()), ("key", pa.int64()),
+        ("order", pa.int64()), ("trains", pa.bool_()), ("ids", pa.binary()),
+    ]
+)
 
 
 def _lowered(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, text, trains) sorted by chunk to (chunk, word, n): each different word and its training count."""
-    known, chunk, words, trains = WordHashes(), None, [], []
-
-    def out() -> Iterator[pa.RecordBatch]:
-        hashes = np.concatenate(words)
-        weight = np.repeat(np.array(trains, dtype=np.float64), [len(w) for w in words])
-        names, at = np.unique(hashes, return_inverse=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(names), chunk, np.int32)),
-                pa.array(names.view(np.int64)),
-                pa.array(np.bincount(at, weight, len(names)).astype(np.int64)),
-            ],
-            schema=_CHUNK_WORDS_SCHEMA,
-        )
+class _Places(dict):
+    """Places of words among the different ones of their chunk, in the order they are met; first is the end of a text."""
+
+    def __init__(self) -> None:
+        super().__init__({b"\n": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        return place
+
+    def of(self, text: bytes | None) -> np.ndarray:
+        words = _lowered(text)
+        out = np.zeros(len(words) + 1, np.int32)
+        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return out
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on: most of the last ones are 0 and take no room on disk."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _of_planes(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    ends = [*(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return zip([0, *ends[:-1]], ends, strict=True) if len(values) else iter(())
+
+
+def _number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, key, order, text, trains) sorted by chunk to two kinds of rows: (chunk, key, order, trains, ids) for each text, with
+    the places of its words in the chunk, and (chunk, place, word, n) for each different word of a chunk, with its training count.
+    """
+    chunk, places, counts = None, _Places(), np.zeros(0, np.int64)
+
+    def out(rows: int, **columns: pa.Array) -> pa.RecordBatch:
+        arrays = [columns.get(field.name, pa.nulls(rows, field.type)) for field in _NUMBERED_SCHEMA]
+        return pa.RecordBatch.from_arrays(arrays, schema=_NUMBERED_SCHEMA)
+
+    def words() -> Iterator[pa.RecordBatch]:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, places), np.uint64, len(places)).view(np.int64)
+        for begin in range(0, len(hashes), _ROWS):
+            some = hashes[begin : begin + _ROWS]
+            yield out(
+                len(some), chunk=pa.array(np.full(len(some), chunk, np.int32)), word=pa.array(some),
+                place=pa.array(np.arange(begin, begin + len(some), dtype=np.int32)), n=pa.array(counts[begin : begin + _ROWS]),
+            )
+
+    for whole in batches:
+        own = whole.column("chunk").to_numpy()
+        for begin, end in _runs(own):
+            if own[begin] != chunk:
+                if chunk is not None:
+                    yield from words()
+                chunk, places, counts = own[begin], _Places(), np.zeros(0, np.int64)
+            for batch in slices(whole.slice(begin, end - begin), "text"):
+                ids = [places.of(text) for text in batch.column("text").cast(pa.binary()).to_pylist()]
+                counted = [one for one, trains in zip(ids, batch.column("trains").to_pylist(), strict=True) if trains]
+                counts = np.append(counts, np.zeros(len(places) - len(counts), np.int64))
+                if counted:
+                    counts += np.bincount(np.concatenate(counted), minlength=len(places))
+                yield out(
+                    len(ids), ids=pa.array([_planes(one) for one in ids], pa.binary()),
+                    **{name: batch.column(name) for name in ("chunk", "key", "order", "trains")},
+                )
+    if chunk is not None:
+        yield from words()
+
+
+def _pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, word, total, rank) sorted by chunk and place to a row for each chunk, with an array of each."""
+    chunk, held = None, []
+
+    def out() -> pa.RecordBatch:
+        arrays = [pa.array([_planes(np.concatenate(column))], pa.binary()) for column in zip(*held, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *arrays], names=["chunk", "word", "total", "rank"])
 
     for batch in batches:
-        for own, text, train in zip(
-            batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(),
-            strict=True,
-        ):
-            if own != chunk and words:
-                yield from out()
-                words, trains = [], []
-            chunk = own
-            words.append(np.append(known.of(_lowered(text)), np.uint64(END)))
-            trains.append(bool(train))
-    if words:
-        yield from out()
+        own, *columns = (batch.column(name).to_numpy() for name in ("chunk", "word", "total", "rank"))
+        for begin, end in _runs(own):
+            if own[begin] != chunk:
+                if chunk is not None:
+                    yield out()
+                chunk, held = own[begin], []
+            held.append([column[begin:end] for column in columns])
+    if chunk is not None:
+        yield out()
+
+
+def _arrays(words: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """word, total and rank by place, of the one row of a chunk."""
+    return tuple(_of_planes(words[name][0].as_py(), np.int64) for name in ("word", "total", "rank"))
+
+
+def _places(texts: pa.Table) -> Iterator[np.ndarray]:
+    """The places of the words of each text."""
+    for ids in texts["ids"]:
+        yield _of_planes(ids.as_py(), np.int32)
 
 
 class Codes:
@@ -180,6 +265,8 @@ class Model:
         """Class, band, step and column of each number; words without a code have those after the last."""
         codes, coded = self.codes, ids > self.k + 2
         rank = np.where(coded, ids - self.k - 3, 0)
+        if codes.words < 1 << 31:
+            rank = rank.astype(np.int32)  # divided in a tenth of the time
         row = rank // codes.columns  # several times faster than divmod
         column = rank - row * codes.columns
         band = row // codes.steps
@@ -204,7 +291,11 @@ class Model:
         return out
 
     def query(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.vectors(self.split(contexts[:, i])) * self.parts["weight"][i] for i in range(CONTEXT))
+        return self.split_query([self.split(contexts[:, i]) for i in range(CONTEXT)])
+
+    def split_query(self, splits: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+        """splits: what split gives for the words at each place of the contexts."""
+        return sum(self.vectors(split) * self.parts["weight"][i] for i, split in enumerate(splits))
 
     def band_scores(self, query: np.ndarray) -> np.ndarray:
         p = self.parts
@@ -240,18 +331,18 @@ class Model:
             out[begin : begin + n] = _log_sums(np.matmul(part, table, out=scores[:n]), exps[:n])
         return out / LOG2E
 
-    def log_probabilities(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        """Natural log of the normalised probability of each word after its context."""
-        code = contexts[:, 0].astype(np.int64) * (int(contexts.max(initial=0)) + 1) + contexts[:, 1]
-        _, first, at = np.unique(code, return_index=True, return_inverse=True)
-        query = self.query(contexts[first])
+    def log_probabilities(self, ids: np.ndarray, contexts: np.ndarray, sums: ClassSums | None = None) -> np.ndarray:
+        """Natural log of the normalised probability of each word after its context; sums: those of this model."""
+        splits = [self.split(contexts[:, i]) for i in range(CONTEXT)]
+        query = self.split_query(splits)
         classes, band, step, column = self.split(ids)
         p = self.parts
-        out = np.einsum("ij,ij->i", query[at], p["target"][classes]) + p["bias"][classes] - self.log_totals(query)[at]
+        out = np.einsum("ij,ij->i", query, p["target"].take(classes, axis=0)) + p["bias"][classes]
+        out -= (sums or ClassSums(self)).logs(splits, query)
         others = np.flatnonzero(classes == self.k + 1)
         for begin in range(0, len(others), 512):
             places = others[begin : begin + 512]
-            asked = query[at[places]]
+            asked = query[places]
             _add_logs(out, places, self.band_scores(asked), band[places])
             coded = ids[places] > self.k + 2
             places, asked = places[coded], asked[coded]
@@ -263,6 +354,75 @@ class Model:
     class_log_probabilities = log_probabilities
 
 
+class ClassSums:
+    """Sums of exp(score) over the classes after any context of a model, whose parameters stay as they are.
+
+    The score of a class is a sum of what each word of the context adds, and that of what its class and each number of its code
+    add. So its power is a product of powers, which are made once for each class and number of a code, not for each context.
+    """
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        p, table = model.parts, model.parts["target"].T * LOG2E
+        #: By place in the context and name: the powers of all classes, and the largest exponent among them.
+        self.powers: list[dict[str, np.ndarray]] = []
+        self.most: list[dict[str, np.ndarray]] = []
+        with np.errstate(over="ignore", invalid="ignore"):
+            for i in range(CONTEXT):
+                scores = {name: (p[name] * p["weight"][i]) @ table for name in ("context", *CODE_CONTEXTS)}
+                if i == 0:
+                    scores["context"] += p["bias"] * LOG2E
+                without = sum(scores[name][-1] for name in CODE_CONTEXTS)
+                scores["context_band"] += scores["context"][model.k + 1]  # words with a code are of that class
+                scores["context"] += without
+                self.most.append({name: np.abs(each).max(axis=1) for name, each in scores.items()})
+                self.powers.append({name: _exp2(each, out=each) for name, each in scores.items()})
+            self.pairs = self.powers[0]["context"] @ self.powers[1]["context"].T
+
+    def logs(self, splits: list[tuple[np.ndarray, ...]], query: np.ndarray) -> np.ndarray:
+        """Natural logs of the sums; splits: what Model.split gives for the words at each place of the contexts."""
+        coded = [split[1] < self.model.codes.bands for split in splits]
+        sums = np.empty(len(query), np.float32)
+        with np.errstate(all="ignore"):
+            places = np.flatnonzero(~coded[0] & ~coded[1])
+            sums[places] = self.pairs[splits[0][0][places], splits[1][0][places]]
+            self._of_codes(sums, splits, np.flatnonzero(coded[0] & ~coded[1]), 0, ("context",))
+            self._of_codes(sums, splits, np.flatnonzero(coded[1] & ~coded[0]), 1, ("context",))
+            self._of_codes(sums, splits, np.flatnonzero(coded[0] & coded[1]), 0, CODE_CONTEXTS)
+            out = np.log2(sums) / LOG2E
+        exponents = np.zeros(len(query), np.float32)
+        for most, split, has_code in zip(self.most, splits, coded, strict=True):
+            of_codes = sum(most[name][at] for name, at in zip(CODE_CONTEXTS, split[1:], strict=True))
+            exponents += np.where(has_code, of_codes, most["context"][split[0]])
+        far = np.flatnonzero(~(exponents <= MOST_EXPONENT))
+        if len(far):
+            out[far] = self.model.log_totals(query[far])
+        return out
+
+    def _of_codes(
+        self, sums: np.ndarray, splits: list[tuple[np.ndarray, ...]], places: np.ndarray, side: int, others: tuple[str, ...]
+    ) -> None:
+        """Put the sums at places, where the word at that side of the context has a code; others: tables of the other word."""
+        own, other = splits[side], splits[1 - side]
+        places = places[np.argsort(own[1][places], kind="stable")]
+        band = own[1][places]
+        factors = [(self.powers[side][name], at[places]) for name, at in zip(CODE_CONTEXTS[1:], own[2:], strict=True)]
+        of_other = other[:1] if len(others) == 1 else other[1:]
+        factors += [(self.powers[1 - side][name], at[places]) for name, at in zip(others, of_other, strict=True)]
+        room = np.empty((2, PRODUCTS, len(self.model.noise)), self.pairs.dtype)
+        for first, last in _runs(band):
+            of_band = self.powers[side]["context_band"][band[first]]
+            for begin in range(first, last, PRODUCTS):
+                end = min(begin + PRODUCTS, last)
+                product, factor = room[:, : end - begin]
+                for i, (table, at) in enumerate(factors):
+                    # Any place is in the table; numpy would copy the rows once more to make sure.
+                    table.take(at[begin:end], axis=0, out=factor if i else product, mode="clip")
+                    if i:
+                        product *= factor
+                sums[places[begin:end]] = product @ of_band
+
+
 def _add_logs(out: np.ndarray, places: np.ndarray, scores: np.ndarray, true: np.ndarray) -> None:
     """Add the natural log probability of the true one among the scores of each row."""
     if len(places):
@@ -282,16 +442,23 @@ def _products(asked: np.ndarray, table: np.ndarray, bias: np.ndarray) -> np.ndar
     return _with_ones(asked) @ (np.append(table.T, bias[None], 0) * LOG2E)
 
 
+def _exp2(scores: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    if FAST_EXP2:
+        return np.exp2(scores, out=out)
+    out = np.multiply(scores, np.float32(math.log(2)), out=out)
+    return np.exp(out, out=out)
+
+
 def _exps(scores: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """2 to the power of score - shift, their sums by rows, and the shift. The shift is 0, unless a sum is too large or too
     small for that: then it is the largest score of each row."""
     ones = np.ones(scores.shape[1], np.float32)
     with np.errstate(over="ignore", invalid="ignore"):
-        exps = np.exp2(scores, out=out)
+        exps = _exp2(scores, out)
         sums = exps @ ones
     if len(sums) and not (sums.min() > 1e-30 and sums.max() < 1e30):
         shift = scores.max(axis=1)
-        exps = np.exp2(scores - shift[:, None], out=out)
+        exps = _exp2(scores - shift[:, None], out)
         return exps, exps @ ones, shift
     return exps, sums, 0.0
 
@@ -362,16 +529,17 @@ class Trainer:
         query = sum(v * p["weight"][i] for i, v in enumerate(vectors))
         target, others = p["target"].take(classes, axis=0), p["target"][noise]
         true = np.einsum("ij,ij->i", query, target) + p["bias"][classes] - self.log_noise[classes]
-        down = _products(query, -others, self.log_noise[noise] - p["bias"][noise])
+        asked = _with_ones(query)
+        down = asked @ (np.append(-others.T, (self.log_noise[noise] - p["bias"][noise])[None], 0) * LOG2E)
         up = 1 / (1 + np.exp(np.clip(true, -30, 30))) / n  # slopes of the log likelihood
         np.clip(down, -30 * LOG2E, 30 * LOG2E, out=down)
-        np.exp2(down, out=down)
+        _exp2(down, out=down)
         down += 1
         np.divide(np.float32(-1 / n), down, out=down)
         d_query = up[:, None] * target
         d_query += down @ others
         add("target", classes, up[:, None] * query)
-        of_noise = down.T @ _with_ones(query)
+        of_noise = down.T @ asked
         add("target", noise, of_noise[:, :-1])
         d["bias"] += np.bincount(classes, up, len(d["bias"]))
         d["bias"] += np.bincount(noise, of_noise[:, -1], len(d["bias"]))
@@ -403,11 +571,16 @@ class Trainer:
     def _likelihood(self, name: str, asked: np.ndarray, scores: np.ndarray, true: np.ndarray, n: int) -> np.ndarray:
         """Adds the slopes for the true ones among the scores, and returns that for what was asked; all over n."""
         slope, sums, _ = _exps(scores)
-        slope *= (-1 / (sums * np.float32(n)))[:, None]
-        slope[np.arange(len(true)), true] += np.float32(1 / n)
-        self.d[name] += slope.T @ asked
-        self.d[f"{name}_bias"] += np.ones(len(slope), np.float32) @ slope
-        return slope @ self.model.parts[name]
+        slope[np.arange(len(true)), true] -= sums
+        share = (-1 / (sums * np.float32(n)))[:, None]  # of fewer numbers than slope has
+        asked = _with_ones(asked)
+        asked *= share
+        summed = slope.T @ asked
+        self.d[name] += summed[:, :-1]
+        self.d[f"{name}_bias"] += summed[:, -1]
+        back = slope @ self.model.parts[name]
+        back *= share
+        return back
 
 
 def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
@@ -418,35 +591,19 @@ def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     out[places[first]] += np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
-class _Places(dict):
-    """The place of a word in its chunk's table."""
-
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.by_hash = dict(zip(hashes.view(np.uint64).tolist(), range(len(hashes)), strict=True))
-        self.end = self.by_hash[END]
-
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = self.by_hash[xxhash.xxh3_64_intdigest(word)]
-        return place
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        words = _lowered(text)
-        return np.append(np.fromiter(map(self.__getitem__, words), np.int32, len(words)), np.int32(self.end))
-
-
 def _trained(dealt: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
-    """Parameters averaged over the chunks of dealt (chunk, place, text), weighted by words; known: (chunk, word, rank)."""
+    """Parameters averaged over the chunks of dealt (chunk, order, ids), weighted by words; known: see _pack_words."""
     shared = dealt.sparkSession.sparkContext.broadcast(model)
 
     def train(texts: pa.Table, words: pa.Table) -> pa.Table:
         own, seen = shared.value.copy(), 0
         if len(texts):
             trainer = Trainer(own, seed=[5, words["chunk"][0].as_py()])
-            hashes = words["word"].to_numpy()
-            places, numbers = _Places(hashes), own.numbers(hashes, words["rank"].to_numpy())
+            hashes, _, ranks = _arrays(words)
+            numbers = own.numbers(hashes, ranks)
             ids, contexts, held = [], [], 0
-            for text in texts.sort_by("place")["text"].cast(pa.binary()).to_pylist():
-                one = numbers[places.of(text)]
+            for places in _places(texts.sort_by("order")):
+                one = numbers[places]
                 ids.append(one)
                 contexts.append(own.contexts(one))
                 held += len(one)
@@ -464,10 +621,12 @@ def _trained(dealt: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
         )
 
     summed = (
-        dealt.select("chunk", "place", "text").groupBy("chunk").cogroup(known.select("chunk", "word", "rank").groupBy("chunk"))
+        dealt.select("chunk", "order", "ids").groupBy("chunk").cogroup(known.groupBy("chunk"))
         .applyInArrow(train, "at int, value double, seen long")
-        .groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("value")).collect()
+        .groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("value"))
     )
+    with small_batches(dealt.sparkSession, CLEARED):
+        summed = summed.collect()
     flat = model.flat.astype(np.float64)
     for row in summed:  # one row per parameter
         flat[row["at"]] = row["value"]
@@ -483,17 +642,19 @@ def _epoch(trainer: Trainer, ids: np.ndarray, contexts: np.ndarray) -> int:
     return len(ids)
 
 
-def _coded(counted: DataFrame, once: DataFrame, apart: list[int], words: int) -> tuple[DataFrame, Codes]:
-    """counted with the rank of each word, -1 for words without a code (those apart, and those not counted); and the codes.
+def _coded(once: DataFrame, apart: list[int], words: int) -> tuple[DataFrame, Codes]:
+    """once, each counted word with its total, with the rank of each, -1 for those apart, which have no code; and the codes.
 
-    once: each counted word with its total; words: how many of them aren't apart.
+    words: how many of them aren't apart.
     """
+    own = F.broadcast(once.sparkSession.createDataFrame(pa.table({"word": pa.array(apart, pa.int64())})))
+    without = once.join(own, "word", "left_semi").select("word", "total", F.lit(-1).cast("long").alias("rank"))
     if not words:
-        return counted.withColumn("rank", F.lit(-1).cast("long")), Codes(0, 1, np.empty(0))
+        return without, Codes(0, 1, np.empty(0))
     order = F.desc("total"), F.col("word")
     parts = -(-words // RANKED_WORDS)
     rare = staged(
-        once.join(F.broadcast(counted.sparkSession.createDataFrame([(w,) for w in apart], "word long")), "word", "left_anti")
+        once.join(own, "word", "left_anti")
         .repartitionByRange(parts, *order).select("word", "total", F.spark_partition_id().alias("part")),
         "rare",
     )
@@ -508,9 +669,7 @@ def _coded(counted: DataFrame, once: DataFrame, apart: list[int], words: int) ->
     rows = np.zeros(-(-words // columns))
     for r in ranked.groupBy(F.floor(F.col("rank") / columns).alias("row")).agg(F.sum("total").alias("total")).collect():
         rows[r["row"]] = r["total"]
-    known = counted.join(ranked.select("word", "rank"), "word", "left")
-    known = known.select("chunk", "word", "total", F.coalesce("rank", F.lit(-1).cast("long")).alias("rank"))
-    return staged(known, "coded"), Codes(words, columns, rows)
+    return ranked.unionByName(without), Codes(words, columns, rows)
 
 
 def score_texts(
@@ -532,20 +691,15 @@ def score_texts(
     )
     octets = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-octets // (6 * chunk_words)))
-    dealt = rows.withColumn("place", F.xxhash64("key", "text")).withColumn("chunk", F.pmod("place", F.lit(chunks)).cast("int"))
-    asked = (
-        dealt.repartition(chunks, "chunk").sortWithinPartitions("chunk").select("chunk", "text", "trains")
-        .mapInArrow(_count_words, "chunk int, word long, n long")
-    )
-    # The chunks of a word: as many rows as there are chunks at most.
-    word = Window.partitionBy("word")
-    counted = staged(
-        asked.withColumn("total", F.sum("n").over(word))
-        .withColumn("leads", F.row_number().over(word.orderBy("chunk")) == 1)
-        .select("chunk", "word", "total", "leads"),
-        "words",
-    )
-    once = counted.filter("leads AND total > 0")
+    order = F.xxhash64("key", "text").alias("order")
+    numbered = staged(
+        rows.select(F.pmod(order, F.lit(chunks)).cast("int").alias("chunk"), "key", order, "text", "trains")
+        .repartition(chunks, "chunk").sortWithinPartitions("chunk").mapInArrow(thrifty(_number_words), _NUMBERED),
+        "numbered",
+    )
+    dealt = numbered.filter("place IS NULL").select("chunk", "key", "order", "trains", "ids")
+    asked = numbered.filter("place IS NOT NULL").select("chunk", "place", "word", "n")
+    once = staged(asked.filter("n > 0").groupBy("word").agg(F.sum("n").alias("total")), "words")
     end = int(np.uint64(END).view(np.int64))
     sums = once.agg(
         F.sum("total").alias("tokens"), F.count("*").alias("words"),
@@ -553,7 +707,16 @@ def score_texts(
     ).first()
     tokens, words, ends = sums["tokens"] or 0, sums["words"], sums["ends"] or 0
     top = once.filter(F.col("word") != end).orderBy(F.desc("total"), "word").limit(frequent).collect()
-    known, codes = _coded(counted, once, [end, *(r["word"] for r in top)], words - len(top) - (ends > 0))
+    ranked, codes = _coded(once, [end, *(r["word"] for r in top)], words - len(top) - (ends > 0))
+    known = asked.join(ranked, "word", "left").select(
+        "chunk", "place", "word", F.coalesce("total", F.lit(0).cast("long")).alias("total"),
+        F.coalesce("rank", F.lit(-1).cast("long")).alias("rank"),
+    )
+    known = staged(
+        known.repartition(chunks, "chunk").sortWithinPartitions("chunk", "place").select("chunk", "word", "total", "rank")
+        .mapInArrow(thrifty(_pack_words), "chunk int, word binary, total binary, rank binary"),
+        "known",
+    )
     model = Model(
         np.array([r["word"] for r in top], dtype=np.int64),
         np.array([*(r["total"] for r in top), ends, tokens - ends - sum(r["total"] for r in top)], dtype=np.float64),
@@ -565,10 +728,10 @@ def score_texts(
         model.put(_trained(dealt.filter("trains").filter(own), known.filter(own), model))
     shared = spark.sparkContext.broadcast(model)
 
-    def score(texts: pa.Table, counts: pa.Table) -> pa.Table:
+    def score(texts: pa.Table, words_of: pa.Table) -> pa.Table:
         model = shared.value
-        hashes, totals = counts["word"].to_numpy(), counts["total"].to_numpy().astype(np.float64)
-        places_of, numbers = _Places(hashes), model.numbers(hashes, counts["rank"].to_numpy())
+        hashes, totals, ranks = _arrays(words_of)
+        sums, numbers = ClassSums(model), model.numbers(hashes, ranks)
         base_of = np.log10((totals + 0.5) / (tokens + 0.5 * (words + 1)))
         out: list[list] = [[], [], [], []]
         held, lengths = [], []
@@ -576,7 +739,7 @@ def score_texts(
         def flush() -> None:
             places = np.concatenate(held)
             ids = [numbers[h] for h in held]
-            logs = model.log_probabilities(np.concatenate(ids), np.concatenate([model.contexts(i) for i in ids]))
+            logs = model.log_probabilities(np.concatenate(ids), np.concatenate([model.contexts(i) for i in ids]), sums)
             starts = np.cumsum([0, *lengths[:-1]])
             out[0].extend(lengths)
             out[1].extend(np.add.reduceat((totals[places] > 0).astype(np.int64), starts))
@@ -585,9 +748,9 @@ def score_texts(
             held.clear()
             lengths.clear()
 
-        for text in texts["text"].cast(pa.binary()).to_pylist():
-            held.append(places_of.of(text))
-            lengths.append(len(held[-1]))
+        for places in _places(texts):
+            held.append(places)
+            lengths.append(len(places))
             if sum(lengths) >= 200_000:
                 flush()
         if held:
@@ -601,8 +764,7 @@ def score_texts(
         )
 
     scored = (
-        dealt.select("chunk", "key", "text", "trains").groupBy("chunk")
-        .cogroup(known.select("chunk", "word", "total", "rank").groupBy("chunk"))
+        dealt.select("chunk", "key", "trains", "ids").groupBy("chunk").cogroup(known.groupBy("chunk"))
         .applyInArrow(score, "key long, trains boolean, n_tokens long, n_known long, base_score double, score double")
     )
     return scored.select(

@@ -4,7 +4,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -581,3 +583,65 @@ def test_sums_of_large_and_small_scores(size):
     assert lm._log_sums(scores) == pytest.approx(expected, abs=1e-3)
     exps, sums, _ = lm._exps(scores)
     assert (exps / sums[:, None]).sum(axis=1) == pytest.approx(np.ones(5), abs=1e-5)
+
+
+def test_sums_over_classes_are_products_of_powers():
+    """The same as from the products of each context with all classes, for words with and without a code, far scores too."""
+    model, _, _ = _coded_model()
+    ids = np.arange(model.k + 3 + 50)
+    contexts = np.stack([each.ravel() for each in np.meshgrid(ids, ids)], axis=1)
+    splits = [model.split(contexts[:, i]) for i in range(lm.CONTEXT)]
+    for size in (1, 40):
+        model.parts["target"] *= np.float32(size)
+        query = model.query(contexts)
+        scores = query @ model.parts["target"].T + model.parts["bias"]
+        expected = np.log(np.exp(scores.astype(np.float64) - scores.max(axis=1)[:, None]).sum(axis=1)) + scores.max(axis=1)
+        assert lm.ClassSums(model).logs(splits, query) == pytest.approx(expected, rel=1e-5, abs=1e-4)
+    assert np.abs(expected).max() > 200
+
+
+def test_scoring_takes_no_power_per_context(monkeypatch):
+    """Powers of the classes are as many as words and numbers of codes, not as contexts."""
+    model, _, _ = _coded_model()
+    sums, made, exp2 = lm.ClassSums(model), [], lm._exp2
+    monkeypatch.setattr(lm, "_exp2", lambda scores, out=None: (made.append(scores.shape), exp2(scores, out))[1])
+    ids = np.random.default_rng(7).integers(0, model.k, 5000)  # no word below the shared class is asked for
+    model.log_probabilities(ids, model.contexts(np.random.default_rng(8).permutation(5000) % 50 + model.k + 3), sums)
+    assert made == []
+
+
+def test_texts_are_cut_into_words_once(spark, tmp_path):
+    """Each text is cut in one task, not again in the rounds of training and in scoring."""
+    texts = [(i, f"Ab b{i} c <{i}> " * 40) for i in range(60)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    folder = str(tmp_path)
+
+    def cut(batches):
+        with open(f"{folder}/read", "a") as log:
+            for batch in batches:
+                log.write("x" * batch.num_rows)
+                yield batch
+
+    once = frame.coalesce(1).mapInArrow(cut, frame.schema)
+    scored = lm.score_texts(once, F.lit(True), chunk_words=300, frequent=3).collect()
+    assert {r["n_tokens"] for r in scored} == {161} and len(scored) == 60
+    assert (tmp_path / "read").stat().st_size <= 2 * 60  # once for its size
+
+
+def test_places_of_words_and_their_counts():
+    schema = pa.schema({"chunk": pa.int32(), "key": pa.int64(), "order": pa.int64(), "text": pa.string(), "trains": pa.bool_()})
+    rows = [(0, 1, 5, "b a B", True), (0, None, 6, None, True), (2, 3, 7, "a c", False), (2, 3, 7, "a c", True)]
+    whole = pa.RecordBatch.from_pydict(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema=schema)
+    for batches in ([whole], [whole.slice(i, 1) for i in range(4)], [whole.slice(0, 0), whole]):
+        found = [row for batch in lm._number_words(iter(batches)) for row in batch.to_pylist()]
+        ids = [(r["chunk"], r["key"], r["trains"], lm._of_planes(r["ids"], np.int32).tolist()) for r in found if r["place"] is None]
+        assert ids == [(0, 1, True, [1, 2, 1, 0]), (0, None, True, [0]), (2, 3, False, [1, 2, 0]), (2, 3, True, [1, 2, 0])]
+        words = [(r["chunk"], r["place"], r["word"], r["n"]) for r in found if r["place"] is not None]
+        hashes = {w: int(np.uint64(xxhash.xxh3_64_intdigest(w)).view(np.int64)) for w in (b"\n", b"a", b"b", b"c")}
+        assert words == [
+            (0, 0, hashes[b"\n"], 2), (0, 1, hashes[b"b"], 2), (0, 2, hashes[b"a"], 1),
+            (2, 0, hashes[b"\n"], 1), (2, 1, hashes[b"a"], 1), (2, 2, hashes[b"c"], 1),
+        ]
+    assert list(lm._number_words(iter(()))) == []
+    big = np.array([0, 1, 255, 256, 2**31 - 1, 70000], np.int32)
+    assert lm._of_planes(lm._planes(big), np.int32).tolist() == big.tolist()
