@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from itertools import groupby
 from operator import itemgetter
 
@@ -30,6 +30,8 @@ GZIP = b"\x1f\x8b"
 UNSAFE = "\"#%'*/:=?\\\x7f{[]^"
 #: Files that a Python worker holds at a time, and bytes of one that are unpacked at a time.
 FAULT_FILES, FAULT_BYTES = 16, 1 << 20
+#: Tasks for each core that look at the paths of a reader.
+LISTING_TASKS = 4
 
 
 def station_of_path(path: Column) -> Column:
@@ -79,15 +81,24 @@ def fault_of_gzip(content: bytes) -> str | None:
 
 
 @contextmanager
-def few_files_at_a_time(spark: SparkSession) -> Iterator[None]:
-    """Jobs begun inside hand :data:`FAULT_FILES` rows at a time to Python."""
-    most = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(most)
-    spark.conf.set(most, FAULT_FILES)
+def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(most, before)
+        spark.conf.set(name, before)
+
+
+def few_files_at_a_time(spark: SparkSession) -> AbstractContextManager[None]:
+    """Jobs begun inside hand :data:`FAULT_FILES` rows at a time to Python."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", FAULT_FILES)
+
+
+def many_paths_at_a_time(spark: SparkSession) -> AbstractContextManager[None]:
+    """Readers made inside look at their paths in a few tasks for each core; else Spark takes a task for each of up to 10,000."""
+    tasks = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    return _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks)
 
 
 def broken_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -95,7 +106,8 @@ def broken_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     Each file is read as a whole and unpacked piece by piece; write the result :func:`few_files_at_a_time`.
     """
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    with many_paths_at_a_time(spark):
+        files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,19 +139,20 @@ def scan_raw(
 def _read(
     spark: SparkSession, columns: schemas.Columns, paths: str | Sequence[str], mode: str
 ) -> DataFrame:
-    return (
+    reader = (
         spark.read.schema(schemas.ddl(columns))
         .option("header", "false")
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", REJECTED)
         .option("columnPruning", "false")
         .option("recursiveFileLookup", "true")
-        .csv(paths)
-        .select(
-            station_of_path(F.col("_metadata.file_path")).alias("station"),
-            *columns,
-            *([F.col("_metadata.file_path").alias("path")] if REJECTED in columns else []),
-        )
+    )
+    with many_paths_at_a_time(spark):
+        rows = reader.csv(paths)
+    return rows.select(
+        station_of_path(F.col("_metadata.file_path")).alias("station"),
+        *columns,
+        *([F.col("_metadata.file_path").alias("path")] if REJECTED in columns else []),
     )
 
 

@@ -371,6 +371,8 @@ class Store:
             self._rejected(rejects, frequency, files, seen_on)
 
         try:
+            # The files of a landing folder are looked at for each use else, and joined with what is stored.
+            files = staged(files, "files")
             paths = self._paths(files)
             if not paths:
                 return None, folders

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from stationlake import DailyFrame, Frequency, HourlyFrame, Month, MonthlyFrame, Store, WeatherLake, Year
 from stationlake.operators import located, nearest
-from stationlake.plans.fixtures import catalogue, view
+from stationlake.plans.fixtures import VIEWS, catalogue, view
 
 SF_DIR = "/root/testdata/sf0.001"
 PLACE_QUERIES = [name for name in queries() if "near" in name or "location" in name]
@@ -29,6 +29,39 @@ def store(spark, tmp_path_factory):
     return store
 
 
+def test_views_are_grouped_by_hashing(spark):
+    for name in ("daily", "hourly"):
+        assert "SortAggregate" not in plan(view(spark, SF_DIR, name))
+
+
+@pytest.mark.parametrize("name, table", [("daily", "lineitem"), ("hourly", "events")])
+def test_views_over_odd_texts_are_what_their_sql_says(spark, tmp_path, name, table):
+    """Groups of every kind of text that the views look for: less, equal, greater, null, and mixed."""
+    text = {"daily": "l_linestatus", "hourly": "event_type"}[name]
+    middle = {"daily": "O", "hourly": "view"}[name]
+    some = ["", "A", middle, middle + " ", middle.lower(), "zz", None]
+    groups = [(a,) for a in some] + [(a, b) for a in some for b in some]
+    rows = []
+    base = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
+    like = base.first().asDict()
+    for i, group in enumerate(groups):
+        at = {"l_suppkey": 1, "l_shipdate": dt.datetime(2000, 1, 1) + dt.timedelta(days=i)}
+        if name == "hourly":
+            at = {"user_id": 1, "ts": dt.datetime(2000, 1, 1) + dt.timedelta(hours=i)}
+        if "l_shipdate" in at and not isinstance(like["l_shipdate"], dt.datetime):
+            at["l_shipdate"] = at["l_shipdate"].date()
+        rows += [like | at | {text: each} for each in group]
+    spark.createDataFrame([tuple(r[c] for c in base.columns) for r in rows], base.schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    spark.read.parquet(f"{SF_DIR}/supplier.parquet").write.parquet(f"{tmp_path}/supplier.parquet")
+    sql = VIEWS[name]
+    for other in ("lineitem", "events", "supplier"):
+        sql = re.sub(rf"\bFROM {other}\b", f"FROM parquet.`{tmp_path}/{other}.parquet`", sql)
+    found, expected = view(spark, str(tmp_path), name), spark.sql(sql)
+    assert sorted(map(str, found.drop("datetime").collect())) == sorted(map(str, expected.drop("datetime").collect()))
+    prcp = {row.prcp is None for row in found.collect()}
+    assert found.count() == len(groups) and prcp == {True, False}
+
+
 def test_station_prunes_to_one_bucket(store):
     text = plan(store.scan_station(Frequency.DAILY, "000000007"))
     assert "EqualTo(station,000000007)" in text

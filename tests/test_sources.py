@@ -255,6 +255,53 @@ def test_broken_files_cost_their_own_station(spark, store, tmp_path, monkeypatch
         store.ingest(folder, DAILY, D(2020, 4, 1), only=only, strict=True)
 
 
+def test_many_paths_are_looked_at_in_few_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    count = 40 + bulk.LISTING_TASKS * cores
+    for i in range(count):
+        folder = land(tmp_path, DAILY, f"s{i}", days("2020-01-01", 1))
+    paths, tracker = [str(p) for p in Path(folder).iterdir()], spark.sparkContext.statusTracker()
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    for read in (lambda: bulk.scan_checked(spark, DAILY, paths), lambda: bulk.broken_files(spark, paths)):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, "listing")
+        try:
+            read()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(group)]
+        tasks = [tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+        assert tasks and max(tasks) <= bulk.LISTING_TASKS * cores
+    assert spark.conf.get(name) == before
+    assert bulk.scan_checked(spark, DAILY, paths).select("station").distinct().count() == count
+
+
+def test_landed_files_are_looked_at_once(spark, store, tmp_path, monkeypatch):
+    """Also when a broken file makes the others be read again, and another has a line that does not fit."""
+    good = days("2020-01-01", 3)
+    land(tmp_path, DAILY, "good", good)
+    land(tmp_path, DAILY, "short", good + "2020-01-09,1.0\n")
+    folder = land(tmp_path, DAILY, "more", good)
+    (tmp_path / DAILY.value / "plain.csv.gz").write_bytes(good.encode())
+    log, landed_files = str(tmp_path / "looked"), bulk.landed_files
+
+    def look(batches):
+        for batch in batches:
+            with open(log, "a") as file:
+                file.write("x" * batch.num_rows)
+            yield batch
+
+    def counted(spark, landing):
+        files = landed_files(spark, landing)
+        return files.mapInArrow(look, files.schema)
+
+    monkeypatch.setattr(bulk, "landed_files", counted)
+    store.ingest(folder, DAILY, D(2020, 2, 1))
+    assert tavg(store) == {"good": (1.0, 3), "more": (1.0, 3)} and store.rejects().count() == 2
+    assert Path(log).stat().st_size == 4
+
+
 def test_rows_of_a_lost_job_do_not_count(spark, store, tmp_path):
     folder = land(tmp_path, DAILY, "07147", days("2020-01-01", 3, 1.0))
     # A job that was lost after the rows and the log, before the manifest.
